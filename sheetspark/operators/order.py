@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TOP_K = 10_000  # largest read that is kept in memory as a top-k
-RANGE_ROWS = 250_000  # rows aimed at in one range
+RANGE_ROWS = 50_000  # rows aimed at in one range
 MAX_RANGES = 16_384  # bounds the sample and the counts that reach the driver
 SAMPLE_PER_RANGE = 16
 

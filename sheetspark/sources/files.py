@@ -14,6 +14,9 @@ from sheetspark.schema import is_file
 # Suffixes that name a compression, so that ".tar.gz" stays whole.
 ENCODING_SUFFIXES = (".gz", ".Z", ".bz2", ".xz", ".br")
 
+# The last dot and what follows it, unless the dot begins or ends the name.
+SUFFIX = r"^.+(\.[^.]+)$"
+
 REFERENCE = "array<struct<path:string,file:struct<key:string,extension:string,size:bigint>>>"
 
 
@@ -31,13 +34,11 @@ def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 def extension(path: Column) -> Column:
     """The suffix of the file name, with the one before it if it names a compression."""
     name = F.regexp_extract(path, r"([^/]*)$", 1)
-    # A leading dot or a trailing one does not start a suffix.
-    pattern = r"[^.].*?((?:\.[^./]+)?(?:{})|\.[^./]+)$".format(
-        "|".join(s.replace(".", r"\.") for s in ENCODING_SUFFIXES)
-    )
-    single = F.regexp_extract(name, r"^.*[^/](\.[^./]+)$", 1)
-    double = F.regexp_extract(name, "^" + pattern, 1)
-    return F.when(single.isin(*ENCODING_SUFFIXES), double).otherwise(single)
+    suffix = F.regexp_extract(name, SUFFIX, 1)
+    stem = F.substring(name, F.lit(1), F.length(name) - F.length(suffix))
+    return F.when(
+        suffix.isin(*ENCODING_SUFFIXES), F.concat(F.regexp_extract(stem, SUFFIX, 1), suffix)
+    ).otherwise(suffix)
 
 
 def file_record(path: Column, content: Column, size: Column | None = None) -> Column:
@@ -61,7 +62,9 @@ def file_table(files: DataFrame) -> DataFrame:
 def image_table(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """``path, format, height, width`` of image files."""
     kinds = files.select(
-        F.col(path).alias("path"), F.col(content).alias("content"), image_format(F.col(content)).alias("format")
+        F.col(path).alias("path"),
+        F.col(content).alias("content"),
+        image_format(F.col(content)).alias("format"),
     )
     sized = kinds.select("path", "format", image_size(F.col("content"), F.col("format")).alias("size"))
     return sized.select("path", "format", "size.height", "size.width")
