@@ -1,6 +1,24 @@
 """Every operator as a query over the given tables, next to the SQL it must equal."""
 
-from sheetspark.plans import arrays, filters
+from sheetspark.plans import (
+    arrays,
+    edits,
+    filters,
+    history,
+    loading,
+    positions,
+    projections,
+)
 from sheetspark.plans.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "arrays", "filters"]
+__all__ = [
+    "ORACLE",
+    "QUERIES",
+    "arrays",
+    "edits",
+    "filters",
+    "history",
+    "loading",
+    "positions",
+    "projections",
+]
