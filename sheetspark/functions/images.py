@@ -8,6 +8,8 @@ a complete image of a known format give null.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +23,11 @@ TIFF_INTEGER_BYTES = {1: 1, 3: 2, 4: 4, 6: 1, 8: 2, 9: 4}
 JPEG_NOT_FRAMES = {0xC4, 0xC8, 0xCC}
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Compute a value once for an expression that uses it several times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 class _Bytes:
     """Integers at byte offsets of a binary column."""
 
@@ -77,86 +84,93 @@ def image_size(content: Column, kind: Column | None = None) -> Column:
     """``struct(height, width)`` of an image; null when it cannot be read."""
     data = _Bytes(content)
     kind = image_format(content) if kind is None else kind
-    jpeg = jpeg_size(F.when(kind == "jpeg", content))
     sizes = {
-        "jpeg": (jpeg["height"], jpeg["width"]),
-        "png": (data.big(20, 4), data.big(16, 4)),
-        "png-old": (data.big(12, 4), data.big(8, 4)),
-        "gif": (data.little(8, 2), data.little(6, 2)),
-        "jpeg2000": (data.big(48, 4), data.big(52, 4)),
+        "jpeg": jpeg_size(F.when(kind == "jpeg", content)),
+        "png": _size(data.big(20, 4), data.big(16, 4)),
+        "png-old": _size(data.big(12, 4), data.big(8, 4)),
+        "gif": _size(data.little(8, 2), data.little(6, 2)),
+        "jpeg2000": _size(data.big(48, 4), data.big(52, 4)),
         "bmp": _bmp(data),
         "tiff": _tiff(data),
-        "ico": tuple(
-            F.when(side == 0, 256).otherwise(side) for side in (data.big(7, 1), data.big(6, 1))
-        ),
+        "ico": _size(_ico_side(data.big(7, 1)), _ico_side(data.big(6, 1))),
         "webp": _webp(data),
         "flif": _flif(data),
     }
     result = F.lit(None)
-    for name, (height, width) in reversed(sizes.items()):
-        size = F.struct(height.cast("int").alias("height"), width.cast("int").alias("width"))
-        known = height.isNotNull() & width.isNotNull()
-        result = F.when(kind == name, F.when(known, size)).otherwise(result)
-    return result
+    for name, size in reversed(sizes.items()):
+        result = F.when(kind == name, size).otherwise(result)
+    return _let(
+        result,
+        lambda size: F.when(
+            size.getField("height").isNotNull() & size.getField("width").isNotNull(), size
+        ),
+    )
+
+
+def _size(height: Column, width: Column) -> Column:
+    return F.struct(height.cast("int").alias("height"), width.cast("int").alias("width"))
 
 
 def _signed(value: Column) -> Column:
     return F.when(value >= 1 << 31, value - (1 << 32)).otherwise(value)
 
 
-def _bmp(data: _Bytes) -> tuple[Column, Column]:
-    header = data.little(14, 4)
-    old, new = header == 12, header >= 40
-    # A negative height means the rows are stored from the top.
-    height = F.when(old, data.little(20, 2)).when(new, F.abs(_signed(data.little(22, 4))))
-    width = F.when(old, data.little(18, 2)).when(new, _signed(data.little(18, 4)))
-    return height, width
+def _ico_side(side: Column) -> Column:
+    return F.when(side == 0, 256).otherwise(side)
+
 
+def _bmp(data: _Bytes) -> Column:
+    def sizes(header: Column) -> Column:
+        old = _size(data.little(20, 2), data.little(18, 2))
+        # A negative height means the rows are stored from the top.
+        new = _size(F.abs(_signed(data.little(22, 4))), _signed(data.little(18, 4)))
+        return F.when(header == 12, old).when(header >= 40, new)
 
-def _tiff(data: _Bytes) -> tuple[Column, Column]:
+    return _let(data.little(14, 4), sizes)
+
+
+def _tiff(data: _Bytes) -> Column:
+    """Both sizes are integer entries of the first directory."""
     little = data.hex(0, 2) == "4949"
-    directory = data.ordered(little, 4, 4)
-    count = data.ordered(little, directory, 2)
-    indices = F.when(count > 0, F.sequence(F.lit(0).cast("bigint"), count - 1))
 
-    def entry(index: Column) -> Column:
-        at = directory + 2 + index * 12
+    def sizes(directory: Column) -> Column:
+        count = data.ordered(little, directory, 2)
+        indices = F.when(count > 0, F.sequence(F.lit(0).cast("bigint"), count - 1))
+        return _let(F.transform(indices, lambda i: entry(directory + 2 + i * 12)), tagged)
+
+    def entry(at: Column) -> Column:
         kind = data.ordered(little, at + 2, 2)
         value = F.lit(None).cast("bigint")
         for code, length in TIFF_INTEGER_BYTES.items():
             value = F.when(kind == code, data.ordered(little, at + 8, length)).otherwise(value)
         return F.struct(data.ordered(little, at, 2).alias("tag"), value.alias("value"))
 
-    entries = F.transform(indices, entry)
+    def tagged(entries: Column) -> Column:
+        def first(tag: int) -> Column:
+            matches = F.filter(entries, lambda e: e.getField("tag") == tag)
+            return F.get(matches, F.lit(0)).getField("value")
 
-    def tagged(tag: int) -> Column:
-        matches = F.filter(entries, lambda e: e.getField("tag") == tag)
-        return F.get(matches, F.lit(0)).getField("value")
+        return _size(first(TIFF_HEIGHT), first(TIFF_WIDTH))
 
-    return tagged(TIFF_HEIGHT), tagged(TIFF_WIDTH)
+    return _let(data.ordered(little, 4, 4), sizes)
 
 
-def _webp(data: _Bytes) -> tuple[Column, Column]:
-    chunk = data.hex(12, 4)
-    bits = data.little(21, 4)
-    lossless = (
-        F.shiftright(bits, 14).bitwiseAND(F.lit(0x3FFF)) + 1,
-        bits.bitwiseAND(F.lit(0x3FFF)) + 1,
-    )
-    started = data.hex(23, 3) == "9D012A"
-    lossy = tuple(
-        F.when(started, data.little(at, 2).bitwiseAND(F.lit(0x3FFF))) for at in (28, 26)
+def _webp(data: _Bytes) -> Column:
+    chunk, low = data.hex(12, 4), F.lit(0x3FFF)
+    lossless = _let(
+        data.little(21, 4),
+        lambda bits: _size(F.shiftright(bits, 14).bitwiseAND(low) + 1, bits.bitwiseAND(low) + 1),
     )
-    extended = (data.little(27, 3) + 1, data.little(24, 3) + 1)
-    return tuple(  # type: ignore[return-value]
-        F.when(chunk == "5650384C", lossless[i])
-        .when(chunk == "56503820", lossy[i])
-        .when(chunk == "56503858", extended[i])
-        for i in range(2)
+    lossy = _size(data.little(28, 2).bitwiseAND(low), data.little(26, 2).bitwiseAND(low))
+    extended = _size(data.little(27, 3) + 1, data.little(24, 3) + 1)
+    return (
+        F.when(chunk == "5650384C", lossless)
+        .when((chunk == "56503820") & (data.hex(23, 3) == "9D012A"), lossy)
+        .when(chunk == "56503858", extended)
     )
 
 
-def _flif(data: _Bytes) -> tuple[Column, Column]:
+def _flif(data: _Bytes) -> Column:
     """Width and height less one, as two numbers of seven bits per byte from byte 6 on."""
     values = F.transform(F.sequence(F.lit(6), F.lit(25)), lambda at: data.big(at, 1))
     start = F.struct(
@@ -175,12 +189,12 @@ def _flif(data: _Bytes) -> tuple[Column, Column]:
             F.when(done == 1, F.shiftleft(height, 7) + low).otherwise(height).alias("height"),
         )
 
-    read = F.aggregate(F.filter(values, lambda byte: byte.isNotNull()), start, step)
-    complete = read.getField("done") == 2
-    return (
-        F.when(complete, read.getField("height") + 1),
-        F.when(complete, read.getField("width") + 1),
-    )
+    def finish(state: Column) -> Column:
+        size = _size(state.getField("height") + 1, state.getField("width") + 1)
+        return F.when(state.getField("done") == 2, size)
+
+    known = F.filter(values, lambda byte: byte.isNotNull())
+    return F.aggregate(known, start, step, finish)
 
 
 @F.pandas_udf(

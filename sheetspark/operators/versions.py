@@ -96,12 +96,12 @@ def ancestors(commits: DataFrame, commit_id: str) -> DataFrame:
     """A commit and its ancestors with their ``distance`` from it.
 
     Jump pointers double in length each round, so a chain of a million commits
-    takes twenty small joins rather than a million recursion steps.  The two
-    tables of a round are checkpointed; otherwise each would contain two copies
-    of the round before.
+    takes twenty small joins rather than a million recursion steps.  The links
+    and the two tables of a round are checkpointed; otherwise each round would
+    contain two copies of the one before.
     """
     ensure_checkpoints(commits.sparkSession)
-    links = commits.select("commit_id", "parent_id")
+    links = commits.select("commit_id", "parent_id").checkpoint()
     total = links.count()
     found = links.where(F.col("commit_id") == commit_id).select(
         "commit_id", F.lit(0).cast("bigint").alias("distance")

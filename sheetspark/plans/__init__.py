@@ -3,11 +3,13 @@
 from sheetspark.plans import (
     arrays,
     edits,
+    files,
     filters,
     history,
     loading,
     positions,
     projections,
+    validation,
 )
 from sheetspark.plans.registry import ORACLE, QUERIES
 
@@ -16,9 +18,11 @@ __all__ = [
     "QUERIES",
     "arrays",
     "edits",
+    "files",
     "filters",
     "history",
     "loading",
     "positions",
     "projections",
+    "validation",
 ]
