@@ -164,7 +164,7 @@ def wrap(column: Column, dtype: T.DataType, info: Any, key: Any) -> Any:
         source = Source(column, dtype.elementType, (info or {}).get("items"), key)
         if isinstance(dtype.elementType, T.StructType):
             return RecordArray(source, (), dtype.elementType)
-        return Elements(source, [()], lambda env: env[()])
+        return Elements.of(source, ())
     return Scalar(column, dtype, info)
 
 
@@ -211,6 +211,14 @@ class Elements(Operand):
         self.source = source
         self.paths = paths
         self.build = build
+        self.bare = False  # the values are a field as it is
+        self.wanted: Column | None = None  # the predicate is "field == wanted"
+
+    @classmethod
+    def of(cls, source: Source, path: Path) -> Elements:
+        elements = cls(source, [path], lambda env: env[path])
+        elements.bare = True
+        return elements
 
     def _apply(self, operation: Callable[[Any, Any], Value], left: Any, right: Any) -> Elements:
         paths: list[Path] = []
@@ -224,7 +232,16 @@ class Elements(Operand):
             sides = [s.build(env) if isinstance(s, Elements) else s for s in (left, right)]
             return scalar(operation(*sides))
 
-        return Elements(self.source, paths, build)
+        result = Elements(self.source, paths, build)
+        if operation is rules.equals and self.bare and not isinstance(right, (Operand, Column)):
+            result.wanted = self._same_type(right)
+        return result
+
+    def _same_type(self, value: Any) -> Column | None:
+        """The literal as a column, if the comparison needs no cast."""
+        typed = self._typed()
+        wanted = rules.literal(value, typed)
+        return wanted.column if wanted.dtype == typed.dtype else None
 
     def _typed(self) -> Value:
         return self.build({p: self.source.typed(p, F.lit(None)) for p in self.paths})
@@ -257,15 +274,19 @@ class Elements(Operand):
     @property
     def column(self) -> Column:
         """The array of values."""
-        if len(self.paths) == 1:
-            path = self.paths[0]
-            bare = self.source.typed(path, F.lit(None))
-            if self.build({path: bare}) is bare:
-                return self.source.field(path)
+        if self.bare:
+            return self.source.field(self.paths[0])
         return self._over(F.transform)
 
     def any(self) -> Scalar:
-        """Whether some element is true; false for an empty array."""
+        """Whether some element is true; false for an empty array.
+
+        Searching for one value is ``array_contains``, which gives the same as
+        ``exists`` and, unlike it, is compiled into the stage.
+        """
+        if self.wanted is not None:
+            found = F.array_contains(self.source.field(self.paths[0]), self.wanted)
+            return Scalar(found, T.BooleanType())
         return Scalar(self._over(F.exists), T.BooleanType())
 
     def all(self) -> Scalar:
@@ -310,8 +331,7 @@ class Elements(Operand):
                 predicate(wrap(item, typed.dtype, typed.info, (key, "item")))
             ),
         )
-        source = Source(kept, typed.dtype, typed.info, (key, "kept"))
-        return Elements(source, [()], lambda env: env[()])
+        return Elements.of(Source(kept, typed.dtype, typed.info, (key, "kept")), ())
 
     def each(self, function: Callable[[Any], Any]) -> Elements:
         """Map every element; the way into an array of arrays."""
@@ -342,7 +362,7 @@ class RecordArray:
         path = self.prefix + (field.name,)
         if isinstance(field.dataType, T.StructType):
             return RecordArray(self.source, path, field.dataType)
-        return Elements(self.source, [path], lambda env: env[path])
+        return Elements.of(self.source, path)
 
     def query(self, predicate: Callable[[Record], Any]) -> RecordArray:
         """Keep the records for which the predicate is true."""

@@ -113,8 +113,13 @@ def flatten(df: DataFrame, separator: str = "_") -> DataFrame:
 
 
 def explode_items(df: DataFrame, path: str, keep: Sequence[str], index: str = "pos") -> DataFrame:
-    """One row per element of an array of records, with its index; other columns as kept."""
-    items = df.select(*keep, F.posexplode(F.col(path)).alias(index, "__item"))
+    """One row per element of an array of records, with its index; other columns as kept.
+
+    The outer form keeps Spark from adding a filter on the array's size, which
+    would compute a derived array twice.
+    """
+    items = df.select(*keep, F.posexplode_outer(F.col(path)).alias(index, "__item"))
+    items = items.where(F.col(index).isNotNull())
     if isinstance(schemas.type_at(df.schema, path).elementType, T.StructType):
         return items.select(*keep, index, "__item.*")
     return items.withColumnRenamed("__item", "item")

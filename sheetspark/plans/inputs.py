@@ -8,11 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheetspark.schema import enum, field
 
 CHARGE_KINDS = ["net", "discount", "tax"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+CHARGE = T.StructType(
+    [
+        T.StructField("kind", T.StringType(), False, field("kind", enum(CHARGE_KINDS)).metadata),
+        field("amount", "float64"),
+        field("rate", "float64"),
+        field("due", T.TimestampNTZType()),
+    ]
+)
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
@@ -36,22 +45,27 @@ def invoices(spark: SparkSession, folder: str) -> DataFrame:
     have no charges at all (null); a net charge has no rate (null).
     """
     price, discount, tax = (F.col(f"l_{n}") for n in ("extendedprice", "discount", "tax"))
-    kinds = field("kind", enum(CHARGE_KINDS)).metadata
-
-    def charge(kind: str, amount: Column, rate: Column, days: int) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind", metadata=kinds),
-            amount.alias("amount"),
-            rate.alias("rate"),
-            (F.col("l_shipdate") + F.make_dt_interval(F.lit(days))).alias("due"),
+    ship = F.col("l_shipdate")
+
+    def due(days: int) -> Column:
+        return ship + F.make_dt_interval(F.lit(days))
+
+    def charge(kind: str, amount: Column, rate: Column, day: Column) -> Column:
+        return F.array(
+            F.struct(
+                F.lit(kind).alias("kind", metadata=CHARGE["kind"].metadata),
+                amount.alias("amount"),
+                rate.alias("rate"),
+                day.alias("due"),
+            )
         )
 
-    charges = F.array_compact(
-        F.array(
-            F.when(F.col("l_returnflag") != "R", charge("net", price, F.lit(None).cast("double"), 0)),
-            F.when(discount > 0, charge("discount", price * discount, discount, 30)),
-            F.when(tax > 0, charge("tax", price * (1 - discount) * tax, tax, 60)),
-        )
+    none = F.array().cast(T.ArrayType(CHARGE, False))
+    no_rate = F.lit(None).cast("double")
+    charges = F.concat(
+        F.when(F.col("l_returnflag") != "R", charge("net", price, no_rate, ship)).otherwise(none),
+        F.when(discount > 0, charge("discount", price * discount, discount, due(30))).otherwise(none),
+        F.when(tax > 0, charge("tax", price * (1 - discount) * tax, tax, due(60))).otherwise(none),
     )
     lines = table(spark, folder, "lineitem")
     return lines.withColumn("charges", F.when(F.col("l_quantity") >= 2, charges))

@@ -119,5 +119,6 @@ def _per_item(item: T.DataType, path: str) -> Callable[[Column], Column]:
 
 def extract_files(df: DataFrame, keep: list[str]) -> DataFrame:
     """One row per file reference: ``keep..., path, key, extension, size``."""
-    rows = df.select(*keep, F.explode(file_references(df)).alias("__reference"))
+    rows = df.select(*keep, F.explode_outer(file_references(df)).alias("__reference"))
+    rows = rows.where(F.col("__reference").isNotNull())
     return rows.select(*keep, "__reference.path", "__reference.file.*")
