@@ -122,13 +122,12 @@ class Positions:
         self,
         df: DataFrame,
         keys: str | Sequence[str],
-        range_rows: int = RANGE_ROWS,
-        max_ranges: int = MAX_RANGES,
+        range_rows: int | None = None,
     ) -> None:
         self.df = df
         self.keys = _names(keys)
         self.count = df.count()
-        wanted = min(max_ranges, max(1, math.ceil(self.count / range_rows)))
+        wanted = min(MAX_RANGES, max(1, math.ceil(self.count / (range_rows or RANGE_ROWS))))
         levels = math.ceil(math.log2(wanted + 1)) if wanted > 1 else 0
         self._bounds = self._sample_bounds((1 << levels) - 1)
         self._steps = [1 << level for level in reversed(range(levels))] if self._bounds else []

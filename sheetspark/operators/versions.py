@@ -168,8 +168,16 @@ def ops_until(ops: DataFrame, commits: DataFrame, commit_id: str) -> DataFrame:
 
     A log partitioned by ``commit_id`` is pruned to the chain at run time.
     """
-    chain = ancestors(commits, commit_id).select("commit_id")
-    return ops.join(chain, "commit_id", "left_semi")
+    return _edits_of(ops, ancestors(commits, commit_id))
+
+
+def _edits_of(ops: DataFrame, chain: DataFrame) -> DataFrame:
+    """The edits of some commits, each listed once.
+
+    An inner join, since Catalyst pushes a semi join into a union of logs, where
+    a commit id that is a literal on one side would leave no key to join on.
+    """
+    return ops.join(chain.select("commit_id"), "commit_id").select(*ops.columns)
 
 
 def snapshot(ops: DataFrame, commits: DataFrame, commit_id: str, sheet: str | None = None) -> DataFrame:
@@ -186,7 +194,7 @@ def snapshot_from(
     later = ancestors(commits, commit_id).join(
         ancestors(commits, stored_at).select("commit_id"), "commit_id", "left_anti"
     )
-    return overlay(stored, ops.join(later.select("commit_id"), "commit_id", "left_semi"))
+    return overlay(stored, _edits_of(ops, later))
 
 
 def sheet_set(sheet_ops: DataFrame) -> DataFrame:
