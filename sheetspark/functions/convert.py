@@ -27,6 +27,8 @@ def encode_enum(column: Column, values: Any) -> Column:
 def decode_enum(column: Column, values: Any) -> Column:
     """The enum value of each integer code; null for null."""
     codes = enum_codes({"values": values})
+    if sorted(codes) == list(range(len(codes))):
+        return F.get(F.array(*[F.lit(codes[code]) for code in range(len(codes))]), column)
     return _lookup({c: v for c, v in codes.items() if v is not None}, column.cast("int"))
 
 

@@ -45,7 +45,7 @@ def bad_lengths(df: DataFrame, name: str, length: int | None = None) -> DataFram
 def unmatched_keys(df: DataFrame, values: DataFrame, key: str) -> DataFrame:
     """Keys that only one side has, with the side: a new column must cover every row."""
     left = df.select(key, F.lit(True).alias("__left"))
-    right = values.select(key, F.lit(True).alias("__right"))
+    right = values.select(key).distinct().withColumn("__right", F.lit(True))
     joined = left.join(right, key, "full")
     side = F.when(F.col("__left").isNull(), "no row").when(F.col("__right").isNull(), "no value")
     return joined.select(key, side.alias("problem")).where(F.col("problem").isNotNull())

@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from sheetspark import schema as schemas
 from sheetspark.functions.accessor import column_of, row
 from sheetspark.functions.convert import decode_enum, encode_enum, temporal_to_int
+from sheetspark.functions.rules import enum_codes
+
+LITERAL_ENUM = 200  # larger enums are looked up by a join, not by a scan of a literal map
 
 
 def add_column(df: DataFrame, name: str, function: Callable[[Any], Any] | Column) -> DataFrame:
@@ -127,8 +130,15 @@ def explode_items(df: DataFrame, path: str, keep: Sequence[str], index: str = "p
 
 def with_codes(df: DataFrame, name: str, code: str | None = None) -> DataFrame:
     """Add the integer codes of an enum column."""
+    code = code or f"{name}_code"
     values = df.schema[name].metadata["values"]
-    return df.withColumn(code or f"{name}_code", encode_enum(F.col(name), values))
+    if len(values) <= LITERAL_ENUM:
+        return df.withColumn(code, encode_enum(F.col(name), values))
+    codes = [(v, c) for c, v in enum_codes({"values": values}).items() if v is not None]
+    schema = T.StructType([df.schema[name], T.StructField(code, T.IntegerType())])
+    # As many rows as the schema declares values, whatever the size of the sheet.
+    lookup = df.sparkSession.createDataFrame(codes, schema)
+    return df.join(F.broadcast(lookup), name, "left").select(*df.columns, code)
 
 
 def from_codes(df: DataFrame, code: str, name: str, values: Any) -> DataFrame:

@@ -61,43 +61,60 @@ def append(
     return df.unionByName(assign_keys(batch, order, next_number(df, key), key))
 
 
-def update_by_key(df: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Change the rows that ``updates`` names, one update row per key.
+def update_by_key(
+    df: DataFrame, updates: DataFrame, key: str, seq: str | None = None
+) -> DataFrame:
+    """Change the rows that ``updates`` names.
 
     Only supplied columns change.  They are the columns of ``updates``, or, if it
     has an array column ``set``, the ones that each row lists there: an explicit
     null is then different from a column that is not supplied.  Updates for keys
     the sheet does not have are ignored.
+
+    A key has one update row, unless ``seq`` orders several of them; those are
+    combined before the join, and before they are shuffled.
     """
     columns = [c for c in df.columns if c != key and c in updates.columns]
-    unknown = set(updates.columns) - set(df.columns) - {SET}
+    unknown = set(updates.columns) - set(df.columns) - {SET, seq}
     if unknown:
         raise KeyError(f"the sheet has no columns {sorted(unknown)}")
     listed = SET in updates.columns and SET not in df.columns
-    new = updates.select(
-        F.col(key),
-        F.lit(True).alias("__hit"),
-        *[F.col(c).alias(f"__new_{c}") for c in columns],
-        *([F.col(SET).alias("__set")] if listed else []),
-    )
-    joined = df.join(new, key, "left")
+
+    def supplied(name: str) -> Column:
+        return F.array_contains(SET, name) if listed else F.lit(True)
+
+    if seq is None:
+        new = updates.select(
+            F.col(key),
+            *[F.struct(F.col(c).alias("v"), supplied(c).alias("set")).alias(f"__{c}") for c in columns],
+        )
+    else:
+        order = {c: F.when(supplied(c), F.col(seq)) for c in columns}
+        latest = [F.max_by(c, order[c]).alias(f"__v_{c}") for c in columns]
+        given = [F.max(order[c]).isNotNull().alias(f"__set_{c}") for c in columns]
+        new = updates.groupBy(key).agg(*latest, *given)
+        new = new.select(
+            key,
+            *[
+                F.struct(F.col(f"__v_{c}").alias("v"), F.col(f"__set_{c}").alias("set")).alias(f"__{c}")
+                for c in columns
+            ],
+        )
 
     def changed(name: str) -> Column:
-        supplied = F.col("__hit")
-        if listed:
-            supplied = supplied & F.array_contains("__set", name)
-        return F.when(supplied, F.col(f"__new_{name}")).otherwise(F.col(name))
+        update = F.col(f"__{name}")
+        value = F.when(update.getField("set"), update.getField("v")).otherwise(F.col(name))
+        return value.alias(name, metadata=df.schema[name].metadata)
 
-    result = joined.select(
-        *[changed(c).alias(c, metadata=df.schema[c].metadata) if c in columns else c for c in df.columns]
-    )
+    joined = df.join(new, key, "left")
+    result = joined.select(*[changed(c) if c in columns else c for c in df.columns])
     require_same_schema(df.schema, result.schema)
     return result
 
 
 def delete_by_key(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Remove the rows whose key is listed."""
-    return df.join(keys.select(key), key, "left_anti")
+    """Remove the rows whose key is listed, once or many times."""
+    return df.join(keys.select(key).distinct(), key, "left_anti")
 
 
 def keys_of_slice(

@@ -17,7 +17,6 @@ one grouped aggregation with map-side combine folds any number of edits per key.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,8 +26,7 @@ from pyspark.sql import types as T
 from sheetspark.functions.accessor import find_field
 from sheetspark.runtime import ensure_checkpoints
 
-OPS_COLUMNS = ("commit_id", "sheet", "seq", "op", "record_key", "cols", "set")
-
+JUMP_GROWTH = 4
 
 def _sheet_columns(ops: DataFrame) -> T.StructType:
     return ops.schema["cols"].dataType
@@ -95,10 +93,10 @@ def overlay(snapshot: DataFrame, ops: DataFrame) -> DataFrame:
 def ancestors(commits: DataFrame, commit_id: str) -> DataFrame:
     """A commit and its ancestors with their ``distance`` from it.
 
-    Jump pointers double in length each round, so a chain of a million commits
-    takes twenty small joins rather than a million recursion steps.  The links
+    Jump pointers grow fourfold each round, so a chain of a million commits takes
+    ten rounds of small joins rather than a million recursion steps.  The links
     and the two tables of a round are checkpointed; otherwise each round would
-    contain two copies of the one before.
+    contain several copies of the one before.
     """
     ensure_checkpoints(commits.sparkSession)
     links = commits.select("commit_id", "parent_id").checkpoint()
@@ -107,20 +105,23 @@ def ancestors(commits: DataFrame, commit_id: str) -> DataFrame:
         "commit_id", F.lit(0).cast("bigint").alias("distance")
     )
     jumps = links.where(F.col("parent_id").isNotNull()).withColumnRenamed("parent_id", "target")
-    for level in range(math.ceil(math.log2(total + 1)) if total else 0):
-        reached = found.join(jumps, "commit_id").select(
-            F.col("target").alias("commit_id"),
-            (F.col("distance") + (1 << level)).alias("distance"),
-        )
-        found = found.unionByName(reached).checkpoint()
-        longer = jumps.select(F.col("commit_id").alias("target"), F.col("target").alias("__next"))
-        jumps = (
-            jumps.join(longer, "target")
-            .select("commit_id", F.col("__next").alias("target"))
-            .checkpoint()
-        )
-        if jumps.isEmpty():
-            break
+    stride = 1  # a jump leads from a commit to its ancestor at this distance
+    while stride < total:
+        onward = jumps.select(F.col("commit_id").alias("target"), F.col("target").alias("__next"))
+        longer, reached = jumps, found
+        for times in range(1, JUMP_GROWTH):
+            steps = found.join(longer, "commit_id").select(
+                F.col("target").alias("commit_id"),
+                (F.col("distance") + times * stride).alias("distance"),
+            )
+            reached = reached.unionByName(steps)
+            longer = longer.join(onward, "target").select(
+                "commit_id", F.col("__next").alias("target")
+            )
+        found = reached.checkpoint()
+        stride *= JUMP_GROWTH
+        if stride < total:
+            jumps = longer.checkpoint()
     return found
 
 
@@ -191,10 +192,11 @@ def snapshot_from(
     stored: DataFrame, stored_at: str, ops: DataFrame, commits: DataFrame, commit_id: str
 ) -> DataFrame:
     """The rows at a commit from the stored snapshot of an ancestor and the edits since."""
-    later = ancestors(commits, commit_id).join(
-        ancestors(commits, stored_at).select("commit_id"), "commit_id", "left_anti"
-    )
-    return overlay(stored, _edits_of(ops, later))
+    chain = ancestors(commits, commit_id)
+    at = chain.where(F.col("commit_id") == stored_at).first()
+    if at is None:
+        raise LookupError(f"{stored_at!r} is not an ancestor of {commit_id!r}")
+    return overlay(stored, _edits_of(ops, chain.where(F.col("distance") < at["distance"])))
 
 
 def sheet_set(sheet_ops: DataFrame) -> DataFrame:

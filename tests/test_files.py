@@ -56,8 +56,8 @@ def test_file_table(spark, tmp_path):
     assert [r.key for r in copies] == ["p/" + hashlib.sha1(b"one").hexdigest()]
 
 
-def _jpeg(height, width):
-    app = b"\xff\xe1" + struct.pack(">H", 5000) + bytes(4998)
+def _jpeg(height, width, segments=1):
+    app = segments * (b"\xff\xe1" + struct.pack(">H", 5000) + bytes(4998))
     table = b"\xff\xc4" + struct.pack(">H", 19) + bytes(17)
     padded = b"\xff\xff\xff\xdb" + struct.pack(">H", 4) + b"\xff\xc0"
     return b"\xff\xd8" + app + table + padded + b"\xff\xc1\x00\x11\x08" + struct.pack(">HH", height, width)
@@ -79,6 +79,7 @@ def _webp(chunk, body):
 
 IMAGES = {
     "jpeg": (_jpeg(480, 640), 480, 640),
+    "jpeg long": (_jpeg(481, 641, 300), 481, 641),
     "png": (b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR" + struct.pack(">LL", 640, 480), 480, 640),
     "png-old": (b"\x89PNG\r\n\x1a\n" + struct.pack(">LL", 640, 480) + b"", 480, 640),
     "gif": (b"GIF87a" + struct.pack("<HH", 640, 480), 480, 640),
@@ -121,6 +122,7 @@ def test_image_sizes(spark):
         b"BM" + bytes(12) + struct.pack("<I", 20) + bytes(20),
         b"FLIF31" + b"\xff" * 30,
         _jpeg(10, 10)[:-2],
+        _jpeg(10, 10, 300)[:-2],
     ],
 )
 def test_broken_images_have_no_size(spark, data):

@@ -181,3 +181,15 @@ def test_updates(spark):
     assert {r.k: r.a for r in plain.collect()} == {0: 99, 1: None, 2: 5, 3: 30}
     with pytest.raises(KeyError):
         edit.update_by_key(df, some.withColumnRenamed("b", "c"), "k")
+
+
+def test_several_updates_of_one_key(spark):
+    df = from_rows(spark, [{"k": i, "a": i * 10, "b": f"b{i}"} for i in range(3)])
+    many = spark.createDataFrame(
+        [(0, 1, "x", ["a", "b"], 5), (0, None, "y", ["a"], 9), (0, 7, "z", ["b"], 2), (1, 8, "q", [], 3)],
+        "k bigint, a bigint, b string, set array<string>, seq bigint",
+    )
+    result = {r.k: (r.a, r.b) for r in edit.update_by_key(df, many, "k", "seq").collect()}
+    assert result == {0: (None, "x"), 1: (10, "b1"), 2: (20, "b2")}
+    twice = many.select("k").where("k = 0")
+    assert sorted(r.k for r in edit.delete_by_key(df, twice, "k").collect()) == [1, 2]

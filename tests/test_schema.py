@@ -266,6 +266,20 @@ def test_enum_codes_invert(spark):
         assert [r.e_code for r in back.collect()] == [*expected, None]
 
 
+def test_large_enums(spark, plan):
+    values = [f"label {i}" for i in range(1000)]
+    df = load.from_rows(
+        spark, [{"i": i, "e": values[i % 1000]} for i in range(3000)] + [{"i": 9999}],
+        schemas.record(i="int64", e=schemas.enum(values)),
+    )
+    coded = columns.with_codes(df, "e")
+    assert "BroadcastHashJoin" in plan(coded)
+    back = columns.from_codes(coded, "e_code", "again", values)
+    assert back.count() == 3001
+    assert back.where(~F.col("e").eqNullSafe(F.col("again"))).isEmpty()
+    assert {r.i: r.e_code for r in coded.collect()} == {**{i: i % 1000 for i in range(3000)}, 9999: None}
+
+
 def test_write_refuses_bad_sheets(spark, tmp_path):
     schema = schemas.record(e=schemas.enum(["a"]))
     good = load.from_rows(spark, [{"e": "a"}, {"e": None}], schema)
