@@ -10,6 +10,9 @@ else goes through :class:`Positions`, which never sorts the sheet in one task:
 3. a read keeps only the ranges it touches (the bounds reach the Parquet reader
    as pushed filters) and numbers the rows inside each range in parallel.
 
+Consecutive rows need no numbers: the keys at the two ends are looked up, and
+the read is a filter between two literals that shuffles nothing.
+
 The bounds are fixed literals, so a lost executor recomputes the same ranges.
 How good the sample was affects only how even the ranges are, not the result.
 """
@@ -28,11 +31,16 @@ RANGE_ROWS = 50_000  # rows aimed at in one range
 MAX_RANGES = 16_384  # bounds the sample and the counts that reach the driver
 SAMPLE_PER_RANGE = 16
 
+# Keys travel as JSON literals; timestamps keep their microseconds.
+KEY_FORMAT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def order_by(df: DataFrame, columns: str | Sequence[str], key: str) -> DataFrame:
     """Order by (nested) columns, ``"a|b.c"`` or a list; ties by the record key."""
-    paths = [p for p in columns.split("|") if p] if isinstance(columns, str) else list(columns)
-    return df.orderBy(*[F.col(path).asc_nulls_first() for path in paths], F.col(key))
+    return df.orderBy(*_ascending(_names(columns)), F.col(key))
 
 
 def sort(df: DataFrame, columns: str | Sequence[str], key: str | None = None) -> DataFrame:
@@ -40,9 +48,8 @@ def sort(df: DataFrame, columns: str | Sequence[str], key: str | None = None) ->
 
     Nulls come first ascending and last descending.
     """
-    parts = columns.split(",") if isinstance(columns, str) else list(columns)
     keys = []
-    for part in parts:
+    for part in _names(columns):
         name, _, direction = part.strip().lstrip("-").partition(":")
         down = part.strip().startswith("-") or direction.lower() == "desc"
         keys.append(F.col(name).desc_nulls_last() if down else F.col(name).asc_nulls_first())
@@ -51,21 +58,22 @@ def sort(df: DataFrame, columns: str | Sequence[str], key: str | None = None) ->
 
 def page(
     df: DataFrame,
-    keys: str | Sequence[str],
+    key: str,
+    order_by: str | Sequence[str] = (),
     offset: int = 0,
     limit: int = 128,
     columns: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """``limit`` rows from ``offset`` on, in key order, optionally projected."""
-    keys = _names(keys)
+    """``limit`` rows from ``offset`` on, ordered by some columns and then by the record key.
+
+    Columns may be given as a list or as text, ``"a|b.c"`` or ``"a,b.c"``.
+    """
+    keys = [*_names(order_by), key]
     if offset + limit <= TOP_K:
         rows = df.orderBy(*_ascending(keys)).offset(offset).limit(limit)
     else:
-        rows = Positions(df, keys).rows(offset, offset + limit).drop("pos")
-    if columns is None:
-        return rows
-    paths = columns.replace(",", "|").split("|") if isinstance(columns, str) else columns
-    return rows.select(*paths)
+        rows = Positions(df, keys).span(offset, offset + limit).orderBy(*_ascending(keys))
+    return rows if columns is None else rows.select(*_names(columns))
 
 
 def head(df: DataFrame, keys: str | Sequence[str], n: int = 5) -> DataFrame:
@@ -73,7 +81,8 @@ def head(df: DataFrame, keys: str | Sequence[str], n: int = 5) -> DataFrame:
     keys = _names(keys)
     if 0 <= n <= TOP_K:
         return df.orderBy(*_ascending(keys)).limit(n)
-    return slice_rows(df, keys, None, n).drop("pos")
+    positions = Positions(df, keys)
+    return positions.span(0, n if n > 0 else positions.count + n)
 
 
 def tail(df: DataFrame, keys: str | Sequence[str], n: int = 5) -> DataFrame:
@@ -84,7 +93,8 @@ def tail(df: DataFrame, keys: str | Sequence[str], n: int = 5) -> DataFrame:
     if 0 < n <= TOP_K:
         last = df.orderBy(*[F.col(k).desc_nulls_last() for k in keys]).limit(n)
         return last.orderBy(*_ascending(keys))
-    return slice_rows(df, keys, -n, None).drop("pos")
+    positions = Positions(df, keys)
+    return positions.span(max(0, positions.count - n) if n > 0 else -n, positions.count)
 
 
 def row_at(df: DataFrame, keys: str | Sequence[str], index: int) -> DataFrame:
@@ -126,6 +136,8 @@ class Positions:
     ) -> None:
         self.df = df
         self.keys = _names(keys)
+        if not self.keys:
+            raise ValueError("positions need an order that identifies every row")
         self.count = df.count()
         wanted = min(MAX_RANGES, max(1, math.ceil(self.count / (range_rows or RANGE_ROWS))))
         levels = math.ceil(math.log2(wanted + 1)) if wanted > 1 else 0
@@ -141,8 +153,7 @@ class Positions:
         keys = self.df.select(*self._key_fields())
         if fraction < 1.0:
             keys = keys.sample(fraction, seed=7)
-        names = [f"k{i}" for i in range(len(self.keys))]
-        sampled = [r[0] for r in keys.orderBy(*names).select(F.to_json(F.struct(*names))).collect()]
+        sampled = self._as_json(keys.orderBy(*keys.columns))
         if not sampled:
             return []
         return [sampled[i * len(sampled) // (wanted + 1)] for i in range(1, wanted + 1)]
@@ -150,17 +161,37 @@ class Positions:
     def _key_fields(self) -> list[Column]:
         return [F.col(key).alias(f"k{i}") for i, key in enumerate(self.keys)]
 
-    def _bounds_column(self) -> Column:
-        """The bounds as one array; Catalyst folds it to a literal."""
+    def _as_json(self, keys: DataFrame) -> list[str]:
+        packed = F.to_json(F.struct(*keys.columns), KEY_FORMAT)
+        return [r[0] for r in keys.select(packed).collect()]
+
+    def _literals(self, keys: Sequence[str]) -> Column:
+        """Keys given as JSON, as one array; Catalyst folds it to a literal."""
         schema = self.df.select(*self._key_fields()).schema
         fields = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema.fields)
-        return F.from_json(F.lit("[" + ",".join(self._bounds) + "]"), f"array<struct<{fields}>>")
+        text = F.lit("[" + ",".join(keys) + "]")
+        return F.from_json(text, f"array<struct<{fields}>>", KEY_FORMAT)
+
+    # Nulls come first.  The whole key decides; the test of the leading column
+    # beside it only says less, in a form that reaches the Parquet reader.
+
+    def _from(self, bound: Column) -> Column:
+        """Rows at or after a key."""
+        lead = bound.getField("k0")
+        later = F.struct(*self._key_fields()) >= bound
+        return ((F.col(self.keys[0]) >= lead) | lead.isNull()) & later
+
+    def _before(self, bound: Column) -> Column:
+        """Rows before a key."""
+        leading = F.col(self.keys[0])
+        earlier = F.struct(*self._key_fields()) < bound
+        return ((leading <= bound.getField("k0")) | leading.isNull()) & earlier
 
     def _range(self) -> Column:
         """How many bounds are at or below the key of the row, by binary search."""
         if not self._bounds:
             return F.lit(0)
-        bounds, key = self._bounds_column(), F.struct(*self._key_fields())
+        bounds, key = self._literals(self._bounds), F.struct(*self._key_fields())
         return F.aggregate(
             F.array(*[F.lit(step) for step in self._steps]),
             F.lit(0),
@@ -188,17 +219,10 @@ class Positions:
         first = max(i for i, s in enumerate(self.starts[:-1]) if s <= start)
         last = max(i for i, s in enumerate(self.starts[:-1]) if s < stop)
         rows = self.df
-        if self._bounds:
-            # The leading key alone reaches the Parquet reader; the whole key is exact.
-            bounds, leading = self._bounds_column(), F.col(self.keys[0])
-            key = F.struct(*self._key_fields())
-            if first > 0:
-                lower = F.element_at(bounds, first)
-                rows = rows.where((leading >= lower.getField("k0")) & (key >= lower))
-            if last < len(self._bounds):
-                upper = F.element_at(bounds, last + 1)
-                below = (leading <= upper.getField("k0")) & (key < upper)
-                rows = rows.where(below if first > 0 else below | leading.isNull())
+        if first > 0:
+            rows = rows.where(self._from(self._literals(self._bounds[first - 1 : first])[0]))
+        if last < len(self._bounds):
+            rows = rows.where(self._before(self._literals(self._bounds[last : last + 1])[0]))
         starts = F.from_json(F.lit(str(self.starts)), "array<bigint>")
         rows = rows.withColumn("__range", self._range())
         within = F.row_number().over(
@@ -210,6 +234,30 @@ class Positions:
             return rows
         return rows.where((F.col("pos") >= start) & (F.col("pos") < stop))
 
+    def span(self, start: int, stop: int) -> DataFrame:
+        """The rows at positions ``start <= pos < stop``, without ``pos`` and without a shuffle."""
+        start, stop = max(start, 0), min(stop, self.count)
+        if start >= stop:
+            return self.df.limit(0)
+        ends = [p for p in (start, stop) if 0 < p < self.count]
+        found = {p: self._literals(self._as_json(self._keys_at(p)))[0] for p in ends}
+        rows = self.df
+        if start in found:
+            rows = rows.where(self._from(found[start]))
+        if stop in found:
+            rows = rows.where(self._before(found[stop]))
+        return rows
+
+    def without(self, start: int, stop: int) -> DataFrame:
+        """All rows but those of :meth:`span`."""
+        start, stop = max(start, 0), min(stop, self.count)
+        if start >= stop:
+            return self.df
+        return self.span(0, start).unionByName(self.span(stop, self.count))
+
+    def _keys_at(self, position: int) -> DataFrame:
+        return self.rows(position, position + 1).select(*self._key_fields())
+
     def slice(self, start: int | None, stop: int | None, step: int | None = None) -> DataFrame:
         """The rows of a Python slice, with ``pos``."""
         chosen = range(*slice(start, stop, step).indices(self.count))
@@ -240,11 +288,10 @@ def subset(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*names)
 
 
-def _names(keys: str | Sequence[str]) -> list[str]:
-    names = [keys] if isinstance(keys, str) else list(keys)
-    if not names:
-        raise ValueError("positions need an order that identifies every row")
-    return names
+def _names(names: str | Sequence[str]) -> list[str]:
+    if isinstance(names, str):
+        names = names.replace(",", "|").split("|")
+    return [name for name in names if name]
 
 
 def _ascending(keys: Sequence[str]) -> list[Any]:

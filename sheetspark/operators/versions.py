@@ -27,6 +27,7 @@ from sheetspark.functions.accessor import find_field
 from sheetspark.runtime import ensure_checkpoints
 
 JUMP_GROWTH = 4
+LITERAL_CHAIN = 2_000  # commits in a chain that may become literals in a plan
 
 def _sheet_columns(ops: DataFrame) -> T.StructType:
     return ops.schema["cols"].dataType
@@ -165,22 +166,31 @@ def resolve_all(revisions: DataFrame, commits: DataFrame, refs: DataFrame) -> Da
 
 
 def ops_until(ops: DataFrame, commits: DataFrame, commit_id: str) -> DataFrame:
-    """The edits on the ancestor chain of a commit.
-
-    A log partitioned by ``commit_id`` is pruned to the chain at run time.
-    """
+    """The edits on the ancestor chain of a commit."""
     return _edits_of(ops, ancestors(commits, commit_id))
 
 
 def _edits_of(ops: DataFrame, chain: DataFrame) -> DataFrame:
     """The edits of some commits, each listed once.
 
-    An inner join, since Catalyst pushes a semi join into a union of logs, where
-    a commit id that is a literal on one side would leave no key to join on.
+    A chain that is counted to be short becomes a literal list, so that a log
+    partitioned by commit is pruned and no edit is shuffled.  A longer one is an
+    inner join: Catalyst pushes a semi join into a union of logs, where a commit
+    id that is a literal on one side would leave no key to join on.
     """
+    ids = chain.select("commit_id").limit(LITERAL_CHAIN + 1).collect()
+    if len(ids) <= LITERAL_CHAIN:
+        return ops.where(F.col("commit_id").isin([r["commit_id"] for r in ids]))
     return ops.join(chain.select("commit_id"), "commit_id").select(*ops.columns)
 
 
+def read_revision(
+    ops: DataFrame, commits: DataFrame, refs: DataFrame, revision: str, sheet: str
+) -> DataFrame:
+    """The rows of a sheet at a commit id, branch or tag."""
+    return snapshot(ops, commits, resolve(commits, refs, revision), sheet)
+
+
 def snapshot(ops: DataFrame, commits: DataFrame, commit_id: str, sheet: str | None = None) -> DataFrame:
     """The rows of a sheet, or of every sheet, at a commit."""
     if sheet is not None:

@@ -132,6 +132,44 @@ def delete_slice(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderpriority FROM ranked
+    WHERE pos < 100 OR pos >= n - 500"""
+)
+def delete_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return edit.delete_slice(_orders(spark, folder), BY_PRICE, "o_orderkey", 100, -500)
+
+
+@query(
+    """WITH last AS (
+      SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id
+      FROM events WHERE event_type IN ('click', 'view') GROUP BY user_id),
+    priced AS (SELECT user_id, arg_max(value, event_id) AS value FROM events
+      WHERE event_type = 'click' GROUP BY user_id)
+    SELECT c_custkey, coalesce(p.value, c_acctbal) AS c_acctbal,
+      coalesce(l.event_type, c_mktsegment) AS c_mktsegment
+    FROM customer LEFT JOIN last l ON l.user_id = c_custkey LEFT JOIN priced p ON p.user_id = c_custkey"""
+)
+def update_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Many updates of a key, in the order of the events; a view does not supply the balance."""
+    events = where(
+        table(spark, folder, "events"),
+        lambda x: (x["event_type"] == "click") | (x["event_type"] == "view"),
+    )
+    balance, segment = F.lit("c_acctbal"), F.lit("c_mktsegment")
+    updates = events.select(
+        F.col("user_id").alias("c_custkey"),
+        "event_id",
+        F.col("value").alias("c_acctbal"),
+        F.col("event_type").alias("c_mktsegment"),
+        F.when(F.col("event_type") == "click", F.array(balance, segment))
+        .otherwise(F.array(segment))
+        .alias("set"),
+    )
+    customers = table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    return edit.update_by_key(customers, updates, "c_custkey", seq="event_id")
+
+
 @query(
     """SELECT d.doc_id, d.n_chars, CAST(l.toxic AS BIGINT) AS toxic
        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""

@@ -49,7 +49,12 @@ def sort_desc(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"WITH {RANKED} SELECT o_orderkey, o_totalprice FROM ranked WHERE pos >= 384 AND pos < 512")
 def page(spark: SparkSession, folder: str) -> DataFrame:
     return order.page(
-        _orders(spark, folder), BY_PRICE, offset=384, limit=128, columns="o_orderkey|o_totalprice"
+        _orders(spark, folder),
+        "o_orderkey",
+        order_by="o_totalprice",
+        offset=384,
+        limit=128,
+        columns="o_orderkey|o_totalprice",
     )
 
 
@@ -58,7 +63,9 @@ def page(spark: SparkSession, folder: str) -> DataFrame:
     WHERE pos >= 10500 AND pos < 12500"""
 )
 def deep_page(spark: SparkSession, folder: str) -> DataFrame:
-    return order.page(_orders(spark, folder), BY_PRICE, offset=10500, limit=2000)
+    return order.page(
+        _orders(spark, folder), "o_orderkey", order_by="o_totalprice", offset=10500, limit=2000
+    )
 
 
 @query(f"WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus FROM ranked WHERE pos < 100")
@@ -82,6 +89,14 @@ def tail(spark: SparkSession, folder: str) -> DataFrame:
     return order.tail(_orders(spark, folder), BY_PRICE, 100)
 
 
+@query(
+    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus FROM ranked
+    WHERE pos >= 300"""
+)
+def tail_negative(spark: SparkSession, folder: str) -> DataFrame:
+    return order.tail(_orders(spark, folder), BY_PRICE, -300)
+
+
 @query(
     f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus, pos FROM ranked
     WHERE pos = n - 777"""

@@ -42,9 +42,12 @@ def _tuple(value: Any, dtype: T.DataType) -> Any:
     return value
 
 
-def from_values(spark: SparkSession, values: Iterable[Any], name: str = "value") -> DataFrame:
-    """A single column from plain values."""
-    return from_arrow(spark, pa.table({name: pa.array(list(values))}))
+def from_values(
+    spark: SparkSession, values: Iterable[Any] | pa.Array, name: str = "value"
+) -> DataFrame:
+    """A single column from plain values or an Arrow array."""
+    column = values if isinstance(values, (pa.Array, pa.ChunkedArray)) else pa.array(list(values))
+    return from_arrow(spark, pa.table({name: column}))
 
 
 def from_arrow(spark: SparkSession, data: pa.Table | pa.StructArray) -> DataFrame:

@@ -21,6 +21,11 @@ def read_sheet(spark: SparkSession, root: str, sheet: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{sheet}")
 
 
+def append_edits(ops: DataFrame, path: str) -> None:
+    """Add the edits of a commit to a stored log, one folder per commit."""
+    ops.write.mode("append").partitionBy("commit_id").parquet(path)
+
+
 def write_bucketed(
     df: DataFrame, table: str, key: str = RECORD_KEY, buckets: int = 1024, path: str | None = None
 ) -> None:

@@ -72,6 +72,9 @@ def test_every_row_has_its_rank(numbered, keys):
     ranked = positions.rows(0, positions.count).select("i", "pos").collect()
     expected = [r.i for r in numbered.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).collect()]
     assert [r.i for r in sorted(ranked, key=lambda r: r.pos)] == expected
+    for start, stop in [(0, 1), (40, 90), (200, 330), (700, 1500), (1990, 2000)]:
+        some = positions.rows(start, stop).select("i", "pos").collect()
+        assert {r.pos: r.i for r in some} == dict(enumerate(expected[start:stop], start))
 
 
 def test_ranges_stay_small_for_a_hot_key(numbered):
@@ -106,11 +109,32 @@ def test_slice_prunes_the_scan(spark, tmp_path, plan):
     assert "SinglePartition" not in text
 
 
-def test_deep_pages_use_ranges(numbered, plan):
+def test_deep_pages_use_ranges(numbered, plan, monkeypatch):
     expected = [r.i for r in numbered.orderBy("i").collect()]
     got = order.page(numbered, "i", offset=1500, limit=20, columns="i")
     assert [r.i for r in got.collect()] == expected[1500:1520]
     assert "TakeOrderedAndProject" in plan(got)
+    monkeypatch.setattr(order, "TOP_K", 100)
+    monkeypatch.setattr(order, "RANGE_ROWS", 50)
+    by = ["s", "t"]
+    expected = [r.i for r in order.order_by(numbered, by, "i").collect()]
+    got = order.page(numbered, "i", "s|t", offset=1500, limit=20, columns="i,t")
+    assert [r.i for r in got.collect()] == expected[1500:1520]
+    assert "TakeOrdered" not in plan(got) and "Window" not in plan(got)
+
+
+@pytest.mark.parametrize("keys", [["i"], ["s", "i"], ["f", "i"], ["t", "i"], ["s", "f", "t", "i"]])
+def test_consecutive_rows_are_a_filter(numbered, keys, plan):
+    positions = Positions(numbered, keys, range_rows=50)
+    ordered = numbered.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    expected = [r.i for r in ordered.collect()]
+    for start, stop in [(0, 2000), (0, 1), (7, 300), (1999, 2000), (399, 401), (5, 5), (-3, 9999)]:
+        rows = positions.span(start, stop)
+        assert sorted(r.i for r in rows.collect()) == sorted(expected[max(start, 0) : stop])
+        assert "Exchange" not in plan(rows) or "InMemory" in plan(rows)
+        rest = positions.without(start, stop)
+        outside = expected[: max(start, 0)] + expected[max(start, stop) :]
+        assert sorted(r.i for r in rest.collect()) == sorted(outside)
 
 
 def test_order_and_sort(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sheetspark import schema as schemas
 from sheetspark.operators import versions
+from sheetspark.sources.sheets import append_edits
 
 COLS = schemas.record(a="int64", b="string")
 SCHEMA = (
@@ -131,6 +132,24 @@ def test_snapshots_follow_the_chain(spark):
     assert versions.snapshot(ops, commits, "d2").columns == ["sheet", "record_key", "a", "b"]
 
 
+def test_a_stored_log_is_pruned_to_the_chain(spark, tmp_path, plan, monkeypatch):
+    rng = random.Random(4)
+    log = random_log(rng, 300, 40, commits=tuple(f"m{i}" for i in range(6)))
+    ops, commits = spark.createDataFrame(log, SCHEMA), chain(spark, 6)
+    append_edits(ops.where("commit_id < 'm3'"), str(tmp_path / "log"))
+    append_edits(ops.where("commit_id >= 'm3'"), str(tmp_path / "log"))
+    stored = spark.read.parquet(str(tmp_path / "log"))
+    refs = spark.createDataFrame([("v", "tag", "m3")], "name string, kind string, commit_id string")
+    rows = versions.read_revision(stored, commits, refs, "v", "s")
+    expected = replay([r for r in log if r[0] <= "m3"])
+    assert as_state(rows) == expected
+    assert "PartitionFilters: [commit_id" in plan(rows)
+    assert "Join" not in plan(rows)
+    monkeypatch.setattr(versions, "LITERAL_CHAIN", 2)
+    joined = versions.read_revision(stored, commits, refs, "v", "s")
+    assert "Join" in plan(joined) and as_state(joined) == expected
+
+
 def test_revisions(spark):
     commits = chain(spark, 4)
     refs = spark.createDataFrame(
