@@ -143,6 +143,9 @@ class Record:
     def keys(self) -> list[str]:
         return self.fields.fieldNames()
 
+    def items(self) -> list[tuple[str, Any]]:
+        return [(name, self[name]) for name in self.keys()]
+
 
 def find_field(fields: T.StructType, name: str) -> T.StructField:
     """Find a field by exact name first, then ignoring case."""

@@ -63,9 +63,3 @@ def _interval_micros(column: Column) -> Column:
     minutes = F.extract(F.lit("MINUTE"), column).cast("bigint")
     micros = (F.extract(F.lit("SECOND"), column) * 1_000_000).cast("bigint")
     return ((days * 24 + hours) * 60 + minutes) * 60_000_000 + micros
-
-
-def time_to_int(hour: int, minute: int = 0, second: int = 0, micro: int = 0, unit: str = "us") -> int:
-    """A time of day in the unit of its column."""
-    micros = ((hour * 60 + minute) * 60 + second) * UNIT_TICKS["us"] + micro
-    return micros * UNIT_TICKS[unit] // UNIT_TICKS["us"]

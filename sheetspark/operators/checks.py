@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import operator
+from collections.abc import Mapping
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,36 +15,71 @@ from sheetspark import schema as schemas
 from sheetspark.functions.rules import enum_codes
 
 
-def _members(info: dict) -> list:
+def _members(info: Mapping[str, Any]) -> list[Any]:
     return [value for value in enum_codes(info).values() if value is not None]
 
 
+def undeclared(column: Column, dtype: T.DataType, info: Mapping[str, Any]) -> Column | None:
+    """Whether a value breaks its declaration, at any depth; None if nothing is declared.
+
+    An enum must hold a declared value or null, a fixed-length array that many items.
+    """
+    if info.get("type") == "enum":
+        return F.coalesce(~column.isin(_members(info)), F.lit(False))
+    broken = []
+    if isinstance(dtype, T.StructType):
+        parts = [undeclared(column.getField(f.name), f.dataType, f.metadata) for f in dtype.fields]
+        broken = [part for part in parts if part is not None]
+    elif isinstance(dtype, T.ArrayType):
+        items, item_info = dtype.elementType, info.get("items", {})
+        if "length" in info:
+            broken.append(F.coalesce(length_violation(column, info["length"]), F.lit(False)))
+        if undeclared(F.lit(None), items, item_info) is not None:
+            found = F.exists(column, lambda item: undeclared(item, items, item_info))
+            broken.append(F.coalesce(found, F.lit(False)))
+    return functools.reduce(operator.or_, broken) if broken else None
+
+
+def _column_violation(f: T.StructField) -> Column | None:
+    return undeclared(F.col(f"`{f.name}`"), f.dataType, f.metadata)
+
+
+def enum_violation(df: DataFrame, name: str) -> Column:
+    """Whether a column holds an enum value, at any depth, that is not declared."""
+    found = _column_violation(df.schema[name])
+    return F.lit(False) if found is None else found
+
+
+def length_violation(column: Column | str, length: int) -> Column:
+    return F.array_size(column) != length
+
+
 def bad_enums(df: DataFrame, name: str) -> DataFrame:
-    """Rows whose enum column holds a value that is not declared."""
-    return df.where(~F.col(name).isin(_members(df.schema[name].metadata)))
+    """Rows whose column holds an enum value that is not declared."""
+    return df.where(enum_violation(df, name))
+
+
+def bad_lengths(df: DataFrame, name: str, length: int | None = None) -> DataFrame:
+    """Rows whose array does not have its fixed length."""
+    wanted = df.schema[name].metadata["length"] if length is None else length
+    return df.where(length_violation(name, wanted))
 
 
-def require_enums(df: DataFrame) -> DataFrame:
-    """The same rows; running them fails on the first undeclared enum value.
+def require_declared(df: DataFrame) -> DataFrame:
+    """The same rows; running them fails on the first value that breaks its declaration.
 
     One pass: the check rides on whatever job reads the frame.
     """
     for f in df.schema.fields:
-        if f.metadata.get("type") == "enum":
-            value = F.col(f.name)
-            known = value.isNull() | value.isin(_members(f.metadata))
-            message = F.concat(F.lit(f"undeclared enum value in {f.name}: "), value.cast("string"))
-            checked = F.when(known, value).otherwise(F.raise_error(message).cast(f.dataType))
+        broken = _column_violation(f)
+        if broken is not None:
+            value = F.col(f"`{f.name}`")
+            message = F.concat(F.lit(f"undeclared value in {f.name}: "), F.to_json(F.struct(value)))
+            checked = F.when(broken, F.raise_error(message).cast(f.dataType)).otherwise(value)
             df = df.withColumn(f.name, checked).withMetadata(f.name, f.metadata)
     return df
 
 
-def bad_lengths(df: DataFrame, name: str, length: int | None = None) -> DataFrame:
-    """Rows whose array does not have its fixed length."""
-    wanted = df.schema[name].metadata["length"] if length is None else length
-    return df.where(F.array_size(F.col(name)) != wanted)
-
-
 def unmatched_keys(df: DataFrame, values: DataFrame, key: str) -> DataFrame:
     """Keys that only one side has, with the side: a new column must cover every row."""
     left = df.select(key, F.lit(True).alias("__left"))
@@ -74,15 +112,3 @@ def violation_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """Count the rows that break each named condition, in one pass."""
     counted = df.agg(*[F.count(F.when(broken, 1)).alias(name) for name, broken in checks.items()])
     return counted.unpivot([], list(checks), "check", "violations")
-
-
-def enum_violation(df: DataFrame, name: str) -> Column:
-    return ~F.col(name).isin(_members(df.schema[name].metadata))
-
-
-def length_violation(name: str, length: int) -> Column:
-    return F.array_size(F.col(name)) != length
-
-
-def has_conflicts(names: Sequence[str]) -> bool:
-    return len({name.lower() for name in names}) < len(names)

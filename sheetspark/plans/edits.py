@@ -45,15 +45,16 @@ def append_keys(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""WITH {RANKED},
     batch AS (SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS i
-              FROM customer WHERE c_custkey < 100)
+              FROM customer)
     SELECT o_orderkey, coalesce(c_acctbal, o_totalprice) AS o_totalprice,
       CASE WHEN c_custkey IS NULL THEN o_orderstatus ELSE 'N' END AS o_orderstatus,
       CASE WHEN c_custkey IS NULL THEN o_orderpriority END AS o_orderpriority
     FROM ranked LEFT JOIN batch ON pos >= 300 AND (pos - 300) % 2 = 0 AND i = (pos - 300) // 2"""
 )
 def replace_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """``iloc[300:500:2] = rows``; the new rows leave the priority empty."""
-    rows = where(table(spark, folder, "customer"), lambda x: x["c_custkey"] < 100).select(
+    """``iloc[300 : 300 + 2 * n : 2] = rows``, n rows; they leave the priority empty."""
+    customers = table(spark, folder, "customer")
+    rows = customers.select(
         "c_custkey",
         F.col("c_acctbal").alias("o_totalprice"),
         F.lit("N").alias("o_orderstatus"),
@@ -66,25 +67,30 @@ def replace_rows(spark: SparkSession, folder: str) -> DataFrame:
         rows,
         ["o_totalprice", "c_custkey"],
         300,
-        500,
+        300 + 2 * customers.count(),
         2,
     )
 
 
 @query(
     f"""WITH {RANKED},
-    batch AS (SELECT p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part
-              WHERE p_partkey < 150)
+    batch AS (SELECT p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
     SELECT o_orderkey, o_totalprice, o_orderstatus, coalesce(p_name, o_orderpriority) AS o_orderpriority
     FROM ranked LEFT JOIN batch ON i = n - 1 - pos"""
 )
 def set_cells(spark: SparkSession, folder: str) -> DataFrame:
-    """``df["o_orderpriority"][:-151:-1] = values``, from the last row backwards."""
-    values = where(table(spark, folder, "part"), lambda x: x["p_partkey"] < 150).select(
-        "p_partkey", F.col("p_name").alias("o_orderpriority")
-    )
+    """``df["o_orderpriority"][: -1 - n : -1] = values``, n values from the last row backwards."""
+    parts = table(spark, folder, "part")
+    values = parts.select("p_partkey", F.col("p_name").alias("o_orderpriority"))
     return edit.replace_slice(
-        _orders(spark, folder), BY_PRICE, "o_orderkey", values, "p_partkey", None, -151, -1
+        _orders(spark, folder),
+        BY_PRICE,
+        "o_orderkey",
+        values,
+        "p_partkey",
+        None,
+        -1 - parts.count(),
+        -1,
     )
 
 

@@ -74,14 +74,12 @@ def commit_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ref_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The branches, and a tag on every commit of the first of five days."""
+    """The branches, and a tag on every commit."""
     commits = commit_log(spark, folder)
     branches = commits.groupBy(F.col("branch").alias("name")).agg(
         F.max("commit_id").alias("commit_id")
     )
-    tagged = commits.where(F.dayofmonth("committed_at") % 5 == 1).select(
-        F.concat(F.lit("v-"), F.col("commit_id")).alias("name"), "commit_id"
-    )
+    tagged = commits.select(F.concat(F.lit("v-"), F.col("commit_id")).alias("name"), "commit_id")
     return branches.select("name", F.lit("branch").alias("kind"), "commit_id").unionByName(
         tagged.select("name", F.lit("tag").alias("kind"), "commit_id")
     )
@@ -106,7 +104,7 @@ commits AS (
     CASE WHEN d.day = DATE '{FORK}' + 1 THEN 'main' ELSE d.branch END),
 refs AS (
   SELECT branch AS name, 'branch' AS kind, max(commit_id) AS commit_id FROM commits GROUP BY branch
-  UNION ALL SELECT 'v-' || commit_id, 'tag', commit_id FROM commits WHERE day(day) % 5 = 1)
+  UNION ALL SELECT 'v-' || commit_id, 'tag', commit_id FROM commits)
 """
 
 

@@ -44,7 +44,7 @@ ORDERS_JSON = """
 @query("SELECT * FROM customer")
 def load_declared(spark: SparkSession, folder: str) -> DataFrame:
     df = read_table(spark, f"{folder}/customer.parquet", CUSTOMER)
-    return checks.require_enums(df)
+    return checks.require_declared(df)
 
 
 @query("SELECT * FROM part")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetspark.operators import columns
+from sheetspark.operators.files import copied_key
 from sheetspark.operators.query import apply, select
 from sheetspark.plans.inputs import (
     FILES_SQL,
@@ -18,7 +19,7 @@ from sheetspark.plans.inputs import (
     table,
 )
 from sheetspark.plans.registry import query
-from sheetspark.sources.files import extension, extract_files
+from sheetspark.sources.files import extension, extract_files, map_files
 
 
 @query(
@@ -193,6 +194,29 @@ def explode_items(spark: SparkSession, folder: str) -> DataFrame:
 )
 def file_refs(spark: SparkSession, folder: str) -> DataFrame:
     """References held by a record column and by an array inside another record."""
+    return extract_files(filed(spark, folder), ["doc_id"])
+
+
+@query(
+    f"""WITH {FILES_SQL}
+    SELECT doc_id, 'body' AS path, 'copies/' || digest AS key, extension, size FROM files
+    UNION ALL
+    SELECT doc_id, 'extra.previews', 'copies/' || regexp_extract(path, '([^/]*)$', 1), '.png', doc_id
+    FROM files
+    UNION ALL
+    SELECT doc_id, 'extra.previews', 'copies/' || regexp_extract(path, '([^/]*)$', 1), '.png', size
+    FROM files WHERE size > 1000"""
+)
+def copy_nested_refs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every reference of a sheet, at any depth, becomes one of another data set."""
+    copied = map_files(
+        filed(spark, folder), lambda file: copied_key(file.getField("key"), "copies/")
+    )
+    return extract_files(copied, ["doc_id"])
+
+
+def filed(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a file of their own and an array of preview files."""
 
     def reference(key, suffix, size):
         return F.struct(
@@ -209,11 +233,10 @@ def file_refs(spark: SparkSession, folder: str) -> DataFrame:
             ),
         )
     )
-    sheet = df.select(
+    return df.select(
         "doc_id",
         reference(
             F.concat(F.lit("store/"), F.sha1("content")), extension(F.col("path")), size
         ).alias("body"),
         F.struct(F.col("source"), previews.alias("previews")).alias("extra"),
     )
-    return extract_files(sheet, ["doc_id"])

@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheetspark.operators import checks
-from sheetspark.plans.inputs import PRIORITIES, TEXTS_SQL, orders, table, texts, with_enum
+from sheetspark.plans.inputs import (
+    CHARGE,
+    INVOICES_SQL,
+    PRIORITIES,
+    TEXTS_SQL,
+    invoices,
+    orders,
+    table,
+    texts,
+    with_enum,
+)
 from sheetspark.plans.registry import query
+from sheetspark.schema import enum, field
 
 
 @query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')")
@@ -17,6 +29,20 @@ def bad_enum(spark: SparkSession, folder: str) -> DataFrame:
     return checks.bad_enums(df, "o_orderpriority").select("o_orderkey", "o_orderpriority")
 
 
+@query(
+    f"""WITH {INVOICES_SQL} SELECT l_orderkey, l_linenumber, l_tax FROM invoices
+    WHERE len(list_filter(charges, lambda c: c.kind NOT IN ('net', 'discount'))) > 0"""
+)
+def bad_nested_enum(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with a charge of a kind that is not among the two declared here."""
+    df = invoices(spark, folder)
+    charge = T.StructType(
+        [field("kind", enum(["net", "discount"])) if f.name == "kind" else f for f in CHARGE.fields]
+    )
+    redeclared = df.withColumn("charges", F.col("charges").cast(T.ArrayType(charge)))
+    return checks.bad_enums(redeclared, "charges").select("l_orderkey", "l_linenumber", "l_tax")
+
+
 @query(
     f"""WITH {TEXTS_SQL} SELECT doc_id, len(lines) AS n_lines FROM texts WHERE len(lines) <> 4"""
 )

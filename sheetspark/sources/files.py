@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheetspark.functions.images import image_format, image_size
-from sheetspark.schema import is_file
+from sheetspark.schema import FILE_FIELDS, is_file
 
 # Suffixes that name a compression, so that ".tar.gz" stays whole.
 ENCODING_SUFFIXES = (".gz", ".Z", ".bz2", ".xz", ".br")
@@ -49,6 +49,20 @@ def file_record(path: Column, content: Column, size: Column | None = None) -> Co
     )
 
 
+def image_record(path: Column, content: Column) -> Column:
+    """The reference of a local image: a file reference with the height and width."""
+    file = file_record(path, content)
+    measured = F.transform(
+        F.array(image_size(content)),
+        lambda size: F.struct(
+            *[file.getField(name).alias(name) for name in FILE_FIELDS],
+            size.getField("height").alias("height"),
+            size.getField("width").alias("width"),
+        ),
+    )
+    return measured[0]
+
+
 def file_table(files: DataFrame) -> DataFrame:
     """``path, extension, size, checksum`` of files read by :func:`read_files`."""
     return files.select(
@@ -102,7 +116,7 @@ def _references(dtype: T.DataType, column: Column, path: str) -> Column:
         item = dtype.elementType
         return F.flatten(F.transform(column, _per_item(item, path)))
     if is_file(dtype):
-        file = F.struct(*[column.getField(n).alias(n) for n in ("key", "extension", "size")])
+        file = F.struct(*[column.getField(n).alias(n) for n in FILE_FIELDS])
         one = F.struct(F.lit(path).alias("path"), file.alias("file"))
         return F.when(column.isNotNull(), F.array(one).cast(REFERENCE))
     found = [
@@ -117,6 +131,29 @@ def _per_item(item: T.DataType, path: str) -> Callable[[Column], Column]:
     return lambda element: _joined([_references(item, element, path)])
 
 
+def map_files(df: DataFrame, new_key: Callable[[Column], Column]) -> DataFrame:
+    """Give every file reference, at any depth, the key that ``new_key(file)`` computes."""
+
+    def mapped(dtype: T.DataType, column: Column) -> Column:
+        if is_file(dtype):
+            return column.withField("key", new_key(column))
+        if isinstance(dtype, T.ArrayType):
+            return F.transform(column, lambda item: mapped(dtype.elementType, item))
+        for f in dtype.fields:
+            if holds_files(f.dataType):
+                column = column.withField(f.name, mapped(f.dataType, column.getField(f.name)))
+        return column
+
+    changed = {
+        f.name: mapped(f.dataType, F.col(f"`{f.name}`"))
+        for f in df.schema.fields
+        if holds_files(f.dataType)
+    }
+    for name, column in changed.items():
+        df = df.withColumn(name, column).withMetadata(name, df.schema[name].metadata)
+    return df
+
+
 def extract_files(df: DataFrame, keep: list[str]) -> DataFrame:
     """One row per file reference: ``keep..., path, key, extension, size``."""
     rows = df.select(*keep, F.explode_outer(file_references(df)).alias("__reference"))

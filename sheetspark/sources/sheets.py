@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetspark import schema as schemas
-from sheetspark.operators.checks import require_enums
+from sheetspark.operators.checks import require_declared
 
 RECORD_KEY = "__record_key"
 
 
 def write_sheet(df: DataFrame, root: str, sheet: str, mode: str = "errorifexists") -> None:
-    """Store a sheet.  Names are checked here, enum values by the same write."""
+    """Store a sheet.  Names are checked here, enums and array lengths by the write itself."""
     schemas.check_names(df.schema)
     schemas.check_supported(df.schema)
-    require_enums(df).write.mode(mode).parquet(f"{root}/{sheet}")
+    require_declared(df).write.mode(mode).parquet(f"{root}/{sheet}")
 
 
 def read_sheet(spark: SparkSession, root: str, sheet: str) -> DataFrame:

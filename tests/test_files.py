@@ -12,7 +12,14 @@ from sheetspark import schema as schemas
 from sheetspark.operators import files
 from sheetspark.operators.measures import pending_counts
 from sheetspark.operators.query import query
-from sheetspark.sources.files import extract_files, file_table, image_table, read_files
+from sheetspark.sources.files import (
+    extract_files,
+    file_table,
+    image_record,
+    image_table,
+    map_files,
+    read_files,
+)
 from sheetspark.sources.load import from_rows
 
 
@@ -108,6 +115,16 @@ def test_image_sizes(spark):
         assert r.format == r.path.split(" ")[0]
 
 
+def test_image_reference(spark):
+    data = bytearray(IMAGES["gif"][0])
+    df = spark.createDataFrame([("d/a.gif", data), ("b.txt", bytearray(b"no"))], "path string, content binary")
+    rows = df.select(image_record(F.col("path"), F.col("content")).alias("image")).collect()
+    assert [tuple(r.image) for r in rows] == [
+        ("d/a.gif", ".gif", 10, 480, 640),
+        ("b.txt", ".txt", 2, None, None),
+    ]
+
+
 @pytest.mark.parametrize(
     "data",
     [
@@ -169,6 +186,10 @@ def test_references_at_any_depth(spark):
     assert tuple(pending_counts(df).first()) == (3, 7, schemas.leaf_count(schema))
     assert tuple(pending_counts(df.select("id", "text")).first()) == (3, 0, 2)
     assert query(df, lambda x: x["image"]["size"] >= 1).count() == 1
+    moved = map_files(df, lambda file: F.concat(F.lit("new/"), file.getField("key")))
+    assert schemas.same_schema(moved.schema, df.schema)
+    again = sorted((r.id, r.path, r.key, r.size) for r in extract_files(moved, ["id"]).collect())
+    assert again == [(i, path, "new/" + key, size) for i, path, key, size in found]
 
 
 def test_copies(spark):

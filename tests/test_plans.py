@@ -19,7 +19,7 @@ filter_chained filter_enum filter_temporal filter_bool filter_nested arith_add_s
 arith_pow arith_div apply_column query_apply saved_search select_columns select_named
 rename_field retype_field insert_field drop_field flatten_record array_field_values enum_codes
 temporal_to_int explode_items file_refs load_declared load_inferred load_schema_file
-case_insensitive extend classify_refs copy_refs file_table image_size bad_enum bad_length""".split()
+case_insensitive extend classify_refs copy_refs copy_nested_refs bad_nested_enum file_table image_size bad_enum bad_length""".split()
 
 
 @pytest.mark.parametrize("name", NO_SHUFFLE)
