@@ -27,6 +27,7 @@ from sheetspark.functions.accessor import find_field
 from sheetspark.runtime import ensure_checkpoints
 
 JUMP_GROWTH = 4
+BROADCAST_COMMITS = 50_000  # links, of two ids each, that are broadcast once counted
 LITERAL_CHAIN = 2_000  # commits in a chain that may become literals in a plan
 
 def _sheet_columns(ops: DataFrame) -> T.StructType:
@@ -97,11 +98,14 @@ def ancestors(commits: DataFrame, commit_id: str) -> DataFrame:
     Jump pointers grow fourfold each round, so a chain of a million commits takes
     ten rounds of small joins rather than a million recursion steps.  The links
     and the two tables of a round are checkpointed; otherwise each round would
-    contain several copies of the one before.
+    contain several copies of the one before.  Links that are counted to be few
+    are broadcast, more of them are shuffled.
     """
     ensure_checkpoints(commits.sparkSession)
     links = commits.select("commit_id", "parent_id").checkpoint()
     total = links.count()
+    small = total <= BROADCAST_COMMITS
+    side = F.broadcast if small else lambda table: table
     found = links.where(F.col("commit_id") == commit_id).select(
         "commit_id", F.lit(0).cast("bigint").alias("distance")
     )
@@ -111,14 +115,16 @@ def ancestors(commits: DataFrame, commit_id: str) -> DataFrame:
         onward = jumps.select(F.col("commit_id").alias("target"), F.col("target").alias("__next"))
         longer, reached = jumps, found
         for times in range(1, JUMP_GROWTH):
-            steps = found.join(longer, "commit_id").select(
+            steps = found.join(side(longer), "commit_id").select(
                 F.col("target").alias("commit_id"),
                 (F.col("distance") + times * stride).alias("distance"),
             )
             reached = reached.unionByName(steps)
-            longer = longer.join(onward, "target").select(
+            longer = longer.join(side(onward), "target").select(
                 "commit_id", F.col("__next").alias("target")
             )
+        if small:  # broadcast joins keep the partitions of each part of the union
+            reached, longer = reached.coalesce(4), longer.coalesce(4)
         found = reached.checkpoint()
         stride *= JUMP_GROWTH
         if stride < total:
