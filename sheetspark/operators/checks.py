@@ -80,6 +80,28 @@ def require_declared(df: DataFrame) -> DataFrame:
     return df
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """The same rows; running them fails if a key has several.
+
+    The rows come out partitioned by key, as a join on the key needs them.
+    """
+    others = [f for f in df.schema.fields if f.name != key]
+    counted = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("__rows"), *[F.first(f.name).alias(f.name) for f in others]
+    )
+    message = F.concat(F.lit(f"several rows for {key} "), F.col(key).cast("string"))
+    failure = F.raise_error(message)
+    return counted.select(
+        key,
+        *[
+            F.when(F.col("__rows") == 1, F.col(f.name))
+            .otherwise(failure.cast(f.dataType))
+            .alias(f.name, metadata=f.metadata)
+            for f in others
+        ],
+    )
+
+
 def unmatched_keys(df: DataFrame, values: DataFrame, key: str) -> DataFrame:
     """Keys that only one side has, with the side: a new column must cover every row."""
     left = df.select(key, F.lit(True).alias("__left"))

@@ -13,6 +13,7 @@ from sheetspark import schema as schemas
 from sheetspark.functions.accessor import column_of, row
 from sheetspark.functions.convert import decode_enum, encode_enum, temporal_to_int
 from sheetspark.functions.rules import enum_codes
+from sheetspark.operators.checks import one_per_key
 
 LITERAL_ENUM = 200  # larger enums are looked up by a join, not by a scan of a literal map
 
@@ -27,11 +28,12 @@ def add_column(df: DataFrame, name: str, function: Callable[[Any], Any] | Column
 def attach_column(df: DataFrame, name: str, values: DataFrame, key: str) -> DataFrame:
     """Add a column of outside values, ``values(key, name)``, matched by record key.
 
-    Use :func:`sheetspark.operators.checks.unmatched_keys` to require that every
-    row has a value and every value a row.
+    A key with several values fails the job.  Use
+    :func:`sheetspark.operators.checks.unmatched_keys` to require that every row
+    has a value and every value a row.
     """
     _absent(df, name)
-    return df.join(values.select(key, name), key, "left")
+    return df.join(one_per_key(values.select(key, name), key), key, "left")
 
 
 def rename(df: DataFrame, old: str, new: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetspark import schema as schemas
-from sheetspark.operators.checks import require_same_schema
+from sheetspark.operators.checks import one_per_key, require_same_schema
 from sheetspark.operators.order import Positions
 
 SET = "set"  # names of the columns an update row supplies
@@ -71,8 +71,8 @@ def update_by_key(
     null is then different from a column that is not supplied.  Updates for keys
     the sheet does not have are ignored.
 
-    A key has one update row, unless ``seq`` orders several of them; those are
-    combined before the join, and before they are shuffled.
+    A key with several update rows fails the job, unless ``seq`` orders them; then
+    they are combined before the join, and before they are shuffled.
     """
     columns = [c for c in df.columns if c != key and c in updates.columns]
     unknown = set(updates.columns) - set(df.columns) - {SET, seq}
@@ -84,10 +84,9 @@ def update_by_key(
         return F.array_contains(SET, name) if listed else F.lit(True)
 
     if seq is None:
-        new = updates.select(
-            F.col(key),
-            *[F.struct(F.col(c).alias("v"), supplied(c).alias("set")).alias(f"__{c}") for c in columns],
-        )
+        packed = [F.struct(F.col(c).alias("v"), supplied(c).alias("set")) for c in columns]
+        new = updates.select(key, *[p.alias(f"__{c}") for c, p in zip(columns, packed)])
+        new = one_per_key(new, key)
     else:
         order = {c: F.when(supplied(c), F.col(seq)) for c in columns}
         latest = [F.max_by(c, order[c]).alias(f"__v_{c}") for c in columns]

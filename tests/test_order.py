@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sheetspark.operators import edit, order
+from sheetspark.operators import columns, edit, order
 from sheetspark.operators.order import Positions
 from sheetspark.sources.load import from_rows
 
@@ -215,5 +215,9 @@ def test_several_updates_of_one_key(spark):
     )
     result = {r.k: (r.a, r.b) for r in edit.update_by_key(df, many, "k", "seq").collect()}
     assert result == {0: (None, "x"), 1: (10, "b1"), 2: (20, "b2")}
+    with pytest.raises(Exception, match="several rows for k 0"):
+        edit.update_by_key(df, many.drop("seq"), "k").collect()
+    with pytest.raises(Exception, match="several rows for k 0"):
+        columns.attach_column(df, "c", many.select("k", F.col("b").alias("c")), "k").collect()
     twice = many.select("k").where("k = 0")
     assert sorted(r.k for r in edit.delete_by_key(df, twice, "k").collect()) == [1, 2]
