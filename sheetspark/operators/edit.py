@@ -84,28 +84,21 @@ def update_by_key(
         return F.array_contains(SET, name) if listed else F.lit(True)
 
     if seq is None:
-        packed = [F.struct(F.col(c).alias("v"), supplied(c).alias("set")) for c in columns]
-        new = updates.select(key, *[p.alias(f"__{c}") for c, p in zip(columns, packed)])
-        new = one_per_key(new, key)
+        latest = one_per_key(updates.select(key, *columns, *([SET] if listed else [])), key)
+        new = [F.col(c).alias(f"__new_{c}") for c in columns]
+        given = [supplied(c).alias(f"__set_{c}") for c in columns]
+        latest = latest.select(key, *new, *given)
     else:
         order = {c: F.when(supplied(c), F.col(seq)) for c in columns}
-        latest = [F.max_by(c, order[c]).alias(f"__v_{c}") for c in columns]
+        new = [F.max_by(c, order[c]).alias(f"__new_{c}") for c in columns]
         given = [F.max(order[c]).isNotNull().alias(f"__set_{c}") for c in columns]
-        new = updates.groupBy(key).agg(*latest, *given)
-        new = new.select(
-            key,
-            *[
-                F.struct(F.col(f"__v_{c}").alias("v"), F.col(f"__set_{c}").alias("set")).alias(f"__{c}")
-                for c in columns
-            ],
-        )
+        latest = updates.groupBy(key).agg(*new, *given)
 
     def changed(name: str) -> Column:
-        update = F.col(f"__{name}")
-        value = F.when(update.getField("set"), update.getField("v")).otherwise(F.col(name))
+        value = F.when(F.col(f"__set_{name}"), F.col(f"__new_{name}")).otherwise(F.col(name))
         return value.alias(name, metadata=df.schema[name].metadata)
 
-    joined = df.join(new, key, "left")
+    joined = df.join(latest, key, "left")
     result = joined.select(*[changed(c) if c in columns else c for c in df.columns])
     require_same_schema(df.schema, result.schema)
     return result
