@@ -1,19 +1,16 @@
 """Image format, height and width from the bytes of image files.
 
 All formats are read with built-in column expressions at the offsets the format
-defines.  JPEG is a chain of segments: the first ones are walked by an expression
-too, and only an image whose chain is longer is handed, whole, to an Arrow
-function.  Bytes that are not a complete image of a known format give null.
+defines, so the bytes of an image never leave the JVM.  Bytes that are not a
+complete image of a known format give null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # TIFF tags of the image size and the byte length of the integer types.
 TIFF_WIDTH, TIFF_HEIGHT = 256, 257
@@ -22,7 +19,7 @@ TIFF_INTEGER_BYTES = {1: 1, 3: 2, 4: 4, 6: 1, 8: 2, 9: 4}
 # JPEG frame markers are C0 to CF without these three.
 JPEG_NOT_FRAMES = {0xC4, 0xC8, 0xCC}
 
-JPEG_STEPS = 48  # segments walked without Python
+JPEG_STEPS = 48  # segments walked in the first loop
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -200,12 +197,12 @@ def _flif(data: _Bytes) -> Column:
 
 
 def _jpeg(data: _Bytes, is_jpeg: Column) -> Column:
-    start = F.struct(
-        F.lit(2).cast("bigint").alias("at"),
-        F.lit("walking").alias("status"),
-        F.lit(None).cast("bigint").alias("height"),
-        F.lit(None).cast("bigint").alias("width"),
-    )
+    """Walk the segments to the first frame header.
+
+    Each step moves on by a byte at least, so as many steps as there are bytes
+    always end the walk.  Almost every image needs only the first few; the others
+    go on in two nested loops of the root of that number, which stop by themselves.
+    """
 
     def state(at: Column, status: str, height: Column, width: Column) -> Column:
         return F.struct(
@@ -215,11 +212,12 @@ def _jpeg(data: _Bytes, is_jpeg: Column) -> Column:
             width.cast("bigint").alias("width"),
         )
 
+    none = F.lit(None)
+    frames = [f"FF{m:02X}" for m in range(0xC0, 0xD0) if m not in JPEG_NOT_FRAMES]
+
     def step(now: Column, _: Column) -> Column:
-        at, none = now.getField("at"), F.lit(None)
-        marker = data.hex(at, 2)
-        frames = [f"FF{m:02X}" for m in range(0xC0, 0xD0) if m not in JPEG_NOT_FRAMES]
-        length = data.big(at + 2, 2)
+        at = now.getField("at")
+        marker, length = data.hex(at, 2), data.big(at + 2, 2)
         return (
             F.when(now.getField("status") != "walking", now)
             .when((F.length(marker) < 4) | ~marker.startswith("FF"), state(at, "broken", none, none))
@@ -229,41 +227,19 @@ def _jpeg(data: _Bytes, is_jpeg: Column) -> Column:
             .otherwise(state(at + 2 + length, "walking", none, none))
         )
 
-    def finish(end: Column) -> Column:
-        size = _size(end.getField("height"), end.getField("width"))
-        return F.struct(end.getField("status").alias("status"), size.alias("size"))
-
-    steps = F.when(is_jpeg, F.sequence(F.lit(1), F.lit(JPEG_STEPS)))
-    walked = F.aggregate(steps, start, step, finish)
-    unfinished = walked.getField("status") == "walking"
-    return F.when(unfinished, jpeg_size(F.when(unfinished, data.content))).otherwise(
-        walked.getField("size")
-    )
-
+    def go_on(now: Column) -> Column:
+        root = F.ceil(F.sqrt(F.octet_length(data.content))).cast("int")
+        loop = F.sequence(F.lit(1), root)
+        rest = F.aggregate(
+            loop,
+            now,
+            lambda state, _: F.when(state.getField("status") != "walking", state).otherwise(
+                F.aggregate(loop, state, step)
+            ),
+        )
+        return F.when(now.getField("status") == "walking", rest).otherwise(now)
 
-@F.pandas_udf(
-    T.StructType([T.StructField("height", T.IntegerType()), T.StructField("width", T.IntegerType())])
-)
-def jpeg_size(content: pd.Series) -> pd.DataFrame:
-    sizes = [_jpeg_frame(data) if data is not None else (None, None) for data in content]
-    return pd.DataFrame(sizes, columns=["height", "width"]).astype("Int32")
-
-
-def _jpeg_frame(data: bytes) -> tuple[int | None, int | None]:
-    """Height and width in the first frame header of a JPEG."""
-    at = 2
-    while at + 4 <= len(data):
-        if data[at] != 0xFF:
-            return None, None
-        while at < len(data) and data[at] == 0xFF:
-            at += 1
-        if at + 3 > len(data):
-            return None, None
-        marker = data[at]
-        if 0xC0 <= marker <= 0xCF and marker not in JPEG_NOT_FRAMES:
-            if at + 8 > len(data):
-                return None, None
-            height, width = data[at + 4 : at + 6], data[at + 6 : at + 8]
-            return int.from_bytes(height, "big"), int.from_bytes(width, "big")
-        at += 1 + int.from_bytes(data[at + 1 : at + 3], "big")
-    return None, None
+    start = state(F.lit(2), "walking", none, none)
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(JPEG_STEPS)), start, step)
+    end = _let(F.when(is_jpeg, first), go_on)
+    return _let(end, lambda now: _size(now.getField("height"), now.getField("width")))
