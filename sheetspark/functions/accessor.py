@@ -216,6 +216,7 @@ class Elements(Operand):
         self.build = build
         self.bare = False  # the values are a field as it is
         self.wanted: Column | None = None  # the predicate is "field == wanted"
+        self.unwanted: Column | None = None  # the predicate is "field != unwanted"
 
     @classmethod
     def of(cls, source: Source, path: Path) -> Elements:
@@ -236,8 +237,11 @@ class Elements(Operand):
             return scalar(operation(*sides))
 
         result = Elements(self.source, paths, build)
-        if operation is rules.equals and self.bare and not isinstance(right, (Operand, Column)):
-            result.wanted = self._same_type(right)
+        if self.bare and not isinstance(right, (Operand, Column)):
+            if operation is rules.equals:
+                result.wanted = self._same_type(right)
+            elif operation is rules.differs:
+                result.unwanted = self._same_type(right)
         return result
 
     def _same_type(self, value: Any) -> Column | None:
@@ -294,6 +298,9 @@ class Elements(Operand):
 
     def all(self) -> Scalar:
         """Whether every element is true; true for an empty array."""
+        if self.unwanted is not None:
+            found = F.array_contains(self.source.field(self.paths[0]), self.unwanted)
+            return Scalar(~found, T.BooleanType())
         return Scalar(self._over(F.forall), T.BooleanType())
 
     def size(self) -> Scalar:

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetspark import schema as schemas
-from sheetspark.operators import versions
+from sheetspark.operators import columns, versions
+from sheetspark.operators.query import search
 from sheetspark.plans.inputs import table
 from sheetspark.plans.registry import query
 
@@ -180,6 +181,32 @@ def snapshot_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("sheet").agg(F.count(F.lit(1)).alias("record_count"))
 
 
+@query(
+    f"""WITH RECURSIVE {LOG_SQL}, {_chain_sql("'main@2024-01-20'")}, {_ON_DEV},
+    {_fold_sql("dev_chain", "folded")}
+    SELECT record_key, value AS result_value, value * 2 AS result_doubled FROM folded
+    WHERE value > 20 AND record_key % 4 = 1"""
+)
+def search_at_revision(spark: SparkSession, folder: str) -> DataFrame:
+    """A saved search on one sheet, at the commit that a tag stands for."""
+    rows = versions.read_revision(
+        edit_log(spark, folder),
+        commit_log(spark, folder),
+        ref_log(spark, folder),
+        "v-main@2024-01-20",
+        "sheet-1",
+    )
+    criteria = {
+        "where": {"$gt": ["$.value", 20]},
+        "select": [
+            "$.record_key",
+            {"result.value": "$.value"},
+            {"result.doubled": {"$mult": ["$.value", 2]}},
+        ],
+    }
+    return columns.flatten(search(rows, criteria))
+
+
 @query(
     f"""WITH {LOG_SQL},
     {_fold_sql("edits", "folded")}

@@ -142,6 +142,14 @@ def test_value_search_agrees_with_exists(edges):
             ).orderBy("id").collect()
         ]
         assert fast == general
+        fast = values(edges, lambda x: (x["items"]["b"] != wanted).all())
+        general = [
+            r.v
+            for r in edges.select(
+                "id", F.forall("items.b", lambda b: b != wanted).alias("v")
+            ).orderBy("id").collect()
+        ]
+        assert fast == general
 
 
 def test_element_logic_is_per_element(edges):

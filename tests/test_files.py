@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheetspark import schema as schemas
-from sheetspark.operators import files
+from sheetspark.operators import edit, files
 from sheetspark.operators.measures import pending_counts
 from sheetspark.operators.query import query
 from sheetspark.sources.files import (
@@ -211,3 +211,24 @@ def test_copies(spark):
         "p/q/k2",
         "z",
     ]
+
+
+def test_hot_keys(spark, plan):
+    """A third of the rows refer to one object, and one key is deleted a great many times."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+        refs = spark.range(60_000).select("id", hot.alias("key"))
+        mapping = refs.select("key", F.concat(F.lit("new/"), "key").alias("new_key")).distinct()
+        moved = files.map_references(refs, "key", mapping)
+        assert moved.count() == 60_000
+        assert moved.where(F.col("key") == "new/hot").count() == 20_000
+        copies = files.distinct_files(refs.withColumn("path", F.col("id").cast("string")))
+        assert copies.where(F.col("n_copies") > 1).collect()[0].n_copies == 20_000
+        base = spark.range(100).select(F.col("id").cast("string").alias("key"))
+        gone = edit.delete_by_key(base.union(refs.limit(0).select("key")), refs, "key")
+        assert gone.count() == 100 - 66
+        text = plan(gone)
+        assert text.index("HashAggregate") < text.rindex("Exchange") < text.rindex("HashAggregate")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
