@@ -6,6 +6,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from sheetspark import plans
 from sheetspark.operators import order
 
 FOLDER = "/root/testdata/sf0.001"
@@ -16,7 +17,7 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(plans.QUERIES))
 def test_query_equals_its_sql(spark, duck, name, monkeypatch):
     monkeypatch.setattr(order, "RANGE_ROWS", 50)  # many ranges even on small tables
     df = entry.queries()[name](spark, FOLDER)
