@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetspark.llm.common import read_table
+from sheetspark.llm.secret_scan import find_secrets
 from sheetspark.llm.tokens import count_tokens
 from sheetspark.plans.registry import Query
 
@@ -22,3 +23,8 @@ def query(function: Query) -> Query:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return count_tokens(read_table(spark, sf_dir, "documents"), model)
+
+
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(read_table(spark, sf_dir, "documents"))
