@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetspark.llm.common import read_table
+from sheetspark.llm.language import identify_language, labelled_windows, train
 from sheetspark.llm.secret_scan import find_secrets
 from sheetspark.llm.tokens import count_tokens
 from sheetspark.plans.registry import Query
@@ -28,3 +29,9 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return identify_language(documents, train(labelled_windows(documents)))
