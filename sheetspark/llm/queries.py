@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sheetspark.llm.common import read_table
 from sheetspark.llm.language import identify_language, labelled_windows, train
+from sheetspark.llm.near_duplicates import near_duplicates
 from sheetspark.llm.secret_scan import find_secrets
 from sheetspark.llm.tokens import count_tokens
 from sheetspark.plans.registry import Query
@@ -35,3 +36,36 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return identify_language(documents, train(labelled_windows(documents)))
+
+
+@query
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE["op8_minhash_near_dedup"] = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i
+          FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+    FROM shingles a JOIN shingles b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * k >= 85 * (a.n + b.n - k)
+), reached AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x
+), least AS (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
