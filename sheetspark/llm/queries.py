@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetspark.llm.common import read_table
+from sheetspark.llm.decontaminate import contamination
 from sheetspark.llm.language import identify_language, labelled_windows, train
 from sheetspark.llm.near_duplicates import near_duplicates
 from sheetspark.llm.secret_scan import find_secrets
 from sheetspark.llm.tokens import count_tokens
+from sheetspark.llm.words import LOWER, UPPER
 from sheetspark.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -42,9 +44,6 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
-
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 ORACLE["op8_minhash_near_dedup"] = f"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(
@@ -69,3 +68,41 @@ pairs AS (
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
 FROM least LEFT JOIN sizes USING (doc_id)
 """
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
+_WORDS = f"""regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+ORACLE["op7_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+item_windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+    FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM (SELECT *, least(10, len(w)) AS n FROM b) WHERE n > 0)
+), lengths AS (SELECT DISTINCT n FROM item_windows),
+windows AS (
+    SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths
+          WHERE len(w) >= n)
+), hits AS (SELECT doc_id, i, n, item_id FROM windows JOIN item_windows USING (n, g)),
+covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items,
+           sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
