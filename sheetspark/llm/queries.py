@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sheetspark.llm.common import read_table
 from sheetspark.llm.decontaminate import contamination
 from sheetspark.llm.language import identify_language, labelled_windows, train
+from sheetspark.llm.line_dedup import deduplicate_lines
 from sheetspark.llm.near_duplicates import near_duplicates
 from sheetspark.llm.secret_scan import find_secrets
 from sheetspark.llm.tokens import count_tokens
@@ -106,3 +107,34 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate_lines(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op1_line_dedup"] = r"""
+WITH l AS (
+    SELECT doc_id, a, list_transform(a, lambda x: len(regexp_extract_all(x,
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS n
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL)
+), places AS (
+    SELECT doc_id, a, n, k, unnest(range(1, len(a) - k + 2)) AS i
+    FROM l, (SELECT unnest([1, 2, 3]) AS k) WHERE len(a) >= k
+), runs AS (
+    SELECT doc_id, i, k, array_to_string(a[i:i + k - 1], chr(10)) AS g
+    FROM places WHERE k = 3 OR list_sum(n[i:i + k - 1]) >= 50
+), later AS (
+    SELECT *, row_number() OVER (PARTITION BY k, g ORDER BY doc_id, i) AS r FROM runs
+), gone AS (
+    SELECT doc_id, list(DISTINCT p) AS ps
+    FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM later WHERE r > 1) GROUP BY doc_id
+)
+SELECT documents.doc_id, coalesce(len(a), 0)::BIGINT AS n_lines,
+       coalesce(len(ps), 0)::BIGINT AS n_removed,
+       CASE WHEN ps IS NULL THEN text ELSE coalesce(array_to_string(list_transform(
+           list_filter(range(1, len(a) + 1), lambda i: NOT list_contains(ps, i)), lambda i: a[i]), chr(10)),
+           '') END AS text
+FROM documents LEFT JOIN l USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
