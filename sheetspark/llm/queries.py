@@ -10,6 +10,7 @@ from sheetspark.llm.decontaminate import contamination
 from sheetspark.llm.language import identify_language, labelled_windows, train
 from sheetspark.llm.line_dedup import deduplicate_lines
 from sheetspark.llm.near_duplicates import near_duplicates
+from sheetspark.llm.packing import pack
 from sheetspark.llm.secret_scan import find_secrets
 from sheetspark.llm.tokens import count_tokens
 from sheetspark.llm.words import LOWER, UPPER
@@ -138,3 +139,9 @@ SELECT documents.doc_id, coalesce(len(a), 0)::BIGINT AS n_lines,
            '') END AS text
 FROM documents LEFT JOIN l USING (doc_id) LEFT JOIN gone USING (doc_id)
 """
+
+
+@query
+def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack(read_table(spark, sf_dir, "documents"), path)
