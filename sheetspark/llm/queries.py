@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sheetspark.llm.common import read_table
 from sheetspark.llm.decontaminate import contamination
 from sheetspark.llm.language import identify_language, labelled_windows, train
+from sheetspark.llm.license_scan import find_licenses
 from sheetspark.llm.line_dedup import deduplicate_lines
 from sheetspark.llm.near_duplicates import near_duplicates
 from sheetspark.llm.packing import pack
@@ -145,3 +146,8 @@ FROM documents LEFT JOIN l USING (doc_id) LEFT JOIN gone USING (doc_id)
 def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return pack(read_table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(read_table(spark, sf_dir, "documents"))
