@@ -14,8 +14,10 @@ from sheetspark.llm.near_duplicates import near_duplicates
 from sheetspark.llm.packing import pack
 from sheetspark.llm.secret_scan import find_secrets
 from sheetspark.llm.tokens import count_tokens
+from sheetspark.llm.warc import rewritten
 from sheetspark.llm.words import LOWER, UPPER
 from sheetspark.plans.registry import Query
+from sheetspark.runtime import fresh_path
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -151,3 +153,8 @@ def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_licenses(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rewritten(read_table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
