@@ -11,6 +11,7 @@ from sheetspark.llm.language import identify_language, labelled_windows, train
 from sheetspark.llm.license_scan import find_licenses
 from sheetspark.llm.line_dedup import deduplicate_lines
 from sheetspark.llm.near_duplicates import near_duplicates
+from sheetspark.llm.neighbours import nearest_neighbours
 from sheetspark.llm.packing import pack
 from sheetspark.llm.secret_scan import find_secrets
 from sheetspark.llm.tokens import count_tokens
@@ -158,3 +159,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rewritten(read_table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
+
+
+@query
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"))
