@@ -147,24 +147,12 @@ def _covered(spans: Column) -> Column:
     )
 
 
-def contamination(
-    documents: DataFrame, benchmark: DataFrame, broadcast: int = BROADCAST
-) -> DataFrame:
-    """Per row of ``documents``: ``doc_id``, ``n_words``, ``n_hit``, ``n_items``,
-    ``items_sha256`` and ``contaminated``.
+def _judged(texts: DataFrame, benchmark: DataFrame, broadcast: int) -> DataFrame | None:
+    """(id, version, n_hit, n_items, items_sha256) of the texts with a hit; None if no item can hit.
 
-    Words are runs of letters, digits and non-ASCII characters; A-Z count as a-z.  A window is
-    ten consecutive words of an item; an item of fewer words, but some, is one window.  A word
-    inside any occurrence of a window is hit.  A null or empty text has no words, and a null or
-    empty item no window.  Rows of ``documents`` are judged each, also repeated ones; items that
-    repeat an item_id are one item, an item without id has windows but is not counted.  Other
-    columns are not read.
+    Items by many texts and texts by many items are joined on hashes; only the spans and the items
+    of one text come together.
     """
-    texts = documents.select(
-        solid_id(F.col("doc_id")).alias("id"),
-        F.xxhash64("text").alias("version"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
     items = stored(
         benchmark.select("item_id", _hashes(F.coalesce("text", F.lit(""))).alias("hashes")),
         "bench-items",
@@ -177,39 +165,77 @@ def contamination(
         if found is not None:
             hits = found if hits is None else hits.union(found)
             ids = named if ids is None else ids.union(named)
-    counted = texts.select("id", "version", word_count(F.col("text")).alias("n_words"))
-    empty = F.sha2(F.lit(""), 256)
     if hits is None:
-        flagged = counted.select(
-            "*", F.lit(0).cast("bigint").alias("n_hit"), F.lit(0).cast("bigint").alias("n_items"),
-            empty.alias("items_sha256"),
-        )
-    else:
-        hits = stored(hits, "bench-hits")
-        spans = hits.groupBy("id", "version").agg(
-            _covered(F.collect_set(F.struct("start", "end"))).alias("n_hit")
+        return None
+    hits = stored(hits, "bench-hits")
+    spans = hits.groupBy("id", "version").agg(
+        _covered(F.collect_set(F.struct("start", "end"))).alias("n_hit")
+    )
+    occurring = (
+        hits.select("id", "version", "around_id")
+        .distinct()
+        .join(ids.where(F.col("item_id").isNotNull()), "around_id")
+        .groupBy("id", "version")
+        .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+        .select(
+            "id",
+            "version",
+            F.size("items").cast("bigint").alias("n_items"),
+            F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         )
-        occurring = (
-            hits.select("id", "version", "around_id")
-            .distinct()
-            .join(ids.where(F.col("item_id").isNotNull()), "around_id")
-            .groupBy("id", "version")
-            .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-            .select(
-                "id",
-                "version",
-                F.size("items").cast("bigint").alias("n_items"),
-                F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-            )
+    )
+    return stored(spans.join(occurring, ["id", "version"], "left"), "bench-judged")
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(
+        solid_id(F.col("doc_id")).alias("id"),
+        F.xxhash64("text").alias("version"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+
+
+def contamination(
+    documents: DataFrame, benchmark: DataFrame, broadcast: int = BROADCAST
+) -> DataFrame:
+    """Per row of ``documents``: ``doc_id``, ``n_words``, ``n_hit``, ``n_items``,
+    ``items_sha256`` and ``contaminated``.
+
+    Words are runs of letters, digits and non-ASCII characters; A-Z count as a-z.  A window is
+    ten consecutive words of an item; an item of fewer words, but some, is one window.  A word
+    inside any occurrence of a window is hit.  A null or empty text has no words, and a null or
+    empty item no window.  Rows of ``documents`` are judged each, also repeated ones; items that
+    repeat an item_id are one item, an item without id has windows but is not counted.  Other
+    columns are not read.
+    """
+    texts = _texts(documents)
+    judged = _judged(texts, benchmark, broadcast)
+    counted = texts.select("id", "version", word_count(F.col("text")).alias("n_words"))
+    zero, empty = F.lit(0).cast("bigint"), F.sha2(F.lit(""), 256)
+    if judged is None:
+        flagged = counted.select(
+            "*", zero.alias("n_hit"), zero.alias("n_items"), empty.alias("items_sha256")
         )
-        judged = spans.join(occurring, ["id", "version"], "left")
-        flagged = counted.join(stored(judged, "bench-judged"), ["id", "version"], "left")
-    n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
+    else:
+        flagged = counted.join(judged, ["id", "version"], "left")
+    n_hit = F.coalesce("n_hit", zero)
     return flagged.select(
         plain_id(F.col("id")).alias("doc_id"),
         "n_words",
         n_hit.alias("n_hit"),
-        F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
+        F.coalesce("n_items", zero).alias("n_items"),
         F.coalesce("items_sha256", empty).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that ``contamination`` finds nothing in, with all columns."""
+    judged = _judged(_texts(documents), benchmark, BROADCAST)
+    if judged is None:
+        return documents
+    hit = judged.select(F.col("id").alias("__id"), F.col("version").alias("__version"))
+    marked = documents.withColumn("__id", solid_id(F.col("doc_id"))).withColumn(
+        "__version", F.xxhash64("text")
+    )
+    return marked.join(hit, ["__id", "__version"], "left_anti").select(*documents.columns)

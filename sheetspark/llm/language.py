@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -283,3 +284,22 @@ def identify_language(df: DataFrame, net: ByteNet | None) -> DataFrame:
             )
 
     return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
+
+
+def with_known_language(df: DataFrame, net: ByteNet | None, least: float = 0.4) -> DataFrame:
+    """The rows of ``df`` whose language is known with a score of ``least``, with all columns.
+
+    Texts without a letter are rejected, and those for which no language stands out.  If nothing
+    could be learned, no text with a letter is rejected.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = net.pair_tables() if net else None
+        for batch in batches:
+            texts = pc.fill_null(batch.column(batch.schema.get_field_index("text")), "")
+            keep = np.array([LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+            if net and batch.num_rows:
+                keep &= predict(net, *text_bytes(texts), tables).max(axis=1) >= least
+            yield batch.filter(pa.array(keep))
+
+    return df.mapInArrow(run, df.schema)

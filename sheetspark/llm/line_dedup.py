@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetspark.llm.common import plain_id, solid_id, stored
+from sheetspark.llm.common import solid_id, stored
 from sheetspark.llm.words import places, runs, word_count
 
 #: Lines of a fingerprint, and fingerprints of a window: together the lines of a repeated run.
@@ -108,6 +108,43 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     )
 
 
+def without_repeats(df: DataFrame) -> DataFrame:
+    """``df`` with ``text`` as ``deduplicate_lines`` leaves it, and ``__lines`` and ``__removed``.
+
+    All columns of ``df`` stay; the two that are added count the lines before and the removed.
+    """
+    marked = df.withColumn("__id", solid_id(F.col("doc_id"))).withColumn(
+        "__version", F.xxhash64("text")
+    )
+    texts = marked.where(F.col("text").isNotNull()).select(
+        F.col("__id").alias("id"), F.col("__version").alias("version"), "text"
+    )
+    spans = (
+        repeated_runs(texts)
+        .groupBy("id", "version")
+        .agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
+        .withColumnsRenamed({"id": "__id", "version": "__version"})
+    )
+    joined = marked.join(stored(spans, "line-spans"), ["__id", "__version"], "left")
+    gone = F.array_distinct(
+        F.flatten(F.transform("__spans", lambda s: F.sequence(s["start"], s["end"] - 1)))
+    )
+    changed = joined.withColumn("__split", _lines(F.col("text"))).withColumn("__gone", gone)
+    left = F.transform(
+        F.array_except(places(F.size("__split")), F.col("__gone")),
+        lambda i: F.get("__split", i),
+    )
+    has = F.col("__gone").isNotNull()
+    text = F.when(has, F.array_join(left, "\n")).otherwise(F.col("text"))
+    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("__split")).cast("bigint")
+    removed = F.when(has, F.size("__gone")).otherwise(0).cast("bigint")
+    return changed.select(
+        *((text.alias("text") if c == "text" else F.col(f"`{c}`")) for c in df.columns),
+        lines.alias("__lines"),
+        removed.alias("__removed"),
+    )
+
+
 def deduplicate_lines(df: DataFrame) -> DataFrame:
     """Per row of ``df``: ``doc_id``, ``n_lines``, ``n_removed`` and the ``text`` that is left.
 
@@ -120,26 +157,10 @@ def deduplicate_lines(df: DataFrame) -> DataFrame:
     left is empty.  Rows that repeat doc_id and text are one document and stay equal; rows that
     repeat only the doc_id are ordered by a hash of the text.  Other columns are not read.
     """
-    texts = df.select(
-        solid_id(F.col("doc_id")).alias("id"), F.xxhash64("text").alias("version"), "text"
-    )
-    spans = repeated_runs(texts.where(F.col("text").isNotNull()))
-    spans = spans.groupBy("id", "version").agg(
-        F.collect_set(F.struct("start", "end")).alias("spans")
-    )
-    joined = texts.join(stored(spans, "line-spans"), ["id", "version"], "left")
-    lines = _lines(F.col("text"))
-    gone = F.array_distinct(
-        F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1)))
-    )
-    changed = joined.withColumn("lines", lines).withColumn("gone", gone)
-    left = F.transform(
-        F.array_except(places(F.size("lines")), F.col("gone")), lambda i: F.get("lines", i)
-    )
-    has = F.col("gone").isNotNull()
-    return changed.select(
-        plain_id(F.col("id")).alias("doc_id"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("bigint").alias("n_lines"),
-        F.when(has, F.size("gone")).otherwise(0).cast("bigint").alias("n_removed"),
-        F.when(has, F.array_join(left, "\n")).otherwise(F.col("text")).alias("text"),
+    rows = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return without_repeats(rows).select(
+        "doc_id",
+        F.col("__lines").alias("n_lines"),
+        F.col("__removed").alias("n_removed"),
+        "text",
     )

@@ -2,9 +2,9 @@
 
 1. Equal shingle sets form a class; only classes go on.  A class has a signature of minima.
 2. A class is posted under its coordinate-value pairs that other classes have too.  Two classes
-   above the similarity agree in at least ``AGREE`` coordinates, so a class with fewer pairs in
+   above the similarity agree in at least ``agree`` coordinates, so a class with fewer pairs in
    common with anyone is done, and the others are posted under their rarest pairs only: of each
-   class ``COORDINATES - AGREE + 1`` pairs, in one order for all, so that two such classes meet
+   class ``COORDINATES - agree + 1`` pairs, in one order for all, so that two such classes meet
    in a list; the longest lists are skipped unless a class has nothing rarer.
 3. A list is not paired with itself.  Its most typical member is its pivot and is compared with
    every other member on the full sets.
@@ -17,6 +17,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,10 +29,10 @@ from sheetspark.llm.common import plain_id, solid_id, stored, text_bytes
 from sheetspark.llm.components import components
 from sheetspark.llm.shingles import mixed, shingle_hashes, word_hashes
 
-#: Minima of a signature, and how many two similar sets have in common but for a chance of
-#: 3e-6 at a similarity of exactly 0.85, and less above.
+#: Minima of a signature, and the chance that two sets of exactly the least similarity have fewer
+#: of them in common than is asked for; it falls steeply above that similarity.
 COORDINATES = 64
-AGREE = 40
+MISSED = 4e-6
 #: Texts are hashed in slices of about so many bytes.
 SLICE = 1 << 22
 #: Sizes that differ by less than this factor share a bucket of the range join.
@@ -40,6 +41,16 @@ STEP = 1.05
 _FACTORS = np.random.default_rng(8).integers(1, 2**63, COORDINATES, dtype=np.uint64) * 2 + 1
 
 
+def agreement(percent: int) -> int:
+    """Coordinates that sets of this similarity agree in, but for a chance of MISSED."""
+    p, below, agree = percent / 100, 0.0, 0
+    while True:
+        below += math.comb(COORDINATES, agree) * p**agree * (1 - p) ** (COORDINATES - agree)
+        if below > MISSED:
+            return agree
+        agree += 1
+
+
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of about SLICE bytes of text; a longer text is alone."""
     _, offsets = text_bytes(batch.column("text"))
@@ -75,7 +86,7 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _features(df: DataFrame, shingle: int) -> DataFrame:
-    """Per row: solid id, size and digest of its set, signature (null for an empty set)."""
+    """Per row: solid id, version, size and digest of its set, signature (null if empty)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,6 +96,7 @@ def _features(df: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
+                        part.column("version"),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array(
@@ -92,10 +104,10 @@ def _features(df: DataFrame, shingle: int) -> DataFrame:
                             pa.list_(pa.int32()),
                         ),
                     ],
-                    ["id", "n", "digest", "signature"],
+                    ["id", "version", "n", "digest", "signature"],
                 )
 
-    return df.mapInArrow(run, "id bigint, n int, digest binary, signature array<int>")
+    return df.mapInArrow(run, "id bigint, version bigint, n int, digest binary, signature array<int>")
 
 
 def _full_sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -137,27 +149,21 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a")
 
 
-def near_duplicates(
-    df: DataFrame, shingle: int = 5, percent: int = 85, agree: int = AGREE
-) -> DataFrame:
-    """Per row of ``df``: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
-
-    Words are runs of characters other than space, tab and line breaks; A-Z count as a-z.  A
-    text's set has its distinct runs of ``shingle`` words, or all its words if it has fewer.
-    Texts are linked if 100 * intersection >= percent * union; ``component_id`` is the smallest
-    doc_id that can be reached over links, and the row is kept if that is its own.  A text that
-    is null or has no words is linked with nothing.  Rows are documents of their own even if they
-    repeat a doc_id; a null doc_id sorts first.  Other columns are not read.
+def grouped(df: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(id, version, n, component) of every row; see ``near_duplicates``.
 
-    ``agree`` fits a ``percent`` of 85 or more; lower similarities need a lower number.
+    ``id`` is never null, and ``version`` is a hash of the text.
     """
+    agree = agreement(percent)
     texts = df.select(
-        solid_id(F.col("doc_id")).alias("id"), F.coalesce("text", F.lit("")).alias("text")
+        solid_id(F.col("doc_id")).alias("id"),
+        F.xxhash64("text").alias("version"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
     features = stored(_features(texts, shingle), "near-features")
     classes = stored(_classes(features), "near-classes")
     filled = features.where(F.col("digest").isNotNull())
-    rows = filled.drop("signature").join(classes, "digest").select("id", "n", "node")
+    rows = filled.drop("signature").join(classes, "digest").select("id", "version", "n", "node")
     signatures = (
         filled.join(classes, "digest")
         .where(F.col("id") == F.col("first_id"))
@@ -200,11 +206,24 @@ def near_duplicates(
             "near-second",
         )
     labels = stored(_labels(classes, roots), "near-labels")
-    linked = rows.join(labels, "node").select("id", "n", "component")
+    linked = rows.join(labels, "node").select("id", "version", "n", "component")
     alone = features.where(F.col("digest").isNull()).select(
-        "id", "n", F.col("id").alias("component")
+        "id", "version", "n", F.col("id").alias("component")
     )
-    return linked.union(alone).select(
+    return linked.union(alone)
+
+
+def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of ``df``: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
+
+    Words are runs of characters other than space, tab and line breaks; A-Z count as a-z.  A
+    text's set has its distinct runs of ``shingle`` words, or all its words if it has fewer.
+    Texts are linked if 100 * intersection >= percent * union; ``component_id`` is the smallest
+    doc_id that can be reached over links, and the row is kept if that is its own.  A text that
+    is null or has no words is linked with nothing.  Rows are documents of their own even if they
+    repeat a doc_id; a null doc_id sorts first.  Other columns are not read.
+    """
+    return grouped(df, shingle, percent).select(
         plain_id(F.col("id")).alias("doc_id"),
         F.col("n").cast("bigint").alias("n_shingles"),
         plain_id(F.col("component")).alias("component_id"),
@@ -212,6 +231,24 @@ def near_duplicates(
     )
 
 
+def without_near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df`` that ``near_duplicates`` keeps, with all columns.
+
+    Of rows that repeat doc_id and text one stays.
+    """
+    found = stored(grouped(df, shingle, percent), "near-found")
+    dropped = found.where("id != component").select(
+        F.col("id").alias("__id"), F.col("version").alias("__version")
+    )
+    marked = df.withColumn("__id", solid_id(F.col("doc_id"))).withColumn(
+        "__version", F.xxhash64("text")
+    )
+    left = marked.join(stored(dropped.distinct(), "near-dropped"), ["__id", "__version"], "left_anti")
+    if not found.groupBy("id", "version").count().where("count > 1").isEmpty():
+        left = left.dropDuplicates(["__id", "__version"])
+    return left.select(*df.columns)
+
+
 def _classes(features: DataFrame) -> DataFrame:
     """One row per distinct set: digest, smallest id, node.
 

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from sheetspark.llm.common import text_bytes
 from sheetspark.llm.components import components
@@ -74,12 +75,13 @@ def families(rng, many, words=120):
     return [" ".join(w.upper() if rng.random() < 0.05 else w for w in t) for t in texts]
 
 
-def test_all_links_are_found(spark):
+@pytest.mark.parametrize("shingle,percent", [(3, 85), (5, 80)])
+def test_all_links_are_found(spark, shingle, percent):
     texts = families(random.Random(2), 60)
     rows = [(7 * i, t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted(tuple(r) for r in near_duplicates(df, shingle=3).collect())
-    want = plain(rows)
+    got = sorted(tuple(r) for r in near_duplicates(df, shingle, percent).collect())
+    want = plain(rows, shingle, percent)
     assert got == want
     assert 20 < sum(not r[3] for r in want) < len(want)
 
@@ -92,12 +94,12 @@ def test_edges(spark):
         (12, long, 1), (13, long + " tail", 1),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_shingles int")
-    got = sorted(tuple(r) for r in near_duplicates(df, shingle=3).collect())
+    got = sorted(tuple(r) for r in near_duplicates(df, 3, 85).collect())
     assert got == plain([r[:2] for r in rows])
     # A null id sorts first; rows that repeat an id with other texts are documents too.
     rows = [(None, "a b c d"), (1, "a b c d"), (1, "e f g h"), (2, "E f g h"), (1, "x y z q")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [tuple(r) for r in near_duplicates(df, shingle=3).collect()]
+    got = [tuple(r) for r in near_duplicates(df, 3, 85).collect()]
     assert sorted(got, key=str) == sorted(
         [(None, 2, None, True), (1, 2, None, False), (1, 2, 1, True), (2, 2, 1, False), (1, 2, 1, True)],
         key=str,
