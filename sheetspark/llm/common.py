@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,12 +59,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[starts[0] : starts[-1]], starts - starts[0]
 
 
-def by_batch(function, schema: pa.Schema | None = None):
-    """``mapInArrow`` form of a function from one record batch to another."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
-
-    return run
+def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows with about ``size`` bytes of text; a longer text is alone."""
+    texts = batch.column(batch.schema.get_field_index("text"))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    at, done = 0, 0
+    while at < batch.num_rows:
+        last = max(int(np.searchsorted(ends, done + size, side="right")), at + 1)
+        yield batch.slice(at, last - at)
+        at, done = last, int(ends[last - 1])

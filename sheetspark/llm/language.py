@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetspark.llm.common import text_bytes
+from sheetspark.llm.common import slices, text_bytes
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -24,6 +24,8 @@ WIDTHS = (2, 3, 4)
 STRIDE = WINDOW - max(WIDTHS) + 1
 #: Windows that are scored together.
 GROUP = 512
+#: Texts are scored in slices of about so many bytes.
+SLICE = 1 << 20
 
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -41,6 +43,7 @@ def _byte_classes() -> np.ndarray:
 
 CLASSES = _byte_classes()
 KINDS = int(CLASSES.max()) + 1
+NARROW = CLASSES.astype(np.int32)
 
 
 @dataclass
@@ -184,14 +187,12 @@ def predict(net: ByteNet, flat: np.ndarray, offsets: np.ndarray, tables) -> np.n
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     begin = offsets[:-1][owner] + nth * STRIDE
     filled = np.minimum(WINDOW, offsets[1:][owner] - begin)
-    classes = CLASSES.astype(np.int32)[flat]
-    if not len(classes):
-        classes = np.zeros(1, np.int32)
+    flat = flat if len(flat) else np.zeros(1, np.uint8)
     ramp = np.arange(WINDOW)
     for at in range(0, len(owner), GROUP):
         here = slice(at, at + GROUP)
-        index = np.minimum(begin[here, None] + ramp, len(classes) - 1)
-        x = np.where(ramp < filled[here, None], classes[index], 0)
+        index = np.minimum(begin[here, None] + ramp, len(flat) - 1)
+        x = np.where(ramp < filled[here, None], NARROW[flat[index]], 0)
         share = net.probabilities(x, tables) * filled[here, None]
         np.add.at(total, owner[here], share)
     return total / np.maximum(lengths, 1)[:, None]
@@ -263,8 +264,8 @@ def identify_language(df: DataFrame, net: ByteNet | None) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.pair_tables() if net else None
-        for batch in batches:
-            texts = batch.column("text")
+        for part in (part for batch in batches for part in slices(batch, SLICE)):
+            texts = part.column("text")
             lettered = np.array([LETTER.search(t) is not None for t in texts.to_pylist()], bool)
             labels = np.full(len(texts), UNKNOWN, dtype=object)
             scores = np.zeros(len(texts))
@@ -275,8 +276,8 @@ def identify_language(df: DataFrame, net: ByteNet | None) -> DataFrame:
                 scores = np.where(lettered, chances[np.arange(len(best)), best], 0.0)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
+                    part.column("doc_id"),
+                    part.column("held_out"),
                     pa.array(labels.tolist(), pa.string()),
                     pa.array(np.clip(scores, 0, 1)),
                 ],
@@ -295,11 +296,11 @@ def with_known_language(df: DataFrame, net: ByteNet | None, least: float = 0.4)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.pair_tables() if net else None
-        for batch in batches:
-            texts = pc.fill_null(batch.column(batch.schema.get_field_index("text")), "")
+        for part in (part for batch in batches for part in slices(batch, SLICE)):
+            texts = pc.fill_null(part.column(part.schema.get_field_index("text")), "")
             keep = np.array([LETTER.search(t) is not None for t in texts.to_pylist()], bool)
-            if net and batch.num_rows:
+            if net:
                 keep &= predict(net, *text_bytes(texts), tables).max(axis=1) >= least
-            yield batch.filter(pa.array(keep))
+            yield part.filter(pa.array(keep))
 
     return df.mapInArrow(run, df.schema)

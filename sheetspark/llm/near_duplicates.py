@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheetspark.llm.common import plain_id, solid_id, stored, text_bytes
+from sheetspark.llm.common import plain_id, slices, solid_id, stored, text_bytes
 from sheetspark.llm.components import components
 from sheetspark.llm.shingles import mixed, shingle_hashes, word_hashes
 
@@ -34,7 +34,7 @@ from sheetspark.llm.shingles import mixed, shingle_hashes, word_hashes
 COORDINATES = 64
 MISSED = 4e-6
 #: Texts are hashed in slices of about so many bytes.
-SLICE = 1 << 22
+SLICE = 1 << 21
 #: Sizes that differ by less than this factor share a bucket of the range join.
 STEP = 1.05
 
@@ -51,17 +51,6 @@ def agreement(percent: int) -> int:
         agree += 1
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about SLICE bytes of text; a longer text is alone."""
-    _, offsets = text_bytes(batch.column("text"))
-    at = 0
-    while at < batch.num_rows:
-        last = int(np.searchsorted(offsets, offsets[at] + SLICE, side="right")) - 1
-        last = min(max(last, at + 1), batch.num_rows)
-        yield batch.slice(at, last - at)
-        at = last
-
-
 def _sets(column: pa.Array, shingle: int):
     """Sorted distinct shingle hashes, text by text."""
     hashes, counts = shingle_hashes(*word_hashes(*text_bytes(column)), shingle)
@@ -90,7 +79,7 @@ def _features(df: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, SLICE):
                 sets = _sets(part.column("text"), shingle)
                 signatures = iter(_signatures(sets).tolist())
                 yield pa.RecordBatch.from_arrays(
@@ -115,7 +104,7 @@ def _full_sets(texts: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, SLICE):
                 sets = _sets(part.column("text"), shingle)
                 own = [
                     i

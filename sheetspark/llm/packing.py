@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetspark.llm.common import plain_id, solid_id, stored, text_bytes
+from sheetspark.llm.common import plain_id, slices, solid_id, stored
 from sheetspark.llm.hilbert import cells, hilbert_keys
 
 #: Tokens of a sequence, and the id that ends a document.
@@ -28,9 +28,9 @@ LENGTH, END = 4096, 2
 #: Dimensions and bits of the curve.
 DIMENSIONS, BITS = 4, 12
 #: Distinct words whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Texts are encoded in slices of about so many bytes.
-SLICE = 1 << 24
+SLICE = 1 << 22
 
 
 class WordEncoder:
@@ -123,12 +123,7 @@ def tokenized(df: DataFrame, path: str) -> DataFrame:
         encoder = WordEncoder(path)
         projection = _projection(max(encoder.size, END + 1))
         for batch in batches:
-            _, offsets = text_bytes(batch.column("text"))
-            at = 0
-            while at < batch.num_rows:
-                last = int(np.searchsorted(offsets, offsets[at] + SLICE, side="right")) - 1
-                part = batch.slice(at, max(last - at, 1))
-                at += part.num_rows
+            for part in slices(batch, SLICE):
                 ids, counts = encoder.encode(part.column("text"))
                 ids = np.insert(ids, np.cumsum(counts), END)
                 counts = counts + 1
