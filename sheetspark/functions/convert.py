@@ -52,9 +52,12 @@ def temporal_to_int(column: Column, dtype: T.DataType, unit: str = "us") -> Colu
     ticks = UNIT_TICKS[unit]
     if ticks > UNIT_TICKS["us"]:
         return micros * (ticks // UNIT_TICKS["us"])
-    # pmod keeps the division a floor for moments before the epoch.
     divisor = UNIT_TICKS["us"] // ticks
-    return ((micros - F.pmod(micros, F.lit(divisor).cast("bigint"))) / divisor).cast("bigint")
+    if divisor == 1:
+        return micros
+    # pmod keeps the division a floor for moments before the epoch; div is exact on integers.
+    floor = micros - F.pmod(micros, F.lit(divisor).cast("bigint"))
+    return F.call_function("div", floor, F.lit(divisor).cast("bigint"))
 
 
 def _interval_micros(column: Column) -> Column:

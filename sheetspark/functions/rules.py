@@ -240,15 +240,39 @@ def _arithmetic(name: str, compute: Any) -> Any:
             dtype: T.DataType = T.DoubleType()
         else:
             dtype = max(left.dtype, right.dtype, key=lambda t: NUMBER_TYPES.index(type(t)))
-        column = compute(left.column.cast(dtype), right.column.cast(dtype))
+        sides = left.column.cast(dtype), right.column.cast(dtype)
+        column = compute(*sides, dtype) if compute is _power else compute(*sides)
         return Value(column.cast(dtype), dtype)
 
     return apply
 
 
+def _power(base: Column, exponent: Column, dtype: T.DataType) -> Column:
+    """Powers of integers by squaring, so that they are exact and overflow is an error."""
+    if not isinstance(dtype, (T.IntegerType, T.LongType)):
+        return F.pow(base, exponent)
+    wide, times = base.cast("bigint"), exponent.cast("bigint")
+    one = F.lit(1).cast("bigint")
+    start = F.struct(one.alias("result"), wide.alias("square"), times.alias("left"))
+
+    def step(state: Column, _: Column) -> Column:
+        odd, rest = state["left"] % 2 == 1, F.shiftright(state["left"], 1)
+        return F.struct(
+            F.when(odd, state["result"] * state["square"]).otherwise(state["result"]).alias("result"),
+            F.when(rest > 0, state["square"] * state["square"])
+            .otherwise(state["square"])
+            .alias("square"),
+            rest.alias("left"),
+        )
+
+    bits = F.sequence(F.lit(1), F.length(F.bin(times)))
+    exact = F.aggregate(bits, start, step, lambda state: state["result"])
+    return F.when(times >= 0, exact).otherwise(F.pow(base, exponent).cast("bigint"))
+
+
 add = _arithmetic("+", lambda a, b: a + b)
 subtract = _arithmetic("-", lambda a, b: a - b)
 multiply = _arithmetic("*", lambda a, b: a * b)
 divide = _arithmetic("/", F.try_divide)  # x / 0 is null
 modulo = _arithmetic("%", F.try_mod)  # x % 0 is null; the sign is the dividend's
-power = _arithmetic("**", F.pow)
+power = _arithmetic("**", _power)

@@ -25,15 +25,28 @@ def add_column(df: DataFrame, name: str, function: Callable[[Any], Any] | Column
     return df.withColumn(name, column_of(result))
 
 
-def attach_column(df: DataFrame, name: str, values: DataFrame, key: str) -> DataFrame:
+def attach_column(
+    df: DataFrame, name: str, values: DataFrame, key: str, complete: bool = False
+) -> DataFrame:
     """Add a column of outside values, ``values(key, name)``, matched by record key.
 
-    A key with several values fails the job.  Use
-    :func:`sheetspark.operators.checks.unmatched_keys` to require that every row
-    has a value and every value a row.
+    A key with several values fails the job.  So does, if ``complete``, a row without a value
+    or a value without a row; :func:`sheetspark.operators.checks.unmatched_keys` lists them.
     """
     _absent(df, name)
-    return df.join(one_per_key(values.select(key, name), key), key, "left")
+    unique = one_per_key(values.select(key, name), key)
+    if not complete:
+        return df.join(unique, key, "left")
+    info = values.schema[name]
+    left = df.withColumn("__row", F.lit(True))
+    right = unique.withColumn("__value", F.lit(True))
+    joined = left.join(right, key, "full")
+    problem = F.when(F.col("__row").isNull(), "no row").when(F.col("__value").isNull(), "no value")
+    message = F.concat(problem, F.lit(f" for {key} "), F.col(key).cast("string"))
+    checked = F.when(problem.isNull(), F.col(name)).otherwise(
+        F.raise_error(message).cast(info.dataType)
+    )
+    return joined.select(*df.columns, checked.alias(name, metadata=info.metadata))
 
 
 def rename(df: DataFrame, old: str, new: str) -> DataFrame:
@@ -114,7 +127,12 @@ def flatten(df: DataFrame, separator: str = "_") -> DataFrame:
                 found.append(F.col(".".join(here)).alias(separator.join(here)))
         return found
 
-    return df.select(*leaves(df.schema, ()))
+    spread = df.select(*leaves(df.schema, ()))
+    lowered = [name.lower() for name in spread.columns]
+    twice = sorted({name for name in lowered if lowered.count(name) > 1})
+    if twice:
+        raise ValueError(f"several leaves would be named {twice}; choose another separator")
+    return spread
 
 
 def explode_items(df: DataFrame, path: str, keep: Sequence[str], index: str = "pos") -> DataFrame:

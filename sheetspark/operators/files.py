@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheetspark.operators.checks import one_per_key
+
 
 def content_key(content: Column, prefix: str = "") -> Column:
     """The storage key of some bytes: equal bytes share a key."""
@@ -29,9 +31,12 @@ def classify(dataset: Column, target: str) -> Column:
 def copy_problem(
     workspace: Column, storage: Column, target_workspace: str, target_storage: str
 ) -> Column:
-    """Why a reference may not be copied without moving bytes; null if it may."""
-    return F.when(workspace != target_workspace, "other workspace").when(
-        storage != target_storage, "other storage"
+    """Why a reference may not be copied without moving bytes; null if it may.
+
+    A workspace or storage that is not known is not the target's.
+    """
+    return F.when(~workspace.eqNullSafe(F.lit(target_workspace)), "other workspace").when(
+        ~storage.eqNullSafe(F.lit(target_storage)), "other storage"
     )
 
 
@@ -63,13 +68,13 @@ def copy_references(
 
 
 def map_references(df: DataFrame, key: str, mapping: DataFrame) -> DataFrame:
-    """Rewrite keys through ``mapping(key, new_key)``, which has one row per key.
+    """Rewrite keys through ``mapping(key, new_key)``; a key with several rows fails the job.
 
     Keys that are not in the mapping stay.  Spark broadcasts a mapping that is
     measured to be small; for a larger one, adaptive execution splits a key that
     very many rows refer to.
     """
-    renamed = mapping.select(F.col("key").alias(key), "new_key")
+    renamed = one_per_key(mapping.select(F.col("key").alias(key), "new_key"), key)
     joined = df.join(renamed, key, "left")
     return joined.select(
         *[F.coalesce("new_key", F.col(c)).alias(c) if c == key else c for c in df.columns]

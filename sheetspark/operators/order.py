@@ -26,6 +26,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheetspark.runtime import ensure_checkpoints
+
 TOP_K = 10_000  # largest read that is kept in memory as a top-k
 RANGE_ROWS = 50_000  # rows aimed at in one range
 MAX_RANGES = 16_384  # bounds the sample and the counts that reach the driver
@@ -76,17 +78,37 @@ def page(
     return rows if columns is None else rows.select(*_names(columns))
 
 
+def numbered(df: DataFrame, name: str = "pos") -> DataFrame:
+    """The rows of an ordered frame with their place in it.
+
+    The frame is checkpointed, since a sort that runs twice may cut its ranges differently; then
+    the rows of each partition are counted and each partition adds the rows before it.
+    """
+    ensure_checkpoints(df.sparkSession)
+    kept = df.checkpoint()
+    part, row = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    counted = kept.groupBy(part.alias("part")).count().collect()
+    sizes = {r["part"]: r["count"] for r in counted}
+    before, starts = 0, []
+    for number in range(max(sizes, default=-1) + 1):
+        starts.append(before)
+        before += sizes.get(number, 0)
+    offsets = F.from_json(F.lit(str(starts)), "array<bigint>")
+    return kept.withColumn(name, F.get(offsets, part) + row)
+
+
 def head(df: DataFrame, keys: str | Sequence[str], n: int = 5) -> DataFrame:
-    """The first ``n`` rows; a negative ``n`` leaves out the last ``-n``."""
+    """The first ``n`` rows, in order; a negative ``n`` leaves out the last ``-n``."""
     keys = _names(keys)
     if 0 <= n <= TOP_K:
         return df.orderBy(*_ascending(keys)).limit(n)
     positions = Positions(df, keys)
-    return positions.span(0, n if n > 0 else positions.count + n)
+    rows = positions.span(0, n if n > 0 else positions.count + n)
+    return rows.orderBy(*_ascending(keys))
 
 
 def tail(df: DataFrame, keys: str | Sequence[str], n: int = 5) -> DataFrame:
-    """The last ``n`` rows in key order; a negative ``n`` leaves out the first ``-n``."""
+    """The last ``n`` rows, in order; a negative ``n`` leaves out the first ``-n``."""
     keys = _names(keys)
     if n == 0:
         return df.limit(0)
@@ -94,7 +116,8 @@ def tail(df: DataFrame, keys: str | Sequence[str], n: int = 5) -> DataFrame:
         last = df.orderBy(*[F.col(k).desc_nulls_last() for k in keys]).limit(n)
         return last.orderBy(*_ascending(keys))
     positions = Positions(df, keys)
-    return positions.span(max(0, positions.count - n) if n > 0 else -n, positions.count)
+    rows = positions.span(max(0, positions.count - n) if n > 0 else -n, positions.count)
+    return rows.orderBy(*_ascending(keys))
 
 
 def row_at(df: DataFrame, keys: str | Sequence[str], index: int) -> DataFrame:
@@ -125,7 +148,8 @@ class Positions:
     """Positions of the rows of ``df`` in the order of ``keys``.
 
     The keys must identify a row and the frame must give the same rows when it
-    is read again, as a stored sheet does.
+    is read again, as a stored sheet does.  Two rows with one key in a range that
+    is numbered fail the job; they are in one range, since the whole key decides.
     """
 
     def __init__(
@@ -225,10 +249,14 @@ class Positions:
             rows = rows.where(self._before(self._literals(self._bounds[last : last + 1])[0]))
         starts = F.from_json(F.lit(str(self.starts)), "array<bigint>")
         rows = rows.withColumn("__range", self._range())
-        within = F.row_number().over(
-            Window.partitionBy("__range").orderBy(*_ascending(self.keys))
+        in_order = Window.partitionBy("__range").orderBy(*_ascending(self.keys))
+        within = F.row_number().over(in_order)
+        key = F.struct(*self._key_fields())
+        message = F.concat(F.lit("several rows have the key "), F.to_json(key))
+        tied = key.eqNullSafe(F.lag(key).over(in_order)) & (within > 1)
+        position = F.when(tied, F.raise_error(message).cast("bigint")).otherwise(
+            F.element_at(starts, F.col("__range") + 1) + within - 1
         )
-        position = F.element_at(starts, F.col("__range") + 1) + within - 1
         rows = rows.withColumn("pos", position.cast("bigint")).drop("__range")
         if (start, stop) == (0, self.count):
             return rows

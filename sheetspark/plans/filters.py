@@ -189,7 +189,12 @@ def arith_mod(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT p_partkey, CAST(pow(p_size, 3) AS BIGINT) AS cubed, pow(p_size, 2.0) AS squared
+    """SELECT p_partkey, CAST(pow(p_size, 3) AS BIGINT) AS cubed, pow(p_size, 2.0) AS squared,
+         CAST(list_reduce([CAST(p_size + 100 AS HUGEINT) FOR i IN range(8)],
+           lambda a, b: a * b) AS BIGINT) AS eighth,
+         CAST(CASE WHEN p_size % 40 = 0 THEN 1
+           ELSE list_reduce([CAST(3 AS HUGEINT) FOR i IN range(p_size % 40)],
+             lambda a, b: a * b) END AS BIGINT) AS by_column
        FROM part"""
 )
 def arith_pow(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,7 +202,12 @@ def arith_pow(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "part"),
         [
             "p_partkey",
-            {"cubed": lambda x: x["p_size"] ** 3, "squared": lambda x: x["p_size"] ** 2.0},
+            {
+                "cubed": lambda x: x["p_size"] ** 3,
+                "squared": lambda x: x["p_size"] ** 2.0,
+                "eighth": lambda x: (x["p_size"] + 100) ** 8,
+                "by_column": lambda x: (x["p_size"] * 0 + 3) ** (x["p_size"] % 40),
+            },
         ],
     )
 

@@ -22,8 +22,9 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT c_custkey, c_nationkey AS nation, c_mktsegment AS segment FROM customer
-       ORDER BY c_mktsegment, c_nationkey, c_custkey"""
+    """SELECT c_custkey, c_nationkey AS nation, c_mktsegment AS segment,
+         row_number() OVER (ORDER BY c_mktsegment, c_nationkey, c_custkey) - 1 AS pos
+       FROM customer"""
 )
 def order_by_multi(spark: SparkSession, folder: str) -> DataFrame:
     ordered = order.order_by(
@@ -31,70 +32,93 @@ def order_by_multi(spark: SparkSession, folder: str) -> DataFrame:
         "profile.market.c_mktsegment|profile.market.c_nationkey",
         key="c_custkey",
     )
-    return ordered.select(
-        "c_custkey",
-        F.col("profile.market.c_nationkey").alias("nation"),
-        F.col("profile.market.c_mktsegment").alias("segment"),
+    return order.numbered(
+        ordered.select(
+            "c_custkey",
+            F.col("profile.market.c_nationkey").alias("nation"),
+            F.col("profile.market.c_mktsegment").alias("segment"),
+        )
     )
 
 
 @query(
-    """SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders
-       ORDER BY o_orderstatus, o_totalprice DESC, o_orderkey"""
+    """SELECT o_orderkey, o_totalprice, o_orderstatus, row_number() OVER
+         (ORDER BY o_orderstatus, o_totalprice DESC, o_orderkey) - 1 AS pos FROM orders"""
 )
 def sort_desc(spark: SparkSession, folder: str) -> DataFrame:
-    return order.sort(_orders(spark, folder), "o_orderstatus,-o_totalprice", key="o_orderkey")
+    return order.numbered(
+        order.sort(_orders(spark, folder), "o_orderstatus,-o_totalprice", key="o_orderkey")
+    )
 
 
-@query(f"WITH {RANKED} SELECT o_orderkey, o_totalprice FROM ranked WHERE pos >= 384 AND pos < 512")
+@query(
+    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, pos - 384 AS pos FROM ranked
+    WHERE pos >= 384 AND pos < 512"""
+)
 def page(spark: SparkSession, folder: str) -> DataFrame:
-    return order.page(
-        _orders(spark, folder),
-        "o_orderkey",
-        order_by="o_totalprice",
-        offset=384,
-        limit=128,
-        columns="o_orderkey|o_totalprice",
+    return order.numbered(
+        order.page(
+            _orders(spark, folder),
+            "o_orderkey",
+            order_by="o_totalprice",
+            offset=384,
+            limit=128,
+            columns="o_orderkey|o_totalprice",
+        )
     )
 
 
 @query(
-    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus FROM ranked
+    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus, pos - 10500 AS pos FROM ranked
     WHERE pos >= 10500 AND pos < 12500"""
 )
 def deep_page(spark: SparkSession, folder: str) -> DataFrame:
-    return order.page(
-        _orders(spark, folder), "o_orderkey", order_by="o_totalprice", offset=10500, limit=2000
+    return order.numbered(
+        order.page(
+            _orders(spark, folder), "o_orderkey", order_by="o_totalprice", offset=10500, limit=2000
+        )
     )
 
 
-@query(f"WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus FROM ranked WHERE pos < 100")
+@query(
+    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus, pos FROM ranked
+    WHERE pos < 100"""
+)
 def head(spark: SparkSession, folder: str) -> DataFrame:
-    return order.head(_orders(spark, folder), BY_PRICE, 100)
+    return order.numbered(order.head(_orders(spark, folder), BY_PRICE, 100))
 
 
 @query(
-    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus FROM ranked
+    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus, pos FROM ranked
+    WHERE pos < 10500"""
+)
+def head_large(spark: SparkSession, folder: str) -> DataFrame:
+    """More rows than are kept in memory as a top-k."""
+    return order.numbered(order.head(_orders(spark, folder), BY_PRICE, 10_500))
+
+
+@query(
+    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus, pos FROM ranked
     WHERE pos < n - 300"""
 )
 def head_negative(spark: SparkSession, folder: str) -> DataFrame:
-    return order.head(_orders(spark, folder), BY_PRICE, -300)
+    return order.numbered(order.head(_orders(spark, folder), BY_PRICE, -300))
 
 
 @query(
-    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus FROM ranked
-    WHERE pos >= n - 100"""
+    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus, pos - n + 100 AS pos
+    FROM ranked WHERE pos >= n - 100"""
 )
 def tail(spark: SparkSession, folder: str) -> DataFrame:
-    return order.tail(_orders(spark, folder), BY_PRICE, 100)
+    return order.numbered(order.tail(_orders(spark, folder), BY_PRICE, 100))
 
 
 @query(
-    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus FROM ranked
+    f"""WITH {RANKED} SELECT o_orderkey, o_totalprice, o_orderstatus, pos - 300 AS pos FROM ranked
     WHERE pos >= 300"""
 )
 def tail_negative(spark: SparkSession, folder: str) -> DataFrame:
-    return order.tail(_orders(spark, folder), BY_PRICE, -300)
+    return order.numbered(order.tail(_orders(spark, folder), BY_PRICE, -300))
 
 
 @query(

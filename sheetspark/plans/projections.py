@@ -150,24 +150,32 @@ def enum_codes(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """SELECT event_id, epoch_us(ts) AS ts, CAST(epoch_us(ts) // 1000 AS BIGINT) AS ts_ms,
          CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT) AS day,
-         epoch_us(ts - TIMESTAMP '2024-01-15') // 1000000 AS since FROM
+         epoch_us(ts - TIMESTAMP '2024-01-15') // 1000000 AS since,
+         epoch_us(ts + INTERVAL 7900 YEAR) AS late_us,
+         CAST(epoch_us(ts + INTERVAL 7900 YEAR) // 1000 AS BIGINT) AS late_ms FROM
          (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15')
        UNION ALL
        SELECT event_id, epoch_us(ts), CAST(epoch_us(ts) // 1000 AS BIGINT),
          CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT),
-         CAST(floor(epoch_us(ts - TIMESTAMP '2024-01-15') / 1000000.0) AS BIGINT) FROM events
+         CAST(floor(epoch_us(ts - TIMESTAMP '2024-01-15') / 1000000.0) AS BIGINT),
+         epoch_us(ts + INTERVAL 7900 YEAR),
+         CAST(epoch_us(ts + INTERVAL 7900 YEAR) // 1000 AS BIGINT) FROM events
        WHERE ts < TIMESTAMP '2024-01-15'"""
 )
 def temporal_to_int(spark: SparkSession, folder: str) -> DataFrame:
     middle = F.lit("2024-01-15").cast("timestamp_ntz")
+    late = F.col("ts") + F.make_ym_interval(F.lit(7900), F.lit(0))
     df = table(spark, folder, "events").select(
         "event_id",
         "ts",
         F.col("ts").alias("ts_ms"),
         F.col("ts").cast("date").alias("day"),
         (F.col("ts") - middle).alias("since"),
+        late.alias("late_us"),
+        late.alias("late_ms"),
     )
-    for name, unit in {"ts": "us", "ts_ms": "ms", "day": None, "since": "s"}.items():
+    units = {"ts": "us", "ts_ms": "ms", "day": None, "since": "s", "late_us": "us", "late_ms": "ms"}
+    for name, unit in units.items():
         df = columns.as_integers(df, name, unit)
     return df
 

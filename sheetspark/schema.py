@@ -253,12 +253,6 @@ def leaf_count(dtype: T.DataType) -> int:
     return 1
 
 
-def write_batch_rows(schema: T.StructType) -> int:
-    """Rows in one write batch, as the paged write interface counts them."""
-    # At most 2048 rows and 60000 leaf values in a batch.
-    return min(2048, 60000 // leaf_count(schema))
-
-
 def name_conflicts(schema: T.StructType) -> list[tuple[str, str]]:
     """Pairs of sibling names that differ only by case, at every depth."""
     return list(_conflicts(schema, ""))

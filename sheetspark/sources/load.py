@@ -11,22 +11,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sheetspark import schema as schemas
+from sheetspark.operators.checks import require_declared
 
 
 def from_rows(
     spark: SparkSession,
     rows: Iterable[Mapping[str, Any]] | DataFrame,
     schema: T.StructType | None = None,
+    check: bool = True,
 ) -> DataFrame:
-    """A sheet from rows given as dicts, with a declared or an inferred schema."""
+    """A sheet from rows given as dicts, with a declared or an inferred schema.
+
+    An inferred schema has the fields of all rows, in the order they first appear.  With a
+    declared one, an enum value or array length that breaks it fails the job unless ``check``
+    is false.
+    """
     if isinstance(rows, DataFrame):
         if schema is not None:
             raise ValueError("a schema cannot be given together with a DataFrame")
         return rows
     rows = list(rows)
     if schema is None:
-        return from_arrow(spark, pa.Table.from_pylist(rows))
-    return spark.createDataFrame([_tuple(row, schema) for row in rows], schema)
+        if not rows:
+            raise ValueError("no rows to infer a schema from")
+        names = dict.fromkeys(name for row in rows for name in row)
+        return from_arrow(
+            spark, pa.table({name: pa.array([row.get(name) for row in rows]) for name in names})
+        )
+    df = spark.createDataFrame([_tuple(row, schema) for row in rows], schema)
+    return require_declared(df) if check else df
 
 
 def _tuple(value: Any, dtype: T.DataType) -> Any:
@@ -64,13 +77,36 @@ def from_arrow(spark: SparkSession, data: pa.Table | pa.StructArray) -> DataFram
             plain = column.cast(column.type.value_type)
             data = data.set_column(data.column_names.index(name), name, plain)
     _check_arrow(data.schema)
-    df = spark.createDataFrame(data)
+    df = spark.createDataFrame(_in_microseconds(data))
     for name, values in enums.items():
         df = df.withMetadata(name, schemas.field(name, schemas.enum(values)).metadata)
     schemas.check_supported(df.schema)
     return df
 
 
+def _in_microseconds(data: pa.Table) -> pa.Table:
+    """The same data with nanoseconds as microseconds; digits that would be lost are refused."""
+    target = pa.schema([f.with_type(_microsecond_type(f.type)) for f in data.schema])
+    if target.equals(data.schema):
+        return data
+    try:
+        return data.cast(target)
+    except pa.ArrowInvalid as error:
+        raise ValueError(f"a time is finer than microseconds: {error}") from error
+
+
+def _microsecond_type(kind: pa.DataType) -> pa.DataType:
+    if pa.types.is_timestamp(kind) and kind.unit == "ns":
+        return pa.timestamp("us", kind.tz)
+    if pa.types.is_duration(kind) and kind.unit == "ns":
+        return pa.duration("us")
+    if pa.types.is_struct(kind):
+        return pa.struct([f.with_type(_microsecond_type(f.type)) for f in kind])
+    if pa.types.is_list(kind):
+        return pa.list_(kind.value_field.with_type(_microsecond_type(kind.value_type)))
+    return kind
+
+
 def _check_arrow(schema: pa.Schema) -> None:
     for f in schema:
         kind = f.type
@@ -96,14 +132,30 @@ def from_pandas(spark: SparkSession, pdf: pd.DataFrame) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    format: str = "parquet",
+    check: bool = True,
 ) -> DataFrame:
-    """A sheet from files, against a declared schema or with the one the files carry."""
+    """A sheet from files, against a declared schema or with the one the files carry.
+
+    A value that breaks the declared schema fails the job that meets it, unless ``check`` is
+    false; the check rides on the scan.
+    """
     reader = spark.read.format(format)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)
     schemas.check_supported(df.schema)
+    return require_declared(_declared(df, schema)) if schema is not None and check else df
+
+
+def _declared(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the column metadata of ``schema``, which some sources leave out."""
+    for f in schema.fields:
+        if f.metadata and df.schema[f.name].metadata != f.metadata:
+            df = df.withMetadata(f.name, f.metadata)
     return df
 
 

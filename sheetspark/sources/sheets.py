@@ -35,7 +35,8 @@ def write_bucketed(
     which are small beside the sheet, move.
     """
     schemas.check_names(df.schema)
-    writer = df.write.mode("errorifexists").bucketBy(buckets, key).sortBy(key)
+    schemas.check_supported(df.schema)
+    writer = require_declared(df).write.mode("errorifexists").bucketBy(buckets, key).sortBy(key)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

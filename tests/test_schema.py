@@ -134,14 +134,11 @@ def test_schema_edits():
             wrong()
 
 
-def test_leaf_count_and_batches():
+def test_leaf_count():
     schema = schemas.record(
         f="string", image={"type": "file.Image"}, boxes=schemas.array(schemas.box2d(["a"]))
     )
     assert schemas.leaf_count(schema) == 1 + 5 + 5
-    assert schemas.write_batch_rows(schema) == 2048
-    wide = T.StructType([schemas.field(f"c{i}", "string") for i in range(100)])
-    assert schemas.write_batch_rows(wide) == 600
 
 
 def test_name_conflicts_at_every_depth():
@@ -285,7 +282,7 @@ def test_write_refuses_bad_sheets(spark, tmp_path):
     write_sheet(good, str(tmp_path), "good")
     again = read_sheet(spark, str(tmp_path), "good")
     assert again.schema["e"].metadata["values"] == ["a"]
-    bad = load.from_rows(spark, [{"e": "z"}], schema)
+    bad = load.from_rows(spark, [{"e": "z"}], schema, check=False)
     assert checks.bad_enums(bad, "e").count() == 1
     with pytest.raises(Exception, match="undeclared value in e"):
         write_sheet(bad, str(tmp_path), "bad")
