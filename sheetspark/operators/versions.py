@@ -27,7 +27,8 @@ from sheetspark.functions.accessor import find_field
 from sheetspark.runtime import ensure_checkpoints
 
 JUMP_GROWTH = 4
-BROADCAST_COMMITS = 50_000  # links, of two ids each, that are broadcast once counted
+FEW_COMMITS = 50_000  # links, of two ids each, that the driver may read and walk
+FEW_REFS = 50_000  # branches and tags that are broadcast once counted
 LITERAL_CHAIN = 2_000  # commits in a chain that may become literals in a plan
 
 def _sheet_columns(ops: DataFrame) -> T.StructType:
@@ -95,41 +96,65 @@ def overlay(snapshot: DataFrame, ops: DataFrame) -> DataFrame:
 def ancestors(commits: DataFrame, commit_id: str) -> DataFrame:
     """A commit and its ancestors with their ``distance`` from it.
 
-    Jump pointers grow fourfold each round, so a chain of a million commits takes
-    ten rounds of small joins rather than a million recursion steps.  The links
-    and the two tables of a round are checkpointed; otherwise each round would
-    contain several copies of the one before.  Links that are counted to be few
-    are broadcast, more of them are shuffled.
+    Links that are few, which reading one more than :data:`FEW_COMMITS` shows, are walked where
+    they have been read.  More of them are followed by joins, see :func:`_followed`.
     """
-    ensure_checkpoints(commits.sparkSession)
-    links = commits.select("commit_id", "parent_id").checkpoint()
-    total = links.count()
-    small = total <= BROADCAST_COMMITS
-    side = F.broadcast if small else lambda table: table
-    found = links.where(F.col("commit_id") == commit_id).select(
-        "commit_id", F.lit(0).cast("bigint").alias("distance")
+    links = commits.select("commit_id", "parent_id")
+    few = links.limit(FEW_COMMITS + 1).collect()
+    if len(few) > FEW_COMMITS:
+        return _followed(links, commit_id)
+    parents = {r["commit_id"]: r["parent_id"] for r in few}
+    chain, at = [], commit_id
+    while at in parents:
+        chain.append((at, len(chain)))
+        if len(chain) > len(parents):
+            raise ValueError(f"the history of {commit_id!r} runs in a circle")
+        at = parents[at]
+    schema = T.StructType([commits.schema["commit_id"], T.StructField("distance", T.LongType())])
+    return commits.sparkSession.createDataFrame(chain, schema)
+
+
+def _followed(links: DataFrame, commit_id: str) -> DataFrame:
+    """The ancestors over jump pointers that grow fourfold each round.
+
+    A chain of a million commits takes ten rounds of small joins rather than a million recursion
+    steps.  A round ends with one checkpoint of the commits found and the pointers; rounds end
+    when one finds nothing new.
+    """
+    ensure_checkpoints(links.sparkSession)
+    start = links.where(F.col("commit_id") == commit_id).select(
+        "commit_id", F.lit(0).cast("bigint").alias("distance"), F.lit(None).alias("target")
+    )
+    # A jump leads from a commit to its ancestor at the distance of the round.
+    first = links.where(F.col("parent_id").isNotNull()).select(
+        "commit_id", F.lit(None).cast("bigint").alias("distance"), F.col("parent_id").alias("target")
     )
-    jumps = links.where(F.col("parent_id").isNotNull()).withColumnRenamed("parent_id", "target")
-    stride = 1  # a jump leads from a commit to its ancestor at this distance
-    while stride < total:
+    state = start.unionByName(first).checkpoint()
+    stride, known = 1, 0
+    while True:
+        found = state.where("target IS NULL").drop("target")
+        jumps = state.where("target IS NOT NULL").drop("distance")
+        count = found.count()
+        if count == known:
+            return found
+        known = count
         onward = jumps.select(F.col("commit_id").alias("target"), F.col("target").alias("__next"))
         longer, reached = jumps, found
         for times in range(1, JUMP_GROWTH):
-            steps = found.join(side(longer), "commit_id").select(
+            steps = found.join(longer, "commit_id").select(
                 F.col("target").alias("commit_id"),
                 (F.col("distance") + times * stride).alias("distance"),
             )
             reached = reached.unionByName(steps)
-            longer = longer.join(side(onward), "target").select(
+            longer = longer.join(onward, "target").select(
                 "commit_id", F.col("__next").alias("target")
             )
-        if small:  # broadcast joins keep the partitions of each part of the union
-            reached, longer = reached.coalesce(4), longer.coalesce(4)
-        found = reached.checkpoint()
         stride *= JUMP_GROWTH
-        if stride < total:
-            jumps = longer.checkpoint()
-    return found
+        state = (
+            reached.withColumn("target", F.lit(None))
+            .unionByName(longer.withColumn("distance", F.lit(None).cast("bigint")))
+            .checkpoint()
+        )
 
 
 def history(commits: DataFrame, commit_id: str) -> DataFrame:
@@ -230,6 +255,8 @@ def sheet_set(sheet_ops: DataFrame) -> DataFrame:
 def commit_problems(drafts: DataFrame, ops: DataFrame, refs: DataFrame) -> DataFrame:
     """Why a draft may not be committed: ``number, problem``; no row if it may.
 
+    Very many drafts may be on one branch, so branches that are counted to be few are broadcast.
+
     ``drafts(number, head)`` names the revision the draft was made on and
     ``ops(number)`` has a row per edit.
     """
@@ -237,7 +264,8 @@ def commit_problems(drafts: DataFrame, ops: DataFrame, refs: DataFrame) -> DataF
         F.col("name").alias("head"), F.lit(True).alias("is_branch")
     )
     counts = ops.groupBy("number").agg(F.count(F.lit(1)).alias("edits"))
-    joined = drafts.join(branches.distinct(), "head", "left").join(counts, "number", "left")
+    branches = _few(branches.distinct())
+    joined = drafts.join(branches, "head", "left").join(counts, "number", "left")
     problem = F.when(F.col("is_branch").isNull(), "HEAD is not a branch").when(
         F.coalesce("edits", F.lit(0)) == 0, "nothing to commit"
     )
@@ -256,7 +284,9 @@ def commit(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Commit a draft on a branch: the new commits, refs and ops tables.
 
-    Refuses when the branch does not exist or the draft changes nothing.
+    Refuses when the branch does not exist or the draft changes nothing.  Where ``commits`` has
+    ``last_seq``, the largest ``seq`` up to a commit, the edits are numbered from there and the
+    log is not read; otherwise its largest ``seq`` is looked up.
     """
     head = refs.where((F.col("kind") == "branch") & (F.col("name") == branch)).first()
     if head is None:
@@ -276,7 +306,14 @@ def commit(
     new_refs = refs.withColumn(
         "commit_id", F.when(moves, F.lit(commit_id)).otherwise(F.col("commit_id"))
     )
-    base = ops.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).cast("bigint")).first()[0]
+    counted = "last_seq" in commits.columns
+    if counted:
+        parent = commits.where(F.col("commit_id") == head["commit_id"]).first()
+        base = parent["last_seq"] + 1 if parent else 0
+        most = draft_ops.agg(F.max("seq")).first()[0]
+        row = row.withColumn("last_seq", F.lit(base + most).cast("bigint"))
+    else:
+        base = ops.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).cast("bigint")).first()[0]
     new_ops = draft_ops.withColumn("commit_id", F.lit(commit_id)).withColumn(
         "seq", F.col("seq") + F.lit(base)
     )
@@ -287,6 +324,34 @@ def commit(
     )
 
 
+def open_draft(drafts: DataFrame, number: int) -> dict:
+    """The draft of a number; refused if there is none or it is committed or closed."""
+    found = drafts.where(F.col("number") == number).first()
+    if found is None:
+        raise LookupError(f"draft {number} does not exist")
+    if found["state"] != "OPEN":
+        raise ValueError(f"draft {number} is {found['state'].lower()}")
+    return found.asDict()
+
+
+def read_draft(
+    ops: DataFrame,
+    commits: DataFrame,
+    drafts: DataFrame,
+    draft_ops: DataFrame,
+    number: int,
+    sheet: str,
+) -> DataFrame:
+    """The rows of a sheet in an open draft: its parent's, with the draft's edits over them.
+
+    ``drafts(number, state, parent_id)`` and ``draft_ops(number, sheet, seq, ...)``.
+    """
+    draft = open_draft(drafts, number)
+    parent = snapshot(ops, commits, draft["parent_id"], sheet)
+    edits = draft_ops.where((F.col("number") == number) & (F.col("sheet") == sheet))
+    return overlay(parent, edits.drop("number"))
+
+
 def list_drafts(
     drafts: DataFrame, state: str = "OPEN", branch: str | None = None
 ) -> DataFrame:
@@ -316,9 +381,16 @@ def list_searches(
     return searches.orderBy(*sort) if sort else searches
 
 
+def _few(refs: DataFrame) -> DataFrame:
+    """Refs to join with; broadcast if counted to be few, else left to adaptive execution."""
+    return F.broadcast(refs) if refs.limit(FEW_REFS + 1).count() <= FEW_REFS else refs
+
+
 def stale_heads(heads: DataFrame, refs: DataFrame) -> DataFrame:
     """Local heads whose branch or tag has moved on: ``heads(..., name, kind, commit_id)``."""
     current = refs.select("name", "kind", F.col("commit_id").alias("current_commit_id"))
+    asked = heads.select("name", "kind").distinct()
+    current = _few(current.join(asked, ["name", "kind"], "left_semi"))
     return heads.join(current, ["name", "kind"]).where(
         F.col("commit_id") != F.col("current_commit_id")
     )

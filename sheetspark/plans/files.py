@@ -70,6 +70,34 @@ def copy_refs(spark: SparkSession, folder: str) -> DataFrame:
     return files.copy_references(df, "key", "dataset", "target", "copies/", problem)
 
 
+_PLACES_SQL = """
+  SELECT f.doc_id, digest, CASE WHEN f.doc_id % 7 = 0 THEN NULL WHEN lang = 'de' THEN 'away'
+    ELSE 'home' END AS workspace, CASE WHEN f.doc_id % 11 = 0 THEN NULL WHEN d.source = 'src5'
+    THEN 's2' ELSE 's1' END AS storage
+  FROM files f JOIN documents d ON f.doc_id = d.doc_id"""
+
+
+@query(
+    f"""WITH {FILES_SQL}, refs AS ({_PLACES_SQL})
+    SELECT doc_id, 'origin/' || digest AS key,
+      CASE WHEN workspace IS DISTINCT FROM 'home' THEN 'other workspace'
+        WHEN storage IS DISTINCT FROM 's1' THEN 'other storage' END AS problem FROM refs"""
+)
+def copy_problems(spark: SparkSession, folder: str) -> DataFrame:
+    """References of several workspaces and storages, some unknown, with what forbids a copy."""
+    df = _references(spark, folder).join(
+        table(spark, folder, "documents").select("doc_id", "lang", "source"), "doc_id"
+    )
+    workspace = F.when(F.col("doc_id") % 7 == 0, None).otherwise(
+        F.when(F.col("lang") == "de", "away").otherwise("home")
+    )
+    storage = F.when(F.col("doc_id") % 11 == 0, None).otherwise(
+        F.when(F.col("source") == "src5", "s2").otherwise("s1")
+    )
+    problem = files.copy_problem(workspace, storage, "home", "s1")
+    return df.select("doc_id", "key", problem.alias("problem"))
+
+
 @query(
     """WITH refs AS (SELECT l_orderkey, l_linenumber, 'origin/' || l_suppkey AS key FROM lineitem)
     SELECT l_orderkey, l_linenumber,

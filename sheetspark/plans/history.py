@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetspark import schema as schemas
-from sheetspark.operators import columns, versions
+from sheetspark.operators import columns, order, versions
 from sheetspark.operators.query import search
 from sheetspark.plans.inputs import table
 from sheetspark.plans.registry import query
+from sheetspark.runtime import fresh_path
+from sheetspark.sources import history as stored_history
+from sheetspark.sources.sheets import read_sheet, write_sheet
 
 FORK = "2024-01-10"
 COLS = schemas.record(value="float64", props="string", event_type="string")
@@ -162,10 +165,16 @@ def snapshot_at(spark: SparkSession, folder: str) -> DataFrame:
 def snapshot_from_stored(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows from the stored snapshot of an ancestor and the edits since."""
     ops, commits = edit_log(spark, folder), commit_log(spark, folder)
-    stored = versions.snapshot(
-        ops.withColumn("sheet", F.lit("users")), commits, "main@2024-01-10", sheet="users"
+    root = fresh_path(spark, "snapshots")
+    write_sheet(
+        versions.snapshot(
+            ops.withColumn("sheet", F.lit("users")), commits, "main@2024-01-10", sheet="users"
+        ),
+        root,
+        "users",
     )
-    return versions.snapshot_from(stored, "main@2024-01-10", ops, commits, "dev@2024-01-25")
+    kept = read_sheet(spark, root, "users")
+    return versions.snapshot_from(kept, "main@2024-01-10", ops, commits, "dev@2024-01-25")
 
 
 @query(
@@ -224,11 +233,11 @@ def draft_overlay(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH RECURSIVE {LOG_SQL}, {_chain_sql("'dev@2024-01-25'")}
     SELECT c.commit_id AS commit_id, c.parent_id AS parent_id, c.branch AS branch,
       c.n_edits || ' edits' AS title, CAST(c.day AS TIMESTAMP) AS committed_at,
-      CAST(chain.distance AS BIGINT) AS age
+      CAST(chain.distance AS BIGINT) AS age, CAST(chain.distance AS BIGINT) AS pos
     FROM chain JOIN commits c ON c.commit_id = chain.commit_id"""
 )
 def ancestors(spark: SparkSession, folder: str) -> DataFrame:
-    return versions.history(commit_log(spark, folder), "dev@2024-01-25")
+    return order.numbered(versions.history(commit_log(spark, folder), "dev@2024-01-25"))
 
 
 @query(
@@ -325,9 +334,66 @@ def commit_draft(spark: SparkSession, folder: str) -> DataFrame:
     return versions.snapshot(ops.withColumn("sheet", F.lit("users")), commits, versions.resolve(commits, refs, "main"), "users")
 
 
+@query(
+    f"""WITH RECURSIVE {LOG_SQL}, committed AS (
+      SELECT * FROM edits WHERE day = DATE '2024-01-26' AND branch = 'main'),
+    {_chain_sql("'main@2024-01-25'")},
+    grown AS (
+      SELECT e.* FROM edits e JOIN chain c ON e.commit_id = c.commit_id
+      UNION ALL SELECT * FROM committed),
+    {_fold_sql("grown", "folded")}
+    SELECT * FROM folded"""
+)
+def commit_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """A history is stored, a day's edits are committed to it, and the branch is read back."""
+    root = fresh_path(spark, "history")
+    ops = edit_log(spark, folder).withColumn("sheet", F.lit("users"))
+    commits = commit_log(spark, folder).where(
+        F.col("committed_at") <= F.lit("2024-01-25").cast("timestamp_ntz")
+    )
+    refs = commits.groupBy(F.col("branch").alias("name")).agg(
+        F.max("commit_id").alias("commit_id")
+    )
+    refs = refs.select("name", F.lit("branch").alias("kind"), "commit_id")
+    old = F.substring("commit_id", -10, 10) <= "2024-01-25"
+    stored_history.create_history(ops.where(old), commits, refs, root)
+    stored_history.commit_stored(
+        spark,
+        root,
+        ops.where(F.col("commit_id") == "main@2024-01-26"),
+        branch="main",
+        commit_id="draft@1",
+        title="one more day",
+        committed_at=F.lit("2024-01-26").cast("timestamp_ntz"),
+    )
+    return stored_history.read_stored_revision(spark, root, "main", "users")
+
+
+@query(
+    f"""WITH RECURSIVE {LOG_SQL}, {_chain_sql("'main@2024-01-25'")},
+    grown AS (
+      SELECT e.* FROM edits e JOIN chain c ON e.commit_id = c.commit_id
+      UNION ALL SELECT * FROM edits WHERE commit_id = 'main@2024-01-26'),
+    {_fold_sql("grown", "folded")}
+    SELECT * FROM folded"""
+)
+def draft_by_number(spark: SparkSession, folder: str) -> DataFrame:
+    """Every day of the main branch as a draft on the day before; the open one of day 26 is read."""
+    log, commits = edit_log(spark, folder).withColumn("sheet", F.lit("users")), commit_log(spark, folder)
+    day = F.dayofmonth("committed_at")
+    drafts = commits.where(F.col("branch") == "main").select(
+        day.alias("number"), F.when(day >= 26, "OPEN").otherwise("COMMITTED").alias("state"), "parent_id"
+    )
+    edits = log.where(F.col("commit_id").startswith("main")).withColumn(
+        "number", F.substring("commit_id", -2, 2).cast("int")
+    )
+    return versions.read_draft(log, commits, drafts, edits, 26, "users")
+
+
 @query(
     """SELECT o_orderkey AS number, CASE o_orderstatus WHEN 'O' THEN 'OPEN' WHEN 'F' THEN 'COMMITTED'
-         ELSE 'CLOSED' END AS state, CASE WHEN o_custkey % 2 = 0 THEN 'main' ELSE 'dev' END AS branch
+         ELSE 'CLOSED' END AS state, CASE WHEN o_custkey % 2 = 0 THEN 'main' ELSE 'dev' END AS branch,
+         row_number() OVER (ORDER BY o_orderkey DESC) - 1 AS pos
        FROM orders WHERE o_orderstatus = 'O' AND o_custkey % 2 = 0"""
 )
 def drafts_by_state(spark: SparkSession, folder: str) -> DataFrame:
@@ -337,12 +403,13 @@ def drafts_by_state(spark: SparkSession, folder: str) -> DataFrame:
         F.when(status == "O", "OPEN").when(status == "F", "COMMITTED").otherwise("CLOSED").alias("state"),
         F.when(F.col("o_custkey") % 2 == 0, "main").otherwise("dev").alias("branch"),
     )
-    return versions.list_drafts(drafts, "OPEN", "main")
+    return order.numbered(versions.list_drafts(drafts, "OPEN", "main"))
 
 
 @query(
     f"""WITH {LOG_SQL} SELECT event_id AS id, commit_id, event_type AS sheet, user_id AS creator,
-      ts AS created_at FROM edits WHERE commit_id = 'main@2024-01-05' AND event_type = 'view'"""
+      ts AS created_at, row_number() OVER (ORDER BY ts DESC, event_id) - 1 AS pos
+    FROM edits WHERE commit_id = 'main@2024-01-05' AND event_type = 'view'"""
 )
 def searches_listing(spark: SparkSession, folder: str) -> DataFrame:
     searches = table(spark, folder, "events").select(
@@ -352,8 +419,13 @@ def searches_listing(spark: SparkSession, folder: str) -> DataFrame:
         F.col("user_id").alias("creator"),
         F.col("ts").alias("created_at"),
     )
-    return versions.list_searches(
-        searches, commit_id="main@2024-01-05", sheet="view", sort=[F.col("created_at").desc()]
+    return order.numbered(
+        versions.list_searches(
+            searches,
+            commit_id="main@2024-01-05",
+            sheet="view",
+            sort=[F.col("created_at").desc(), F.col("id")],
+        )
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pandas as pd
 import pyarrow as pa
@@ -172,3 +173,59 @@ def test_copies_refuse_what_is_not_known(spark):
 def test_query_helpers_still_agree(scored):
     assert query(scored, lambda x: (x["s"] == 2).any()).count() == 1
     assert apply(scored, lambda x: x["s"].sum()).count() == 3
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """A stored history: c1 <- c2 on main, each with one edit."""
+    from sheetspark.operators import versions
+    from sheetspark.sources import history
+
+    cols = "struct<v:long>"
+    ops = spark.createDataFrame(
+        [("c1", "s", 0, "add", 1, (10,), ["v"]), ("c2", "s", 1, "add", 2, (20,), ["v"])],
+        f"commit_id string, sheet string, seq long, op string, record_key long, cols {cols}, set array<string>",
+    )
+    commits = spark.createDataFrame(
+        [("c1", None, "main", "one", dt.datetime(2024, 1, 1)), ("c2", "c1", "main", "two", dt.datetime(2024, 1, 2))],
+        "commit_id string, parent_id string, branch string, title string, committed_at timestamp_ntz",
+    )
+    refs = spark.createDataFrame([("main", "branch", "c2"), ("v1", "tag", "c1")], "name string, kind string, commit_id string")
+    root = str(tmp_path / "history")
+    history.create_history(ops, commits, refs, root)
+    return versions, history, root, ops
+
+
+def test_stored_commits(spark, stored, plan):
+    versions, history, root, ops = stored
+    draft = ops.where("commit_id = 'c1'").withColumn("record_key", F.lit(3)).drop("commit_id")
+    when = F.lit("2024-01-03").cast("timestamp_ntz")
+    history.commit_stored(spark, root, draft, "main", "c3", "three", when)
+    df = history.read_stored_revision(spark, root, "main", "s")
+    assert sorted((r.record_key, r.v) for r in df.collect()) == [(1, 10), (2, 20), (3, 10)]
+    tagged = history.read_stored_revision(spark, root, "v1", "s")
+    assert [(r.record_key, r.v) for r in tagged.collect()] == [(1, 10)]
+    assert re.search(r"PartitionFilters: \[[^]]*commit_id", plan(tagged))
+    last = {r.commit_id: r.last_seq for r in history.read_commits(spark, root).collect()}
+    assert last == {"c1": 0, "c2": 1, "c3": 2}
+    for branch, commit_id in (("none", "c4"), ("v1", "c4"), ("main", "c3")):
+        with pytest.raises(ValueError):
+            history.commit_stored(spark, root, draft, branch, commit_id, "no", when)
+    with pytest.raises(ValueError, match="without any"):
+        history.commit_stored(spark, root, draft.limit(0), "main", "c4", "no", when)
+
+
+def test_drafts_by_number(spark, stored):
+    versions, history, root, ops = stored
+    drafts = spark.createDataFrame(
+        [(1, "OPEN", "c1"), (2, "CLOSED", "c1"), (3, "COMMITTED", "c1")],
+        "number int, state string, parent_id string",
+    )
+    edits = ops.where("commit_id = 'c2'").withColumn("number", F.lit(1)).drop("commit_id")
+    read = lambda n: versions.read_draft(
+        history.read_ops(spark, root), history.read_commits(spark, root), drafts, edits, n, "s"
+    )
+    assert sorted(r.record_key for r in read(1).collect()) == [1, 2]
+    for number, error in ((2, ValueError), (3, ValueError), (4, LookupError)):
+        with pytest.raises(error):
+            read(number)

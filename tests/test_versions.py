@@ -104,10 +104,10 @@ def chain(spark, length, fork_at=None):
     ).withColumn("committed_at", F.lit("2024-01-01").cast("timestamp_ntz"))
 
 
-@pytest.mark.parametrize("broadcast", [0, 50_000])
+@pytest.mark.parametrize("few", [0, 50_000])
 @pytest.mark.parametrize("length", [1, 2, 3, 7, 8, 150])
-def test_ancestors_of_long_chains(spark, length, broadcast, monkeypatch):
-    monkeypatch.setattr(versions, "BROADCAST_COMMITS", broadcast)
+def test_ancestors_of_long_chains(spark, length, few, monkeypatch):
+    monkeypatch.setattr(versions, "FEW_COMMITS", few)
     commits = chain(spark, length)
     found = versions.ancestors(commits, f"m{length - 1}").collect()
     assert {r.commit_id: r.distance for r in found} == {f"m{i}": length - 1 - i for i in range(length)}
