@@ -127,18 +127,27 @@ class Record:
     """A row, or a nested record of a row."""
 
     def __init__(
-        self, fields: T.StructType, get: Callable[[str], Column], column: Column, key: Any
+        self,
+        fields: T.StructType,
+        get: Callable[[str], Column],
+        column: Column,
+        key: Any,
+        computed: frozenset[str] = frozenset(),
     ) -> None:
         self.fields = fields
         self._get = get
         self.column = column
         self.key = key
+        self.computed = computed  # columns that no source has as they are
 
     def __getitem__(self, name: str) -> Any:
         field = find_field(self.fields, name)
-        return wrap(
+        result = wrap(
             self._get(field.name), field.dataType, field.metadata, (self.key, field.name)
         )
+        if isinstance(result, RecordArray):
+            result.source.computed = field.name in self.computed
+        return result
 
     def keys(self) -> list[str]:
         return self.fields.fieldNames()
@@ -179,6 +188,7 @@ class Source:
         self.item = item
         self.info = dict(info or {})
         self.key = key
+        self.computed = False
 
     def field(self, path: Path) -> Column:
         """The array of one element field, as long as the array itself."""
@@ -269,6 +279,14 @@ class Elements(Operand):
                 self.source.field(path),
                 lambda element: self.build({path: self.source.typed(path, element)}).column,
             )
+        if self.source.computed:
+            # An array that is computed is computed once; there is no reader to prune it.
+            return function(
+                self.source.column,
+                lambda element: self.build(
+                    {p: self.source.typed(p, _inner(element, p)) for p in self.paths}
+                ).column,
+            )
         names = {path: f"f{i}" for i, path in enumerate(self.paths)}
         zipped = F.arrays_zip(*[self.source.field(p).alias(n) for p, n in names.items()])
         return function(
@@ -355,6 +373,12 @@ class Elements(Operand):
         return Elements(self.source, self.paths, build)
 
 
+def _inner(element: Column, path: Path) -> Column:
+    for name in path:
+        element = element.getField(name)
+    return element
+
+
 class RecordArray:
     """An array of records, or one nested record of its elements."""
 
@@ -409,9 +433,48 @@ def row(df: DataFrame) -> Record:
         lambda name: F.col("`" + name.replace("`", "``") + "`"),
         F.struct("*"),
         "row",
+        _computed(df),
     )
 
 
+def _computed(df: DataFrame) -> frozenset[str]:
+    """The arrays of records that some projection of ``df`` computes.
+
+    A column is read as it is if it leads to the output of a leaf of the plan, over renamings.
+    """
+    arrays = {
+        f.name
+        for f in df.schema.fields
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)
+    }
+    if not arrays or not hasattr(df, "_jdf"):
+        return frozenset()
+    plan = df._jdf.queryExecution().analyzed()
+    read, renamed = set(), {}
+    for leaf in _items(plan.collectLeaves()):
+        read.update(attribute.exprId().id() for attribute in _items(leaf.output()))
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        todo += _items(node.children())
+        if node.nodeName() == "Project":
+            for item in _items(node.projectList()):
+                if item.nodeName() == "Alias" and item.child().nodeName() == "AttributeReference":
+                    renamed[item.exprId().id()] = item.child().exprId().id()
+    found = set()
+    for attribute in _items(plan.output()):
+        at = attribute.exprId().id()
+        while at not in read and at in renamed:
+            at = renamed[at]
+        if at not in read and attribute.name() in arrays:
+            found.add(attribute.name())
+    return frozenset(found)
+
+
+def _items(sequence: Any) -> list[Any]:
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
 def column_of(result: Any) -> Column:
     """The Spark column behind whatever a row function returned."""
     if isinstance(result, Column):

@@ -133,3 +133,21 @@ def test_edits_of_a_bucketed_sheet_do_not_move_it(spark, plan, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS bucketed_sheet")
+
+
+def test_computed_arrays_are_computed_once(spark, plan):
+    from pyspark.sql import functions as F
+
+    from sheetspark.operators.query import query
+
+    both = lambda x: ((x["r"]["a"] > 1) & (x["r"]["b"] == "marked")).any()
+    made = F.array(F.struct(F.col("id").alias("a"), F.concat(F.lit("mar"), F.lit("ked")).alias("b")))
+    wanted = F.transform(F.sequence(F.lit(1), F.col("id")), lambda i: F.struct(i.alias("a"), F.lit("marked").alias("b")))
+    df = spark.range(5).withColumn("r", F.when(F.col("id") > 0, wanted))
+    kept = query(df, both)
+    assert sorted(r.id for r in kept.collect()) == [2, 3, 4]
+    text = plan(kept)
+    condition = next(line for line in text.splitlines() if "Filter" in line)
+    assert condition.count("sequence(") == 1
+    again = query(spark.range(3).withColumn("r", made).withColumnRenamed("r", "s"), lambda x: (x["s"]["a"] > 1).any())
+    assert again.count() == 1
