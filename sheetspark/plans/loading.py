@@ -47,9 +47,24 @@ def load_declared(spark: SparkSession, folder: str) -> DataFrame:
     return checks.require_declared(df)
 
 
-@query("SELECT * FROM part")
+@query(
+    """SELECT p_partkey, CASE WHEN p_size > 25 THEN p_name END AS p_name,
+         CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS BIGINT) END AS p_size, p_retailprice
+       FROM part"""
+)
 def load_inferred(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, f"{folder}/part.parquet")
+    """JSON records, which leave out what is null, get the fields that any of them has."""
+    path = fresh_path(spark, "records")
+    even, large = F.col("p_size") % 2 == 0, F.col("p_size") > 25
+    table(spark, folder, "part").select(
+        "p_partkey",
+        F.when(large, F.col("p_name")).alias("p_name"),
+        F.when(even, F.col("p_size")).alias("p_size"),
+        "p_retailprice",
+    ).write.json(path)
+    return read_table(spark, path, format="json").select(
+        "p_partkey", "p_name", "p_size", "p_retailprice"
+    )
 
 
 @query(
