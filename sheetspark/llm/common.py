@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from sheetspark.runtime import fresh_path
 
 #: Stands for a null id inside an operator, so that null ids join and sort (first) like any other.
 NULL_ID = -(2**63)
+#: Bytes of an Arrow batch between a task and its Python worker.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +38,20 @@ def plain_id(column: Column) -> Column:
     return F.nullif(column, F.lit(NULL_ID))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of a few megabytes for the jobs inside, so that tasks and workers stay small."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again.
 
@@ -42,7 +59,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     with it gets an exchange of its own, which adaptive execution can split.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
