@@ -11,7 +11,7 @@
 4. Two members x, y of a pivot p in different components are left to compare only if their sets
    can still overlap enough: within p they share at most min(|x & p|, |y & p|) shingles, outside
    it only shingles that both have added.  Such pairs come from a range join over sizes and from
-   a join over added shingles, and are compared on the full sets too.
+   a join over added shingles (those that very many have added count as the pivot's), and are compared on the full sets too.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ MISSED = 4e-6
 SLICE = 1 << 21
 #: Sizes that differ by less than this factor share a bucket of the range join.
 STEP = 1.05
+#: Members of a pivot that share an added shingle, from which on it counts as the pivot's.
+WIDE = 32
 
 _FACTORS = np.random.default_rng(8).integers(1, 2**63, COORDINATES, dtype=np.uint64) * 2 + 1
 
@@ -352,18 +354,24 @@ def _undecided(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         .groupBy("pivot", "item")
         .agg(F.count("*").alias("n"))
         .where("n > 1")
-        .drop("n")
-    )
-    marked = added.join(
-        stored(common, "near-common").withColumn("is_common", F.lit(1)), ["pivot", "item"], "left"
+        .select("pivot", "item", (F.col("n") >= WIDE).alias("wide"))
     )
+    marked = added.join(stored(common, "near-common"), ["pivot", "item"], "left")
+    # A shingle that very many have added counts as one of the pivot's: the bound holds for any
+    # set in its place, and what is joined item by item stays linear.
     extras = stored(
-        marked.groupBy("pivot", "node").agg(F.count("is_common").alias("extra")), "near-extras"
+        marked.groupBy("pivot", "node").agg(
+            F.count(F.when(~F.col("wide"), 1)).alias("extra"),
+            F.count(F.when(F.col("wide"), 1)).alias("widely"),
+        ),
+        "near-extras",
     )
     whole = percent + 100
     people = stored(
         known.drop("added")
         .join(extras, ["pivot", "node"])
+        .withColumn("inside", F.col("inside") + F.col("widely"))
+        .drop("widely")
         .where(100 * (F.col("inside") + F.col("extra")) >= percent * F.col("size")),
         "near-people",
     )
@@ -386,7 +394,7 @@ def _undecided(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     )
 
     shared = stored(
-        marked.where(F.col("is_common").isNotNull())
+        marked.where(~F.col("wide"))
         .select("pivot", "node", "item")
         .join(people, ["pivot", "node"]),
         "near-shared",

@@ -11,6 +11,7 @@ import pytest
 from sheetspark.llm.common import text_bytes
 from sheetspark.llm.components import components
 from sheetspark.llm.near_duplicates import near_duplicates
+from sheetspark.llm import near_duplicates as near_module
 from sheetspark.llm import shingles
 
 SPACES = " \t\n\r\x0b\x0c"
@@ -75,8 +76,9 @@ def families(rng, many, words=120):
     return [" ".join(w.upper() if rng.random() < 0.05 else w for w in t) for t in texts]
 
 
-@pytest.mark.parametrize("shingle,percent", [(3, 85), (5, 80)])
-def test_all_links_are_found(spark, shingle, percent):
+@pytest.mark.parametrize("shingle,percent,wide", [(3, 85, 32), (5, 80, 3)])
+def test_all_links_are_found(spark, shingle, percent, wide, monkeypatch):
+    monkeypatch.setattr(near_module, "WIDE", wide)
     texts = families(random.Random(2), 60)
     rows = [(7 * i, t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
