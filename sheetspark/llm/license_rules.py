@@ -13,7 +13,7 @@ from dataclasses import dataclass
 class LicenseRule:
     label: str
     priority: int
-    #: A text without it can't match.
+    #: Part of every match, so a text without it can't match.
     keyword: str
     regex: str
 
@@ -38,7 +38,7 @@ FAMILIES = {
     "mpl-short": ("mpl", "mpl", ("1 0", "1 1", "2 0")),
     "epl": ("eclipse", "eclipse public", ("1 0", "2 0")),
     "eupl": ("european union", "european union public", ("1 0", "1 1", "1 2")),
-    "cddl": ("distribution license", "common development and distribution", ("1 0", "1 1")),
+    "cddl": ("common development", "common development and distribution", ("1 0", "1 1")),
     "cpl": ("common public", "common public", ("1 0",)),
     "isc": ("isc", "isc", ()),
     "zlib": ("zlib", "zlib(?: libpng)?", ()),
@@ -133,12 +133,6 @@ def _rules() -> list[LicenseRule]:
 
 RULES = _rules()
 
-#: A text with none of these is not scanned.
-GATES = (
-    "licen", "copyright", "spdx", "domain", "reserved", "commons", "permission",
-    "redistribution", "proprietary", "software",
-)
-
 # Phrases that are always looked for, by words.
 BASE = {
     "mit": ("mit", "license"),
@@ -146,3 +140,14 @@ BASE = {
     "gpl": ("general", "public", "license"),
 }
 BASE_CERTAINTY = CERTAINTY[NAMED]
+
+
+def _gates() -> tuple[str, ...]:
+    """The longest word of each keyword and base phrase, but for those that hold another one."""
+    phrases = [r.keyword.split(" ") for r in RULES] + list(BASE.values())
+    longest = {max(phrase, key=len) for phrase in phrases}
+    return tuple(sorted(w for w in longest if not any(o != w and o in w for o in longest)))
+
+
+#: A text with none of these in lower case has no keyword and no base phrase.
+GATES = _gates()

@@ -90,15 +90,25 @@ def _suppressed(found: Column) -> Column:
 
 
 def _rule_table() -> Column:
+    """The rules of each keyword, so that a text is searched for a keyword once."""
+
+    def rules(keyword: str) -> Column:
+        return F.array(
+            *(
+                F.struct(
+                    F.lit(r.label).alias("label"),
+                    F.lit(r.priority).alias("priority"),
+                    F.lit(r.regex).alias("regex"),
+                )
+                for r in RULES
+                if r.keyword == keyword
+            )
+        )
+
     return F.array(
         *(
-            F.struct(
-                F.lit(r.label).alias("label"),
-                F.lit(r.priority).alias("priority"),
-                F.lit(r.keyword).alias("keyword"),
-                F.lit(r.regex).alias("regex"),
-            )
-            for r in RULES
+            F.struct(F.lit(keyword).alias("keyword"), rules(keyword).alias("rules"))
+            for keyword in sorted({r.keyword for r in RULES})
         )
     )
 
@@ -113,9 +123,10 @@ def _detections(gated: DataFrame) -> DataFrame:
             "version",
             "joined",
             F.explode(F.filter(rules, lambda r: F.contains(F.col("joined"), r["keyword"]))).alias(
-                "rule"
+                "held"
             ),
         )
+        .select("id", "version", "joined", F.explode("held.rules").alias("rule"))
         .select("id", "version", "rule", F.explode(_spans(F.col("joined"), F.col("rule.regex"))).alias("s"))
         .select(
             "id",
@@ -163,8 +174,11 @@ def find_licenses(df: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("version"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    lower = F.lower("text")
-    gate = reduce(or_, (F.contains(lower, F.lit(g)) for g in GATES))
+    # The array makes the lower case once for all gates.
+    gate = F.exists(
+        F.array(F.lower("text")),
+        lambda lower: reduce(or_, (F.contains(lower, F.lit(g)) for g in GATES)),
+    )
     gated = texts.where(gate).select("id", "version", words(F.col("text")).alias("words"))
     gated = stored(gated.distinct(), "license-words")
     starts = [_phrase_places(phrase).alias(label) for label, phrase in BASE.items()]

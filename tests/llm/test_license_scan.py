@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 import re
 
-from sheetspark.llm.license_rules import BASE, BASE_CERTAINTY, CERTAINTY, GATES, RULES
+from sheetspark.llm.license_rules import (
+    BASE, BASE_CERTAINTY, CERTAINTY, FAMILIES, GATES, GRANTS, MENTIONS, RULES,
+)
 from sheetspark.llm.license_scan import find_licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -22,12 +24,10 @@ def plain(doc_id, text):
     own = sorted(label for label, x in places.items() if x)
     found = set()
     joined = " ".join(w)
-    if any(g in text.lower() for g in GATES):
-        for rule in RULES:
-            if rule.keyword in joined:
-                for m in re.finditer(f"(?<![^ ])(?:{rule.regex})(?![^ ])", joined):
-                    start = joined[: m.start()].count(" ")
-                    found.add((start, start + m[0].count(" ") + 1, rule.priority, rule.label))
+    for rule in RULES:
+        for m in re.finditer(f"(?<![^ ])(?:{rule.regex})(?![^ ])", joined):
+            start = joined[: m.start()].count(" ")
+            found.add((start, start + m[0].count(" ") + 1, rule.priority, rule.label))
     kept = [
         d
         for d in found
@@ -74,6 +74,49 @@ def test_there_are_hundreds_of_rules():
     assert all(re.search(re.escape(r.keyword[:3]), r.regex) for r in RULES)
 
 
+def test_rules_that_need_no_common_word(spark):
+    texts = {
+        "Distributed under the terms of the GNU GPL v3": ("gpl-3.0", 0.9),
+        "Released under MIT": ("mit", 0.8), "Apache 2.0": ("apache-2.0", 0.9),
+        "see LGPL-2.1.": ("lgpl-2.1", 0.9), "MPL 2.0": ("mpl-2.0", 0.9),
+        "covered under the W3C": ("w3c", 0.8), "Offered under\nEclipse\tPublic": ("epl", 0.8),
+        "Common Development and Distribution Public License 1.0": ("cddl-1.0", 0.9),
+        "Common Development and Distribution 1.1": ("cddl-1.1", 0.9),
+        "A commit to submit": ("", 0.0),
+    }
+    rows = list(enumerate(texts))
+    found = got(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [(r[6], r[7]) for r in found] == list(texts.values())
+    assert found == [plain(*r) for r in rows]
+
+
+def matches(tree):
+    """All texts that a parsed pattern of literals, branches and optional parts matches."""
+    texts = [""]
+    for op, arg in tree:
+        match str(op):
+            case "LITERAL":
+                more = [chr(arg)]
+            case "BRANCH":
+                more = [x for branch in arg[1] for x in matches(branch)]
+            case "SUBPATTERN":
+                more = matches(arg[-1])
+            case "MAX_REPEAT":
+                more = [x * n for n in range(arg[0], arg[1] + 1) for x in matches(arg[2])]
+            case "IN":
+                more = [chr(x[1] if str(x[0]) == "LITERAL" else x[1][0]) for x in arg]
+        texts = [t + m for t in texts for m in more]
+    return texts
+
+
+def test_keywords_and_gates_are_part_of_every_match():
+    named = [(keyword, name) for keyword, name, _ in FAMILIES.values()]
+    for keyword, regex in named + [x[1:] for x in (*GRANTS, *MENTIONS)]:
+        assert all(keyword in m for m in matches(re._parser.parse(regex)))
+        assert any(g in keyword for g in GATES)
+    assert all(any(g in " ".join(phrase) for g in GATES) for phrase in BASE.values())
+
+
 def test_edges(spark):
     line = "Released under the MIT License."
     rows = [
