@@ -141,9 +141,10 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def grouped(df: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(id, version, n, component) of every row; see ``near_duplicates``.
+    """(id, version, n, component, root) of every row; see ``near_duplicates``.
 
-    ``id`` is never null, and ``version`` is a hash of the text.
+    ``id`` is never null, and ``version`` is a hash of the text.  ``root`` tells components with
+    the same smallest id apart; it is null for a text that is linked with nothing.
     """
     agree = agreement(percent)
     texts = df.select(
@@ -197,9 +198,13 @@ def grouped(df: DataFrame, shingle: int, percent: int) -> DataFrame:
             "near-second",
         )
     labels = stored(_labels(classes, roots), "near-labels")
-    linked = rows.join(labels, "node").select("id", "version", "n", "component")
+    linked = rows.join(labels, "node").select("id", "version", "n", "component", "root")
     alone = features.where(F.col("digest").isNull()).select(
-        "id", "version", "n", F.col("id").alias("component")
+        "id",
+        "version",
+        "n",
+        F.col("id").alias("component"),
+        F.lit(None).cast("bigint").alias("root"),
     )
     return linked.union(alone)
 
@@ -223,13 +228,24 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataF
 
 
 def without_near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``df`` that ``near_duplicates`` keeps, with all columns.
+    """One row of each group that ``near_duplicates`` finds, with all columns.
 
-    Of rows that repeat doc_id and text one stays.
+    It is that of the smallest doc_id (null is the smallest), and if near copies share that id,
+    the one whose text has the smallest hash.  Texts that are null or have no words all stay,
+    but of rows that repeat doc_id and text one.
     """
     found = stored(grouped(df, shingle, percent), "near-found")
-    dropped = found.where("id != component").select(
-        F.col("id").alias("__id"), F.col("version").alias("__version")
+    first = found.where("id = component AND root IS NOT NULL")
+    several = (
+        first.groupBy("root")
+        .agg(F.min("version").alias("least"), F.max("version").alias("most"))
+        .where("least != most")
+    )
+    others = first.join(stored(several, "near-several"), "root").where("version != least")
+    dropped = (
+        found.where("id != component")
+        .unionByName(others.drop("least", "most"))
+        .select(F.col("id").alias("__id"), F.col("version").alias("__version"))
     )
     marked = df.withColumn("__id", solid_id(F.col("doc_id"))).withColumn(
         "__version", F.xxhash64("text")
@@ -421,7 +437,7 @@ def _named(df: DataFrame, prefix: str, *same: str) -> DataFrame:
 
 
 def _labels(classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Per node the smallest doc_id of its component."""
+    """Per node the smallest doc_id of its component, and the component's root."""
     known = classes.join(roots, "node", "left").select(
         "node", "first_id", F.coalesce("root", "node").alias("root")
     )
@@ -429,4 +445,4 @@ def _labels(classes: DataFrame, roots: DataFrame) -> DataFrame:
     least = stored(
         known.groupBy("root").agg(F.min("first_id").alias("component")), "near-least"
     )
-    return known.join(least, "root").select("node", "component")
+    return known.join(least, "root").select("node", "component", "root")

@@ -123,3 +123,32 @@ def test_edges(spark, documents):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = corpus_pipeline.stored(stage(spark, docs, FOLDER), f"test-{name}")
     assert corpus_pipeline.packing(spark, docs, FOLDER).count() == 0
+
+
+def test_near_copies_under_one_id_or_none(spark, documents):
+    """One document of each group stays, even if near copies share the smallest id."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    bases = [[f"b{b}x{i}" for i in rng.sample(range(900), 80)] for b in range(6)]
+
+    def copies(base, many):
+        return [" ".join([*bases[base], f"end{k}"]) for k in range(many)]
+
+    ids = [None, None, 7, 7, 8, 9]  # two groups without an id, two under one id, two under several
+    rows = [(ids[b], t, "en", f"g{b}", 1) for b in range(6) for t in copies(b, 5)]
+    rows += [(20 + b, t.upper(), "en", f"g{b}", 1) for b in range(6) for t in copies(b, 3)]
+    rows += [(7, bases[2][0], "en", "one", 1), (None, "", "en", "no words", 1), (7, None, "en", "null", 1)]
+    rows += rows[:9]
+    docs = spark.createDataFrame(rows, documents.schema)
+    for parts in (1, 7):
+        kept = rows_of(corpus_pipeline.near_dedup(spark, docs.repartition(parts), FOLDER))
+        assert sorted(r[3] for r in kept) == sorted(
+            [*(f"g{b}" for b in range(6)), "no words", "null", "one"]
+        )
+        assert all(r[0] == ids[int(r[3][1])] for r in kept if r[3][0] == "g")
+        hashed = docs.withColumn("version", F.xxhash64("text"))
+        for r in kept:
+            if r[3][0] == "g":
+                same = hashed.where((F.col("source") == r[3]) & F.col("doc_id").eqNullSafe(r[0]))
+                assert same.orderBy("version").first().text == r[1]
