@@ -207,7 +207,8 @@ def labelled_windows(
     df: DataFrame, per_label: int = 600, windows: int = 2, most_labels: int = 500
 ) -> list[tuple[bytes, str]]:
     """A bounded sample for training: about ``per_label`` texts of each label, at most
-    ``windows`` windows of each.
+    ``windows`` windows of each.  Of more than ``most_labels`` labels the most frequent are
+    learned, of equally frequent ones those that sort first.
 
     Rows that are held out, or have no id, text or label, are left out.  Which rows and which
     windows are taken depends on the ids alone, not on the partitions.
@@ -220,11 +221,12 @@ def labelled_windows(
         & (F.length("text") > 0)
         & ~is_held_out(F.col("doc_id"))
     )
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    frequent = (
+        rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_labels)
+    )
+    counts = {r.lang: r.n for r in frequent.collect()}
     if not counts:
         return []
-    if len(counts) > most_labels:
-        raise ValueError(f"{len(counts)} labels; this is meant for at most {most_labels}")
     span = 1_000_000
     shares = F.create_map(
         *(

@@ -99,3 +99,20 @@ def test_edges(spark, documents, net):
     assert {r.lang_pred for r in lg.identify_language(df, None).collect()} == {"und"}
     assert lg.identify_language(df.limit(0), net).count() == 0
     assert lg.labelled_windows(df.limit(0)) == []
+
+
+def test_labels_beyond_the_bound_are_not_learned(spark):
+    """The most frequent labels are learned, and every text is predicted."""
+    many = {"de": 40, "en": 60, "fr": 40, "es": 40, **{f"typo{i:03}": 1 + i % 2 for i in range(520)}}
+    labels = [label for label, n in many.items() for _ in range(n)]
+    rows = [(4 * i, f"text {i} of {label}", label) for i, label in enumerate(labels)]
+    free = [(i, t, x) for i, t, x in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    times = {x: sum(r[2] == x for r in free) for x in many}
+    ranked = sorted((x for x in many if times[x]), key=lambda x: (-times[x], x))
+    assert len(ranked) > 350
+    sample = lg.labelled_windows(df, most_labels=3)
+    assert {x for _, x in sample} == set(ranked[:3])
+    assert sorted(sample) == sorted((t.encode(), x) for _, t, x in free if x in ranked[:3])
+    got = lg.identify_language(df, lg.train(sample)).collect()
+    assert len(got) == len(rows) and {r.lang_pred for r in got} <= set(ranked[:3])
