@@ -10,6 +10,7 @@ from sheetspark.llm.decontaminate import contamination
 from sheetspark.llm.language import identify_language, labelled_windows, train
 from sheetspark.llm.license_scan import find_licenses
 from sheetspark.llm.line_dedup import deduplicate_lines
+from sheetspark.llm.manifest import manifest
 from sheetspark.llm.near_duplicates import near_duplicates
 from sheetspark.llm.neighbours import nearest_neighbours
 from sheetspark.llm.packing import pack
@@ -164,3 +165,76 @@ def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(read_table(spark, sf_dir, "documents")).drop("path")
+
+
+def _field(name: str) -> str:
+    return f"coalesce(octet_length(encode({name}::VARCHAR))::VARCHAR || ':' || {name}::VARCHAR, '-')"
+
+
+def _leaf(chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", chars, "text"))) + ")"
+
+
+# CRC-32 bit by bit; list_reduce begins with the first item of its list.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+            lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))))"""
+
+ORACLE["op13_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+           CASE WHEN {_CRC32} % 7 = 0 THEN {_leaf("(n_chars::HUGEINT + 1)")} END AS tampered
+    FROM documents
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+           dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+    FROM leaves
+), nodes AS (
+    SELECT tree, 0 AS level, i, leaf AS h FROM placed
+    UNION ALL
+    SELECT tree, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM nodes)
+    WHERE n > 1 GROUP BY tree, level, i // 2
+), subroots AS (SELECT tree, arg_max(h, level) AS subroot, max(level) AS height FROM nodes GROUP BY tree),
+tops AS (
+    SELECT 0 AS level, tree AS i, subroot AS h FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+    FROM (SELECT *, count(*) OVER () AS n FROM tops) WHERE n > 1 GROUP BY level, i // 2
+), steps AS (
+    SELECT doc_id, leaf, tree, level, (i >> level) AS spot
+    FROM (SELECT *, unnest(range(height)) AS level FROM placed JOIN subroots USING (tree))
+), top_steps AS (
+    SELECT doc_id, leaf, (tree >> level) AS spot, level, height FROM (
+        SELECT *, unnest(range((SELECT max(level) FROM tops))) AS level
+        FROM placed JOIN subroots USING (tree))
+), siblings AS (
+    SELECT steps.doc_id, steps.leaf, steps.level AS k, spot, coalesce(h, '') AS h
+    FROM steps LEFT JOIN nodes n
+      ON n.tree = steps.tree AND n.level = steps.level AND n.i = xor(spot, 1)
+    UNION ALL
+    SELECT s.doc_id, s.leaf, s.height + s.level, spot, coalesce(h, '')
+    FROM top_steps s LEFT JOIN tops t ON t.level = s.level AND t.i = xor(spot, 1)
+), paths AS (
+    SELECT doc_id, leaf, string_agg(h, '' ORDER BY k) AS joined,
+           list({{'h': h, 'left': spot % 2 = 1}} ORDER BY k) AS path
+    FROM siblings GROUP BY doc_id, leaf
+), folds AS (
+    SELECT doc_id, leaf, coalesce(tampered, leaf) AS node, path, joined, 1 AS k, tree
+    FROM placed LEFT JOIN paths USING (doc_id, leaf)
+    UNION ALL
+    SELECT doc_id, leaf, sha256(CASE WHEN path[k].left THEN path[k].h || node ELSE node || path[k].h END),
+           path, joined, k + 1, tree
+    FROM folds WHERE k <= len(path)
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(joined, '')) AS proof_sha256,
+       node AS folded_root, node = root AS verified
+FROM folds JOIN subroots USING (tree), (SELECT arg_max(h, level) AS root FROM tops)
+WHERE k = coalesce(len(path), 0) + 1
+"""
