@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sheetspark.llm.byte_bpe import decode, digests, encode
 from sheetspark.llm.common import read_table
 from sheetspark.llm.decontaminate import contamination
 from sheetspark.llm.language import identify_language, labelled_windows, train
@@ -167,6 +168,13 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(read_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = encode(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return digests(decode(ids, path))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(read_table(spark, sf_dir, "documents")).drop("path")
