@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetspark.llm.byte_bpe import decode, digests, encode
+from sheetspark.llm.collocations import collocations
 from sheetspark.llm.common import read_table
 from sheetspark.llm.decontaminate import contamination
 from sheetspark.llm.language import identify_language, labelled_windows, train
@@ -175,6 +176,49 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(decode(ids, path))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = f"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+              translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+          FROM documents)
+), phrases AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+          FROM pieces, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)
+    GROUP BY ALL
+), sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM phrases WHERE m = 1 GROUP BY lang),
+candidates AS (
+    SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w
+    FROM phrases WHERE m >= 2 AND f >= 100
+), cuts AS (
+    SELECT lang, m, phrase, a, k, l.f AS l, r.f AS r, n,
+           ((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+    JOIN sizes USING (lang)
+    JOIN (SELECT lang, phrase AS lp, f FROM phrases) l USING (lang)
+    JOIN (SELECT lang, phrase AS rp, f FROM phrases) r USING (lang)
+    WHERE lp = array_to_string(w[1:k], ' ') AND rp = array_to_string(w[k + 1:], ' ')
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), kept AS (
+    SELECT * FROM best WHERE NOT EXISTS (
+        SELECT 1 FROM candidates x
+        WHERE x.lang = best.lang AND x.m > best.m AND x.a >= best.a
+          AND contains(' ' || x.phrase || ' ', ' ' || best.phrase || ' '))
+)
+SELECT * FROM (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+           phrase, a, l, r, n, score
+    FROM kept) WHERE rank <= 2000
+"""
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(read_table(spark, sf_dir, "documents")).drop("path")
