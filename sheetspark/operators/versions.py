@@ -7,6 +7,9 @@
 ``commits(commit_id, parent_id, branch, title, committed_at)``
 ``refs(name, kind, commit_id)``
     ``kind`` is branch or tag.
+``sheet_ops(commit_id, sheet, seq, op)``
+    Optional: ``op`` is create or delete, in one count of ``seq`` with the edits.  With it, a sheet
+    has only the edits since it was last created, and a deleted or unknown sheet has no rows.
 
 An add sets every column, so it also replaces a row that is there.  A deleted row
 that is added again starts from nulls.  An update of a row that is not there does
@@ -130,13 +133,15 @@ def _followed(links: DataFrame, commit_id: str) -> DataFrame:
         "commit_id", F.lit(None).cast("bigint").alias("distance"), F.col("parent_id").alias("target")
     )
     state = start.unionByName(first).checkpoint()
-    stride, known = 1, 0
+    stride, known, total = 1, 0, links.count()
     while True:
         found = state.where("target IS NULL").drop("target")
         jumps = state.where("target IS NOT NULL").drop("distance")
         count = found.count()
         if count == known:
             return found
+        if count > total:
+            raise ValueError(f"the history of {commit_id!r} runs in a circle")
         known = count
         onward = jumps.select(F.col("commit_id").alias("target"), F.col("target").alias("__next"))
         longer, reached = jumps, found
@@ -215,29 +220,90 @@ def _edits_of(ops: DataFrame, chain: DataFrame) -> DataFrame:
     return ops.join(chain.select("commit_id"), "commit_id").select(*ops.columns)
 
 
+def within_lifetimes(ops: DataFrame, sheet_ops: DataFrame) -> DataFrame:
+    """The edits of sheets that exist, made since they were last created.
+
+    One sheet may have most of the edits: the sheets are broadcast if they are counted to be few.
+    """
+    live = _few(sheet_set(sheet_ops).withColumnRenamed("created_seq", "__since"))
+    return ops.join(live, "sheet").where(F.col("seq") > F.col("__since")).select(*ops.columns)
+
+
 def read_revision(
-    ops: DataFrame, commits: DataFrame, refs: DataFrame, revision: str, sheet: str
+    ops: DataFrame,
+    commits: DataFrame,
+    refs: DataFrame,
+    revision: str,
+    sheet: str,
+    sheet_ops: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of a sheet at a commit id, branch or tag."""
-    return snapshot(ops, commits, resolve(commits, refs, revision), sheet)
+    return snapshot(ops, commits, resolve(commits, refs, revision), sheet, sheet_ops)
 
 
-def snapshot(ops: DataFrame, commits: DataFrame, commit_id: str, sheet: str | None = None) -> DataFrame:
+def snapshot(
+    ops: DataFrame,
+    commits: DataFrame,
+    commit_id: str,
+    sheet: str | None = None,
+    sheet_ops: DataFrame | None = None,
+) -> DataFrame:
     """The rows of a sheet, or of every sheet, at a commit."""
+    chain = ancestors(commits, commit_id)
     if sheet is not None:
         ops = ops.where(F.col("sheet") == sheet)
-    return fold(ops_until(ops, commits, commit_id), by_sheet=sheet is None)
+    edits = _edits_of(ops, chain)
+    if sheet_ops is not None:
+        if sheet is not None:
+            sheet_ops = sheet_ops.where(F.col("sheet") == sheet)
+        edits = within_lifetimes(edits, _edits_of(sheet_ops, chain))
+    return fold(edits, by_sheet=sheet is None)
+
+
+def record_counts(
+    ops: DataFrame, commits: DataFrame, commit_id: str, sheet_ops: DataFrame | None = None
+) -> DataFrame:
+    """``sheet, record_count`` at a commit; with ``sheet_ops`` also the sheets without a row."""
+    rows = snapshot(ops, commits, commit_id, sheet_ops=sheet_ops)
+    counts = rows.groupBy("sheet").agg(F.count(F.lit(1)).alias("record_count"))
+    if sheet_ops is None:
+        return counts
+    sheets = sheet_set(_edits_of(sheet_ops, ancestors(commits, commit_id))).select("sheet")
+    found = F.coalesce("record_count", F.lit(0).cast("bigint")).alias("record_count")
+    return sheets.join(counts, "sheet", "left").select("sheet", found)
 
 
 def snapshot_from(
-    stored: DataFrame, stored_at: str, ops: DataFrame, commits: DataFrame, commit_id: str
+    stored: DataFrame,
+    stored_at: str,
+    ops: DataFrame,
+    commits: DataFrame,
+    commit_id: str,
+    sheet_ops: DataFrame | None = None,
 ) -> DataFrame:
-    """The rows at a commit from the stored snapshot of an ancestor and the edits since."""
+    """The rows at a commit from the stored snapshot of an ancestor and the edits since.
+
+    ``ops`` and ``sheet_ops`` are those of the stored sheet.  If it was created again since, the
+    stored rows are void, and if it was deleted last, there are none.
+    """
     chain = ancestors(commits, commit_id)
     at = chain.where(F.col("commit_id") == stored_at).first()
     if at is None:
         raise LookupError(f"{stored_at!r} is not an ancestor of {commit_id!r}")
-    return overlay(stored, _edits_of(ops, chain.where(F.col("distance") < at["distance"])))
+    since = chain.where(F.col("distance") < at["distance"])
+    edits = _edits_of(ops, since)
+    if sheet_ops is not None:
+        last = last_sheet_op(_edits_of(sheet_ops, since))
+        if last is not None:
+            alive = F.lit(last["op"] == "create")
+            return fold(edits.where(alive & (F.col("seq") > last["seq"])))
+    return overlay(stored, edits)
+
+
+def last_sheet_op(sheet_ops: DataFrame):
+    """The last create or delete of one sheet, or None."""
+    last = F.max_by(F.struct("op", "seq"), "seq").alias("last")
+    return sheet_ops.where(F.col("op").isin("create", "delete")).agg(last).first()["last"]
 
 
 def sheet_set(sheet_ops: DataFrame) -> DataFrame:
@@ -341,15 +407,24 @@ def read_draft(
     draft_ops: DataFrame,
     number: int,
     sheet: str,
+    sheet_ops: DataFrame | None = None,
+    draft_sheet_ops: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of a sheet in an open draft: its parent's, with the draft's edits over them.
 
-    ``drafts(number, state, parent_id)`` and ``draft_ops(number, sheet, seq, ...)``.
+    ``drafts(number, state, parent_id)``, ``draft_ops(number, sheet, seq, ...)`` and
+    ``draft_sheet_ops(number, sheet, seq, op)``.  Of a sheet that the draft creates, only the edits
+    since count; one that it deletes last has no rows.
     """
     draft = open_draft(drafts, number)
-    parent = snapshot(ops, commits, draft["parent_id"], sheet)
-    edits = draft_ops.where((F.col("number") == number) & (F.col("sheet") == sheet))
-    return overlay(parent, edits.drop("number"))
+    own = (F.col("number") == number) & (F.col("sheet") == sheet)
+    edits = draft_ops.where(own).drop("number")
+    if draft_sheet_ops is not None:
+        last = last_sheet_op(draft_sheet_ops.where(own))
+        if last is not None:
+            alive = F.lit(last["op"] == "create")
+            return fold(edits.where(alive & (F.col("seq") > last["seq"])))
+    return overlay(snapshot(ops, commits, draft["parent_id"], sheet, sheet_ops), edits)
 
 
 def list_drafts(

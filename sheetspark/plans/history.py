@@ -190,6 +190,81 @@ def snapshot_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("sheet").agg(F.count(F.lit(1)).alias("record_count"))
 
 
+def sheet_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Forty sheets, each created before its first edit; dear sign-ups replace and dear errors delete one."""
+    events = table(spark, folder, "events")
+    sheet = F.concat(F.lit("sheet-"), (F.col("user_id") % 40).cast("string"))
+    first = events.groupBy(sheet.alias("sheet")).agg(
+        F.min_by(_commit_id(_branch(), _day()), "event_id").alias("commit_id"),
+        (F.min("event_id") - 1).alias("seq"),
+    )
+    dear = F.col("value") > 97
+    op = F.when(F.col("event_type") == "signup", "create").when(F.col("event_type") == "error", "delete")
+    later = events.where(dear & op.isNotNull()).select(
+        sheet.alias("sheet"),
+        _commit_id(_branch(), _day()).alias("commit_id"),
+        F.col("event_id").alias("seq"),
+        op.alias("op"),
+    )
+    return first.withColumn("op", F.lit("create")).unionByName(later)
+
+
+_LIVES_SQL = """
+sheet_ops AS (
+  SELECT 'sheet-' || (user_id % 40) AS sheet, min_by(commit_id, seq) AS commit_id, min(seq) - 1 AS seq,
+    'create' AS op FROM edits GROUP BY 1
+  UNION ALL
+  SELECT 'sheet-' || (user_id % 40), commit_id, seq,
+    CASE event_type WHEN 'signup' THEN 'create' ELSE 'delete' END
+  FROM edits WHERE value > 97 AND event_type IN ('signup', 'error')),
+lives AS (
+  SELECT sheet, max(CASE WHEN op = 'create' THEN seq END) AS since,
+    max(CASE WHEN op = 'delete' THEN seq END) AS gone
+  FROM sheet_ops JOIN chain USING (commit_id) GROUP BY sheet),
+lived AS (
+  SELECT e.* FROM edits e JOIN chain USING (commit_id)
+  JOIN lives ON lives.sheet = 'sheet-' || (user_id % 40)
+  WHERE since IS NOT NULL AND (gone IS NULL OR since > gone) AND e.seq > since)"""
+
+
+def _forty_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    number = (F.col("record_key") % 40).cast("string")
+    return edit_log(spark, folder).withColumn("sheet", F.concat(F.lit("sheet-"), number))
+
+
+@query(
+    f"""WITH RECURSIVE {LOG_SQL}, {_chain_sql("'dev@2024-01-25'")}, {_LIVES_SQL},
+    {_fold_sql("lived", "folded")}
+    SELECT 'sheet-' || (record_key % 40) AS sheet, * FROM folded"""
+)
+def replaced_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """All sheets at a commit, of which some were deleted and some created again."""
+    return versions.snapshot(
+        _forty_sheets(spark, folder),
+        commit_log(spark, folder),
+        "dev@2024-01-25",
+        sheet_ops=sheet_log(spark, folder),
+    )
+
+
+@query(
+    f"""WITH RECURSIVE {LOG_SQL}, {_chain_sql("'main@2024-01-20'")}, {_LIVES_SQL},
+    {_fold_sql("lived", "folded")},
+    counted AS (SELECT 'sheet-' || (record_key % 40) AS sheet, count(*) AS n FROM folded GROUP BY 1)
+    SELECT lives.sheet AS sheet, coalesce(n, 0)::BIGINT AS record_count
+    FROM lives LEFT JOIN counted ON counted.sheet = lives.sheet
+    WHERE since IS NOT NULL AND (gone IS NULL OR since > gone)"""
+)
+def live_sheet_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Record counts of the sheets that exist at a commit, those without a row too."""
+    return versions.record_counts(
+        _forty_sheets(spark, folder),
+        commit_log(spark, folder),
+        "main@2024-01-20",
+        sheet_log(spark, folder),
+    )
+
+
 @query(
     f"""WITH RECURSIVE {LOG_SQL}, {_chain_sql("'main@2024-01-20'")}, {_ON_DEV},
     {_fold_sql("dev_chain", "folded")}

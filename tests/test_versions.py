@@ -215,3 +215,115 @@ def test_listings(spark):
     )
     assert [r.id for r in versions.list_searches(searches, commit_id="c1", sort=[F.col("id").desc()]).collect()] == ["s3", "s1"]
     assert [r.id for r in versions.list_searches(searches, draft_number=3, sheet="train").collect()] == ["s2"]
+
+
+SHEET_OPS = "commit_id string, sheet string, seq bigint, op string"
+
+
+def replay_sheets(log, sheet_log):
+    """All sheets from edits and sheet operations, one by one in order of ``seq``."""
+    sheets = {}
+    for row in sorted([*log, *sheet_log], key=lambda r: r[2]):
+        name = row[1]
+        if row[3] == "create":
+            sheets[name] = []
+        elif len(row) == 4:
+            sheets.pop(name, None)
+        elif name in sheets:
+            sheets[name].append(row)
+    return {name: replay(edits) for name, edits in sheets.items()}
+
+
+@pytest.fixture(scope="module")
+def replaced(spark):
+    """A log of three commits over four sheets that are created, replaced and deleted at any time."""
+    rng = random.Random(8)
+    commits = ("m0", "m1", "m2")
+    log, sheet_log = [], []
+    for i in range(900):
+        commit, sheet = commits[i * 3 // 900], f"s{rng.randrange(4)}"
+        if rng.random() < 0.02 or i < 3:
+            sheet_log.append((commit, sheet, i, rng.choice(["create", "create", "delete"])))
+            continue
+        op = rng.choice(["add", "add", "update", "delete"])
+        cols = (rng.choice([None, rng.randrange(100)]), rng.choice([None, "x", "y"]))
+        supplied = rng.sample(["a", "b"], rng.randrange(3)) if op == "update" else None
+        log.append((commit, sheet, i, op, f"k{rng.randrange(30)}", cols, supplied))
+    return log, sheet_log
+
+
+def at_commit(rows, commit):
+    return [r for r in rows if r[0] <= commit]
+
+
+@pytest.mark.parametrize("commit", ["m0", "m1", "m2"])
+def test_replaced_sheets_equal_replay(spark, replaced, commit):
+    log, sheet_log = replaced
+    ops, sheet_ops = spark.createDataFrame(log, SCHEMA), spark.createDataFrame(sheet_log, SHEET_OPS)
+    commits = chain(spark, 3)
+    want = replay_sheets(at_commit(log, commit), at_commit(sheet_log, commit))
+    rows = versions.snapshot(ops, commits, commit, sheet_ops=sheet_ops).collect()
+    got = {name: {} for name in want}
+    for r in rows:
+        got[r.sheet][r.record_key] = {"a": r.a, "b": r.b}
+    assert got == want
+    counts = versions.record_counts(ops, commits, commit, sheet_ops).collect()
+    assert {r.sheet: r.record_count for r in counts} == {s: len(v) for s, v in want.items()}
+    one = versions.snapshot(ops, commits, commit, "s1", sheet_ops)
+    assert as_state(one) == want.get("s1", {})
+
+
+@pytest.mark.parametrize("sheet", ["s0", "s1", "s2", "s3", "unknown"])
+def test_stored_snapshot_of_a_replaced_sheet(spark, replaced, sheet):
+    log, sheet_log = replaced
+    ops = spark.createDataFrame([r for r in log if r[1] == sheet], SCHEMA)
+    sheet_ops = spark.createDataFrame([r for r in sheet_log if r[1] == sheet], SHEET_OPS)
+    commits = chain(spark, 3)
+    stored = versions.snapshot(ops, commits, "m0", sheet, sheet_ops).drop("sheet")
+    rows = versions.snapshot_from(stored, "m0", ops, commits, "m2", sheet_ops)
+    assert as_state(rows) == replay_sheets(log, sheet_log).get(sheet, {})
+
+
+def test_a_draft_that_replaces_or_deletes_a_sheet(spark):
+    commits, add = chain(spark, 1), ("add", "k1", (1, "x"), None)
+    ops = spark.createDataFrame([("m0", "s", 1, *add)], SCHEMA)
+    sheet_ops = spark.createDataFrame([("m0", "s", 0, "create")], SHEET_OPS)
+    drafts = spark.createDataFrame([(5, "OPEN", "m0")], "number int, state string, parent_id string")
+    edits = spark.createDataFrame(
+        [(5, "d", "s", 0, "add", "old", (7, "o"), None), (5, "d", "s", 2, "add", "k2", (2, "y"), None)],
+        "number int, " + SCHEMA,
+    )
+
+    def rows(*own):
+        own = spark.createDataFrame(
+            [(5, "s", seq, op) for seq, op in own], "number int, sheet string, seq bigint, op string"
+        )
+        return sorted(as_state(versions.read_draft(ops, commits, drafts, edits, 5, "s", sheet_ops, own)))
+
+    assert rows() == ["k1", "k2", "old"]
+    assert rows((1, "create")) == ["k2"]
+    assert rows((1, "create"), (3, "delete")) == []
+
+
+def test_a_hot_sheet_needs_no_shuffle_for_its_lifetime(spark, plan):
+    ops = spark.range(1000).select(
+        F.lit("m0").alias("commit_id"),
+        F.when(F.col("id") % 50 > 0, "hot").otherwise(F.col("id").cast("string")).alias("sheet"),
+        F.col("id").alias("seq"),
+        F.lit("add").alias("op"), F.col("id").cast("string").alias("record_key"),
+        F.struct(F.col("id").alias("a"), F.lit("x").alias("b")).alias("cols"),
+        F.lit(None).cast("array<string>").alias("set"),
+    )
+    sheet_ops = spark.createDataFrame([("m0", "hot", 499, "create")], SHEET_OPS)
+    alive = versions.within_lifetimes(ops, sheet_ops)
+    assert "BroadcastHashJoin" in plan(alive)
+    assert alive.count() == 490
+
+
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_a_circle_of_commits_is_refused(spark, few, monkeypatch):
+    monkeypatch.setattr(versions, "FEW_COMMITS", few)
+    rows = [("m0", "m2"), ("m1", "m0"), ("m2", "m1")]
+    commits = spark.createDataFrame(rows, "commit_id string, parent_id string")
+    with pytest.raises(ValueError, match="circle"):
+        versions.ancestors(commits, "m1").collect()
