@@ -20,6 +20,7 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -32,6 +33,8 @@ from sheetspark.runtime import fresh_path
 BLOCK, SLICE = 1 << 24, 1 << 20
 #: Dictionary entries aimed at in one bucket of words.
 BUCKET = 1 << 19
+#: Words or ids that are put together at a time.
+PART = 1 << 18
 
 BLOCK_SCHEMA = (
     "block bigint, doc_ids array<bigint>, counts array<int>, places binary, words array<string>"
@@ -130,9 +133,39 @@ class _Block:
         )
 
 
+def _packed(array: pa.Array) -> bytes:
+    """An array as one compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, pa.schema([("x", array.type)]), options=options) as writer:
+        writer.write_batch(pa.RecordBatch.from_arrays([array], ["x"]))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Array:
+    return pa.ipc.open_stream(data).read_next_batch().column(0)
+
+
+def _gathered(picks: np.ndarray, starts: np.ndarray, sizes: np.ndarray, flat: np.ndarray):
+    """The picked stretches of ``flat`` end to end, and where each begins (one more at the end)."""
+    long = sizes[picks]
+    ends = np.concatenate([[0], np.cumsum(long)])
+    index = np.arange(ends[-1]) + np.repeat(starts[picks] - ends[:-1], long)
+    return flat[index], ends
+
+
+def _parts(counts: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Consecutive rows with about ``size`` items; a longer one is alone."""
+    ends, at, done = np.cumsum(counts), 0, 0
+    while at < len(counts):
+        last = max(int(np.searchsorted(ends, done + size, side="right")), at + 1)
+        yield at, last
+        at, done = last, int(ends[last - 1])
+
+
 def _places(packed: bytes, total: int) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, total).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.reshape(4, total).T).view("<u4").ravel()
 
 
 def _blocks(df: DataFrame, pattern: str) -> DataFrame:
@@ -173,67 +206,67 @@ def _dealt(blocks: DataFrame, bits: int) -> DataFrame:
                     continue
                 buckets = (word_hashes(flat.to_pylist()) >> np.uint64(64 - bits)).astype(np.int64)
                 starts = np.concatenate([[0], np.flatnonzero(np.diff(buckets)) + 1])
-                edges = pa.array(np.append(starts, len(flat)), pa.int32())
+                sizes = np.diff(np.append(starts, len(flat)))
+                packed = [_packed(pa.concat_arrays([flat.slice(a, n)])) for a, n in zip(starts, sizes)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(buckets[starts]),
                         pa.array(np.full(len(starts), block)),
                         pa.array(starts, pa.int32()),
-                        pa.ListArray.from_arrays(edges, flat),
+                        pa.array(packed, pa.binary()),
                     ],
                     ["bucket", "block", "start", "words"],
                 )
 
     return blocks.select("block", "words").mapInArrow(
-        run, "bucket bigint, block bigint, start int, words array<string>"
+        run, "bucket bigint, block bigint, start int, words binary"
     )
 
 
 def _encoded_words(dealt: DataFrame, path: str) -> DataFrame:
-    """(block, start, sizes, ids): every distinct word of a bucket encoded once."""
+    """(block, start, codes): the ids of dictionary entries, every word of a bucket encoded once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, known, current = read_ranks(path), {}, None
+        kind = pa.list_(pa.uint16() if max(ranks.values()) < 1 << 16 else pa.uint32())
         for batch in batches:
-            sizes, ids = [], []
-            for bucket, words in zip(batch.column("bucket").to_pylist(), batch.column("words").to_pylist()):
+            codes = []
+            for bucket, words in zip(batch.column("bucket").to_pylist(), batch.column("words")):
                 if bucket != current:
                     known, current = {}, bucket
                 found = []
-                for word in words:
+                for word in _unpacked(words.as_py()).to_pylist():
                     code = known.get(word)
                     if code is None:
                         code = known[word] = tuple(encode_word(word.encode(), ranks))
                     found.append(code)
-                sizes.append(np.fromiter(map(len, found), "<u4", len(found)).tobytes())
-                ids.append(np.array([i for code in found for i in code], dtype="<u4").tobytes())
+                codes.append(_packed(pa.array(found, kind)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("start"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())],
-                ["block", "start", "sizes", "ids"],
+                [batch.column("block"), batch.column("start"), pa.array(codes, pa.binary())],
+                ["block", "start", "codes"],
             )
 
     rows = dealt.repartition("bucket").sortWithinPartitions("bucket")
-    return rows.mapInArrow(run, "block bigint, start int, sizes binary, ids binary")
+    return rows.mapInArrow(run, "block bigint, start int, codes binary")
 
 
 def _reassembled(left: pa.Table, right: pa.Table) -> pa.Table:
     """The ids of a block's texts from its positions and its dictionary."""
-    right = right.sort_by("start")
-
-    def flat(column: str) -> np.ndarray:
-        return np.frombuffer(b"".join(right.column(column).to_pylist()), "<u4")
-
-    sizes, ids = flat("sizes").astype(np.int64), flat("ids").astype(np.int32)
+    codes = [_unpacked(c) for c in right.sort_by("start").column("codes").to_pylist()]
+    codes = pa.concat_arrays(codes) if codes else pa.array([], pa.list_(pa.uint16()))
+    flat = codes.flatten().to_numpy().astype(np.int32)
+    sizes = pc.list_value_length(codes).to_numpy().astype(np.int64)
     starts = np.cumsum(sizes) - sizes
     doc_ids = left.column("doc_ids").combine_chunks().values
-    counts = np.array(left.column("counts")[0].as_py(), dtype=np.int64)
+    counts = left.column("counts").combine_chunks().values.to_numpy().astype(np.int64)
     places = _places(left.column("places")[0].as_py(), int(counts.sum()))
-    long = sizes[places] if len(places) else places
-    ends = np.concatenate([[0], np.cumsum(long)])
-    index = np.arange(ends[-1]) + np.repeat(starts[places] - ends[:-1], long)
-    edges = ends[np.concatenate([[0], np.cumsum(counts)])]
-    lists = pa.LargeListArray.from_arrays(pa.array(edges, pa.int64()), pa.array(ids[index]))
-    return pa.table({"doc_id": doc_ids, "ids": lists.cast(pa.list_(pa.int32()))})
+    lists, done = [], 0
+    for at, last in _parts(counts, PART):
+        edges = np.concatenate([[0], np.cumsum(counts[at:last])])
+        ids, ends = _gathered(places[done : done + edges[-1]], starts, sizes, flat)
+        lists.append(pa.ListArray.from_arrays(pa.array(ends[edges], pa.int32()), pa.array(ids)))
+        done += edges[-1]
+    return pa.table({"doc_id": doc_ids, "ids": pa.chunked_array(lists, pa.list_(pa.int32()))})
 
 
 def encode(df: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -265,23 +298,23 @@ def decode(df: DataFrame, path: str) -> DataFrame:
         sizes = np.fromiter(map(len, table), np.int64, len(table))
         starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(table), np.uint8)
         for batch in batches:
-            lists = batch.column("ids")
-            ids = lists.flatten().to_numpy()
-            if len(ids) and not sizes[ids].all():
-                raise ValueError("an id without a token")
-            long = sizes[ids]
-            ends = np.concatenate([[0], np.cumsum(long)])
-            index = np.arange(ends[-1]) + np.repeat(starts[ids] - ends[:-1], long)
-            counts = lists.value_lengths().fill_null(0).to_numpy()
-            edges = ends[np.concatenate([[0], np.cumsum(counts)])]
-            text = pa.Array.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(edges), pa.py_buffer(flat[index])]
-            ).cast(pa.binary())
-            if lists.null_count:
-                text = pa.compute.if_else(lists.is_null(), None, text)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, text], [*batch.schema.names, "decoded"]
-            )
+            counts = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy()
+            for at, last in _parts(counts, PART):
+                part = batch.slice(at, last - at)
+                lists = part.column("ids")
+                ids = lists.flatten().to_numpy()
+                if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes) or not sizes[ids].all()):
+                    raise ValueError("an id without a token")
+                text, ends = _gathered(ids, starts, sizes, flat)
+                edges = ends[np.concatenate([[0], np.cumsum(counts[at:last])])]
+                decoded = pa.Array.from_buffers(
+                    pa.large_binary(), len(lists), [None, pa.py_buffer(edges), pa.py_buffer(text)]
+                ).cast(pa.binary())
+                if lists.null_count:
+                    decoded = pc.if_else(lists.is_null(), pa.scalar(None, pa.binary()), decoded)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, decoded], [*part.schema.names, "decoded"]
+                )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(run, f"{kinds}, decoded binary")
@@ -294,7 +327,7 @@ def digests(df: DataFrame) -> DataFrame:
         for batch in batches:
             lists = batch.column("ids")
             flat = lists.flatten().to_numpy().astype("<u4")
-            counts = lists.value_lengths().to_numpy()
+            counts = pc.list_value_length(lists).to_numpy()
             ends = np.cumsum(counts)
             sums = [hashlib.sha256(flat[e - c : e]).hexdigest() for e, c in zip(ends, counts)]
             yield pa.RecordBatch.from_arrays(
