@@ -33,7 +33,9 @@ from sheetspark.llm.ranks import ranked
 from sheetspark.runtime import fresh_path
 
 #: Bytes of text in a block, and in what is cut into words at a time; a longer text is alone.
-BLOCK, SLICE = 1 << 24, 1 << 21
+BLOCK, SLICE = 1 << 24, 1 << 20
+#: Suffixes of a block that are sorted and counted at a time.
+PART = 1 << 18
 #: Suffixes that a group may hold, and the part of a group that one prefix may fill.
 BUDGET, SHARE = 1 << 21, 4
 #: Parts into which a language's phrases are dealt to find its first ones.
@@ -43,7 +45,6 @@ ENDS = "[.,;:!?\n-\r]+"
 
 BLOCK_SCHEMA = "block bigint, places binary, entries array<struct<lang string, word string, n bigint>>"
 
-
 class _Block:
     """Words of consecutive texts; place 0 stands between pieces."""
 
@@ -96,6 +97,9 @@ class _Block:
         )
 
 
+SUFFIXES = pa.schema([("path", pa.binary()), ("cut", pa.int32()), ("n", pa.int64())])
+
+
 def _blocks(df: DataFrame) -> DataFrame:
     """Blocks of texts, in a table bucketed by block: it is read beside others without a shuffle."""
 
@@ -122,6 +126,37 @@ def _blocks(df: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def _counted(
+    text: np.ndarray, at: np.ndarray, code: np.ndarray, wide: np.ndarray, width: int, longest: int
+) -> pa.Table:
+    """The distinct suffixes that begin at some places of a text of local codes, and their counts."""
+    words = np.zeros((len(at), longest + longest % 2), dtype=np.uint32)
+    alive = np.ones(len(at), dtype=bool)
+    for k in range(longest):
+        column = text[at + k]
+        alive &= column > 0
+        words[alive, k] = column[alive]
+    keys = [
+        words[:, k].astype(np.uint64) << np.uint64(32) | words[:, k + 1]
+        for k in range(0, words.shape[1], 2)
+    ]
+    words = words[np.lexsort(keys[::-1]), :longest]
+    starts = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]).any(axis=1)]))
+    counts, words = np.diff(np.append(starts, len(words))), words[starts]
+    present = words > 0
+    depth = present.sum(axis=1)
+    light = present & ~wide[words]
+    cut = np.where(light.any(axis=1), light.argmax(axis=1) + 1, np.minimum(depth + 1, longest))
+    raw = code[words].astype(">u8").view(np.uint8).reshape(len(words), longest, 8)[:, :, 8 - width :]
+    edges = np.concatenate([[0], np.cumsum(depth * width)]).astype(np.int32)
+    flat = np.ascontiguousarray(raw[present].ravel())
+    path = pa.Array.from_buffers(
+        pa.binary(), len(words), [None, pa.py_buffer(edges), pa.py_buffer(flat)]
+    )
+    columns = [path, pa.array(cut, pa.int32()), pa.array(counts, pa.int64())]
+    return pa.Table.from_arrays(columns, schema=SUFFIXES)
+
+
 def _suffixes(blocks: DataFrame, codes: DataFrame, width: int, longest: int) -> DataFrame:
     """(path, cut, n): distinct suffixes of each block, ``width`` bytes a word, and their counts.
 
@@ -144,36 +179,11 @@ def _suffixes(blocks: DataFrame, codes: DataFrame, width: int, longest: int) ->
         local[slots[order]] = np.arange(1, len(order) + 1, dtype=np.uint32)
         text = np.concatenate([local[places], np.zeros(longest, np.uint32)])
         at = np.flatnonzero(text)
-        words = np.zeros((len(at), longest), dtype=np.uint32)
-        alive = np.ones(len(at), dtype=bool)
-        for k in range(longest):
-            column = text[at + k]
-            alive &= column > 0
-            words[alive, k] = column[alive]
-        if len(at):
-            pad = words.astype(np.uint64)
-            if longest % 2:
-                pad = np.concatenate([pad, np.zeros((len(at), 1), np.uint64)], axis=1)
-            keys = [pad[:, k] << np.uint64(32) | pad[:, k + 1] for k in range(0, pad.shape[1], 2)]
-            words = words[np.lexsort(keys[::-1])]
-            first = np.concatenate([[True], (words[1:] != words[:-1]).any(axis=1)])
-            starts = np.flatnonzero(first)
-            counts, words = np.diff(np.append(starts, len(words))), words[starts]
-        else:
-            counts = np.zeros(0, np.int64)
-        present = words > 0
-        depth = present.sum(axis=1)
-        light = present & ~wide[words]
-        cut = np.where(light.any(axis=1), light.argmax(axis=1) + 1, np.minimum(depth + 1, longest))
-        raw = code[words].astype(">u8").view(np.uint8).reshape(len(words), longest, 8)[:, :, 8 - width :]
-        flat = raw[present].ravel()
-        edges = np.concatenate([[0], np.cumsum(depth * width)]).astype(np.int64)
-        path = pa.Array.from_buffers(
-            pa.large_binary(), len(words), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(flat))]
-        )
-        return pa.table(
-            {"path": path.cast(pa.binary()), "cut": pa.array(cut, pa.int32()), "n": pa.array(counts, pa.int64())}
-        )
+        parts = [
+            _counted(text, at[k : k + PART], code, wide, width, longest)
+            for k in range(0, len(at), PART)
+        ]
+        return pa.concat_tables([SUFFIXES.empty_table(), *parts])
 
     codes = codes.toDF("block", "slot", "code", "wide")  # other columns than those of the blocks
     sides = blocks.select("block", "places").groupBy("block").cogroup(codes.groupBy("block"))

@@ -55,6 +55,7 @@ def small(monkeypatch):
     monkeypatch.setattr(module, "BLOCK", 4_000)
     monkeypatch.setattr(module, "SLICE", 900)
     monkeypatch.setattr(module, "BUDGET", 300)
+    monkeypatch.setattr(module, "PART", 150)
 
 
 def test_documents(spark):
