@@ -203,10 +203,10 @@ def resolve_all(revisions: DataFrame, commits: DataFrame, refs: DataFrame) -> Da
 
 def ops_until(ops: DataFrame, commits: DataFrame, commit_id: str) -> DataFrame:
     """The edits on the ancestor chain of a commit."""
-    return _edits_of(ops, ancestors(commits, commit_id))
+    return edits_of(ops, ancestors(commits, commit_id))
 
 
-def _edits_of(ops: DataFrame, chain: DataFrame) -> DataFrame:
+def edits_of(ops: DataFrame, chain: DataFrame) -> DataFrame:
     """The edits of some commits, each listed once.
 
     A chain that is counted to be short becomes a literal list, so that a log
@@ -252,11 +252,11 @@ def snapshot(
     chain = ancestors(commits, commit_id)
     if sheet is not None:
         ops = ops.where(F.col("sheet") == sheet)
-    edits = _edits_of(ops, chain)
+    edits = edits_of(ops, chain)
     if sheet_ops is not None:
         if sheet is not None:
             sheet_ops = sheet_ops.where(F.col("sheet") == sheet)
-        edits = within_lifetimes(edits, _edits_of(sheet_ops, chain))
+        edits = within_lifetimes(edits, edits_of(sheet_ops, chain))
     return fold(edits, by_sheet=sheet is None)
 
 
@@ -268,7 +268,7 @@ def record_counts(
     counts = rows.groupBy("sheet").agg(F.count(F.lit(1)).alias("record_count"))
     if sheet_ops is None:
         return counts
-    sheets = sheet_set(_edits_of(sheet_ops, ancestors(commits, commit_id))).select("sheet")
+    sheets = sheet_set(edits_of(sheet_ops, ancestors(commits, commit_id))).select("sheet")
     found = F.coalesce("record_count", F.lit(0).cast("bigint")).alias("record_count")
     return sheets.join(counts, "sheet", "left").select("sheet", found)
 
@@ -291,9 +291,9 @@ def snapshot_from(
     if at is None:
         raise LookupError(f"{stored_at!r} is not an ancestor of {commit_id!r}")
     since = chain.where(F.col("distance") < at["distance"])
-    edits = _edits_of(ops, since)
+    edits = edits_of(ops, since)
     if sheet_ops is not None:
-        last = last_sheet_op(_edits_of(sheet_ops, since))
+        last = last_sheet_op(edits_of(sheet_ops, since))
         if last is not None:
             alive = F.lit(last["op"] == "create")
             return fold(edits.where(alive & (F.col("seq") > last["seq"])))

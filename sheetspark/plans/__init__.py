@@ -9,6 +9,7 @@ from sheetspark.plans import (
     loading,
     positions,
     projections,
+    repository,
     validation,
 )
 from sheetspark.plans.registry import ORACLE, QUERIES
@@ -24,5 +25,6 @@ __all__ = [
     "loading",
     "positions",
     "projections",
+    "repository",
     "validation",
 ]
