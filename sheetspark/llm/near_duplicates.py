@@ -8,8 +8,9 @@
    in a list; the longest lists are skipped unless a class has nothing rarer.
 3. A list is not paired with itself.  Its most typical member is its pivot and is compared with
    every other member on the full sets.
-4. Two members x, y of a pivot p in different components are left to compare only if their sets
-   can still overlap enough: within p they share at most min(|x & p|, |y & p|) shingles, outside
+4. Members of a pivot that are about as large get second pivots, which they are compared with; that
+   is repeated while it finds links.  Two members x, y of a pivot p that are still in different
+   components are left to compare only if their sets can overlap enough: within p they share at most min(|x & p|, |y & p|) shingles, outside
    it only shingles that both have added.  Such pairs come from a range join over sizes and from
    a join over added shingles (those that very many have added count as the pivot's), and are compared on the full sets too.
 """
@@ -179,19 +180,8 @@ def grouped(df: DataFrame, shingle: int, percent: int) -> DataFrame:
     members = stored(_members(pivots, sets, percent), "near-members")
     links = members.where("linked").select("a", "b")
     roots = components(links, "near-first")
-    rest = stored(_undecided(members, roots, percent), "near-rest")
-    more = (
-        _compared(rest, sets)
-        .where(
-            _similar(
-                F.size(F.array_intersect("a_set", "b_set")),
-                F.size("a_set") + F.size("b_set"),
-                percent,
-            )
-        )
-        .select("a", "b")
-    )
-    more = stored(more, "near-more")
+    rest, roots = _undecided(members, roots, sets, percent)
+    more = stored(_linked(stored(rest, "near-rest"), sets, percent), "near-more")
     if not more.isEmpty():
         roots = components(
             more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))),
@@ -339,30 +329,74 @@ def _members(pivots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _undecided(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) under one pivot, in different components, whose sets may be similar."""
-    by_node = roots.select(F.col("node").alias("b"), F.col("root").alias("b_root"))
-    by_pivot = roots.select(F.col("node").alias("a"), F.col("root").alias("a_root"))
-    known = (
-        members.join(by_node, "b", "left")
-        .join(by_pivot, "a", "left")
-        .select(
-            F.col("a").alias("pivot"),
-            F.col("b").alias("node"),
-            "size",
-            "inside",
-            "added",
-            F.coalesce("b_root", "b").alias("root"),
-            F.coalesce("a_root", "a").alias("pivot_root"),
+def _rooted(people: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (pivot, node, ...) with the roots of both."""
+    by_node = roots.select("node", F.col("root").alias("node_root"))
+    by_pivot = roots.select(F.col("node").alias("pivot"), F.col("root").alias("own_root"))
+    return (
+        people.join(by_node, "node", "left")
+        .join(by_pivot, "pivot", "left")
+        .withColumn("root", F.coalesce("node_root", "node"))
+        .withColumn("pivot_root", F.coalesce("own_root", "pivot"))
+        .drop("node_root", "own_root")
+    )
+
+
+def _second_pivots(people: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (a, b) of a second pivot with the members of other components about as large.
+
+    Members of a pivot whose sizes are within the similarity share one of two overlapping windows.  A
+    window with several components gets one of its members, another each turn, as a second pivot; it
+    is paired with the others, and they are not paired with one another.
+    """
+    half = math.log(100 / percent) / 2
+    place = F.floor(F.log(F.col("size").cast("double")) / half)
+    rows = people.withColumn("window", F.explode(F.array(place - 1, place)))
+    top = F.struct("node", "root", "size", "inside")
+    tops = (
+        rows.groupBy("pivot", "window")
+        .agg(
+            F.min_by(top, F.xxhash64("node", F.lit(turn))).alias("top"),
+            F.min("root").alias("least"),
+            F.max("root").alias("most"),
         )
+        .where("least != most")
+        .select("pivot", "window", "top")
     )
+    pairs = rows.join(stored(tops, "near-seconds"), ["pivot", "window"]).where(
+        (F.col("root") != F.col("top.root"))
+        & (
+            (100 + percent) * F.least("inside", "top.inside")
+            >= percent * (F.col("size") + F.col("top.size"))
+        )
+    )
+    node, other = F.col("node"), F.col("top.node")
+    return pairs.select(F.least(node, other).alias("a"), F.greatest(node, other).alias("b")).distinct()
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar."""
+    overlap = F.size(F.array_intersect("a_set", "b_set"))
+    similar = _similar(overlap, F.size("a_set") + F.size("b_set"), percent)
+    return _compared(pairs, sets).where(similar).select("a", "b")
+
+
+def _undecided(
+    members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) under one pivot, in different components, whose sets may be similar.
+
+    Also the roots after the links that second pivots have brought: they are chosen anew until they
+    find no more, which leaves pairs between components only.
+    """
+    known = _rooted(members.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "size", "inside", "added"), roots)
     known = stored(known, "near-known")
     open_pivots = stored(
         known.where("root != pivot_root").select("pivot").distinct(), "near-open"
     )
     # Only shingles that several members of the pivot have added can be shared outside it.
     added = known.join(open_pivots, "pivot", "left_semi").select(
-        "pivot", "node", "size", "inside", "root", "pivot_root", F.explode_outer("added").alias("item")
+        "pivot", "node", F.explode_outer("added").alias("item")
     )
     added = stored(added, "near-added")
     common = (
@@ -384,13 +418,24 @@ def _undecided(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     )
     whole = percent + 100
     people = stored(
-        known.drop("added")
+        known.select("pivot", "node", "size", "inside", "root", "pivot_root")
         .join(extras, ["pivot", "node"])
         .withColumn("inside", F.col("inside") + F.col("widely"))
         .drop("widely")
         .where(100 * (F.col("inside") + F.col("extra")) >= percent * F.col("size")),
         "near-people",
     )
+    turn = 0
+    while True:
+        found = stored(
+            _linked(stored(_second_pivots(people, percent, turn), "near-turn"), sets, percent), "near-found"
+        )
+        if found.isEmpty():
+            break
+        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(found.union(stars), "near-turn")
+        people = stored(_rooted(people.drop("root", "pivot_root"), roots), "near-people")
+        turn += 1
 
     x, y = _named(people, "x"), _named(people, "y")
     bucket = F.floor(F.log(F.col("y_size").cast("double")) / F.log(F.lit(STEP)))
@@ -428,7 +473,7 @@ def _undecided(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         )
     )
     pair = [F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")]
-    return by_size.select(*pair).union(by_item.select(*pair)).distinct()
+    return by_size.select(*pair).union(by_item.select(*pair)).distinct(), roots
 
 
 def _named(df: DataFrame, prefix: str, *same: str) -> DataFrame:
