@@ -9,7 +9,7 @@
 3. A list is not paired with itself.  Its most typical member is its pivot and is compared with
    every other member on the full sets.
 4. Members of a pivot that are about as large get second pivots, which they are compared with; that
-   is repeated while it finds links.  Two members x, y of a pivot p that are still in different
+   is repeated while it finds many links.  Two members x, y of a pivot p that are still in different
    components are left to compare only if their sets can overlap enough: within p they share at most min(|x & p|, |y & p|) shingles, outside
    it only shingles that both have added.  Such pairs come from a range join over sizes and from
    a join over added shingles (those that very many have added count as the pivot's), and are compared on the full sets too.
@@ -40,6 +40,9 @@ SLICE = 1 << 21
 STEP = 1.05
 #: Members of a pivot that share an added shingle, from which on it counts as the pivot's.
 WIDE = 32
+#: Second pivots of a window at a time; they are chosen anew while at least the given part of the pairs
+#: that they make are links, which spares more comparisons later than it costs.
+SECONDS, WORTH = 4, 4
 
 _FACTORS = np.random.default_rng(8).integers(1, 2**63, COORDINATES, dtype=np.uint64) * 2 + 1
 
@@ -346,8 +349,8 @@ def _second_pivots(people: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs (a, b) of a second pivot with the members of other components about as large.
 
     Members of a pivot whose sizes are within the similarity share one of two overlapping windows.  A
-    window with several components gets one of its members, another each turn, as a second pivot; it
-    is paired with the others, and they are not paired with one another.
+    window with several components gets some of its members, others each turn, as second pivots; they
+    are paired with the others, and those are not paired with one another.
     """
     half = math.log(100 / percent) / 2
     place = F.floor(F.log(F.col("size").cast("double")) / half)
@@ -356,12 +359,17 @@ def _second_pivots(people: DataFrame, percent: int, turn: int) -> DataFrame:
     tops = (
         rows.groupBy("pivot", "window")
         .agg(
-            F.min_by(top, F.xxhash64("node", F.lit(turn))).alias("top"),
+            *(
+                F.min_by(top, F.xxhash64("node", F.lit(turn * SECONDS + k))).alias(f"top{k}")
+                for k in range(SECONDS)
+            ),
             F.min("root").alias("least"),
             F.max("root").alias("most"),
         )
         .where("least != most")
-        .select("pivot", "window", "top")
+        .select(
+            "pivot", "window", F.explode(F.array_distinct(F.array(*(f"top{k}" for k in range(SECONDS))))).alias("top")
+        )
     )
     pairs = rows.join(stored(tops, "near-seconds"), ["pivot", "window"]).where(
         (F.col("root") != F.col("top.root"))
@@ -386,8 +394,8 @@ def _undecided(
 ) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) under one pivot, in different components, whose sets may be similar.
 
-    Also the roots after the links that second pivots have brought: they are chosen anew until they
-    find no more, which leaves pairs between components only.
+    Also the roots after the links that second pivots have brought, so that what is left are pairs
+    between components that hardly have links.
     """
     known = _rooted(members.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "size", "inside", "added"), roots)
     known = stored(known, "near-known")
@@ -427,15 +435,17 @@ def _undecided(
     )
     turn = 0
     while True:
-        found = stored(
-            _linked(stored(_second_pivots(people, percent, turn), "near-turn"), sets, percent), "near-found"
-        )
-        if found.isEmpty():
+        pairs = stored(_second_pivots(people, percent, turn), "near-turn")
+        found = stored(_linked(pairs, sets, percent), "near-links")
+        links = found.count()
+        if not links:
             break
         stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = components(found.union(stars), "near-turn")
         people = stored(_rooted(people.drop("root", "pivot_root"), roots), "near-people")
         turn += 1
+        if links * WORTH < pairs.count():
+            break
 
     x, y = _named(people, "x"), _named(people, "y")
     bucket = F.floor(F.log(F.col("y_size").cast("double")) / F.log(F.lit(STEP)))
