@@ -1,7 +1,7 @@
 """Licenses named in texts: ordered signature rules behind a keyword prefilter.
 
 Texts with a gate word are cut into words, and each rule whose keyword they hold is matched over
-the words.  A detection gives way to one of a better rule, or to a longer one of an equal rule,
+the words.  All of it happens in the row, in built-in functions: nothing is shuffled or stored.  A detection gives way to one of a better rule, or to a longer one of an equal rule,
 that contains it.
 """
 
@@ -13,8 +13,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetspark.llm.common import plain_id, solid_id, stored
-from sheetspark.llm.license_rules import BASE, BASE_CERTAINTY, CERTAINTY, GATES, RULES
+from sheetspark.llm.license_rules import BASE, BASE_CERTAINTY, CERTAINTY, GATES, RULES, LicenseRule
 from sheetspark.llm.words import places, word_count, words
 
 
@@ -29,134 +28,85 @@ def _phrase_places(phrase: tuple[str, ...]) -> Column:
     return F.filter(places(F.size("words") - len(phrase) + 1), here)
 
 
-def _spaces(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+#: A detection; arrays of them sort by start, then longest first, then priority.
+DETECTION = "struct<start:int,turned:int,priority:int,end:int,label:string>"
 
 
-def _spans(text: Column, regex: Column) -> Column:
-    """(start, end) in words of the matches of ``regex`` in words with one space between.
+def _matches(rule: LicenseRule) -> str:
+    """SQL for the detections of a rule in ``joined``, words with one space between.
 
-    The parts between matches and the matches alternate; the spaces in them count the words.
+    Each match is taken with the gap before it, from where the last one ended; the spaces in them
+    count the words.  The pattern is a literal, which a task compiles once.
     """
-    bounded = F.concat(F.lit("(?<![^ ])(?:"), regex, F.lit(")(?![^ ])"))
-    found = F.regexp_extract_all(text, bounded, F.lit(0))
-    gaps = F.split(text, bounded)
-    nothing = F.array().cast("array<struct<start:int,end:int>>")
-    seen = F.struct(F.lit(0).alias("before"), nothing.alias("spans"))
-
-    def step(state: Column, pair: Column) -> Column:
-        start = state["before"] + _spaces(pair["gap"])
-        last = start + _spaces(pair["match"])
-        span = F.struct(start.alias("start"), (last + 1).alias("end"))
-        return F.struct(last.alias("before"), F.concat(state["spans"], F.array(span)).alias("spans"))
-
-    pairs = F.filter(
-        F.arrays_zip(gaps.alias("gap"), found.alias("match")), lambda p: p["match"].isNotNull()
+    pattern = rf"r'(?s)\G(.*?)(?<![^ ])(?:{rule.regex})(?![^ ])'"
+    gap, whole = (f"regexp_extract_all(joined, {pattern}, {group})" for group in (1, 0))
+    spaces = "length({0}) - length(replace({0}, ' ', ''))"
+    counts = f"(g, w) -> struct({spaces.format('g')} AS g, {spaces.format('w')} AS w)"
+    end = "s.before + p.w + 1"
+    one = (
+        f"named_struct('start', s.before + p.g, 'turned', -({end}), 'priority', {rule.priority},"
+        f" 'end', {end}, 'label', '{rule.label}')"
+    )
+    return (
+        f"aggregate(zip_with({gap}, {whole}, {counts}),"
+        f" named_struct('before', 0, 'found', CAST(array() AS array<{DETECTION}>)),"
+        f" (s, p) -> named_struct('before', s.before + p.w, 'found', concat(s.found, array({one}))),"
+        " s -> s.found)"
     )
-    return F.aggregate(pairs, seen, step, lambda state: state["spans"])
 
 
 def _suppressed(found: Column) -> Column:
     """The detections that no other one suppresses.
 
-    ``found`` is an array of (start, longest first, priority, end, labels), sorted; a scan keeps
+    ``found`` is an array of (start, longest first, priority, end, label), sorted; a scan keeps
     the furthest end seen for each priority.  What begins no later and ends no earlier contains.
+    Detections of one span and priority stay or go together.
     """
     levels = sorted(CERTAINTY)
-    kept = F.array().cast("array<struct<priority:int,labels:array<string>>>")
+    kept = F.array().cast("array<struct<priority:int,label:string>>")
+    none = F.lit(None).cast("struct<start:int,end:int,priority:int>")
     start = F.struct(
-        F.array(*(F.lit(-1) for _ in levels)).alias("ends"), kept.alias("kept")
+        F.array(*(F.lit(-1) for _ in levels)).alias("ends"),
+        none.alias("last"),
+        F.lit(False).alias("stayed"),
+        kept.alias("kept"),
     )
 
     def step(state: Column, d: Column) -> Column:
         level = F.lit(len(levels) - 1)
         for i, priority in reversed(list(enumerate(levels))):
             level = F.when(d["priority"] == priority, F.lit(i)).otherwise(level)
-        # Equal spans of one priority are one entry, so whatever reaches as far is better or longer.
+        own = F.struct(d["start"].alias("start"), d["end"].alias("end"), d["priority"].alias("priority"))
         best = F.array_max(F.slice(state["ends"], F.lit(1), level + 1))
+        stays = F.when(state["last"].eqNullSafe(own), state["stayed"]).otherwise(best < d["end"])
         ends = F.transform(
             state["ends"],
             lambda end, i: F.when(i == level, F.greatest(end, d["end"])).otherwise(end),
         )
-        one = F.array(F.struct(d["priority"].alias("priority"), d["labels"].alias("labels")))
+        one = F.array(F.struct(d["priority"].alias("priority"), d["label"].alias("label")))
         return F.struct(
             ends.alias("ends"),
-            F.when(best >= d["end"], state["kept"])
-            .otherwise(F.concat(state["kept"], one))
-            .alias("kept"),
+            own.alias("last"),
+            stays.alias("stayed"),
+            F.when(stays, F.concat(state["kept"], one)).otherwise(state["kept"]).alias("kept"),
         )
 
     return F.aggregate(found, start, step, lambda state: state["kept"])
 
 
-def _rule_table() -> Column:
-    """The rules of each keyword, so that a text is searched for a keyword once."""
-
-    def rules(keyword: str) -> Column:
-        return F.array(
-            *(
-                F.struct(
-                    F.lit(r.label).alias("label"),
-                    F.lit(r.priority).alias("priority"),
-                    F.lit(r.regex).alias("regex"),
-                )
-                for r in RULES
-                if r.keyword == keyword
-            )
-        )
+def _detected() -> Column:
+    """All detections in ``joined``, sorted; a rule is tried where its keyword occurs.
 
-    return F.array(
-        *(
-            F.struct(F.lit(keyword).alias("keyword"), rules(keyword).alias("rules"))
-            for keyword in sorted({r.keyword for r in RULES})
-        )
-    )
-
-
-def _detections(gated: DataFrame) -> DataFrame:
-    """(id, version, rule_labels, certainty) of texts with a detection."""
-    rules = _rule_table()
-    hits = (
-        gated.withColumn("joined", F.array_join("words", " "))
-        .select(
-            "id",
-            "version",
-            "joined",
-            F.explode(F.filter(rules, lambda r: F.contains(F.col("joined"), r["keyword"]))).alias(
-                "held"
-            ),
-        )
-        .select("id", "version", "joined", F.explode("held.rules").alias("rule"))
-        .select("id", "version", "rule", F.explode(_spans(F.col("joined"), F.col("rule.regex"))).alias("s"))
-        .select(
-            "id",
-            "version",
-            F.col("s.start").alias("start"),
-            (-F.col("s.end")).alias("turned"),
-            F.col("rule.priority").alias("priority"),
-            F.col("s.end").alias("end"),
-            F.col("rule.label").alias("label"),
-        )
-    )
-    spans = hits.groupBy("id", "version", "start", "turned", "priority", "end").agg(
-        F.collect_set("label").alias("labels")
-    )
-    sorted_spans = F.sort_array(
-        F.collect_list(F.struct("start", "turned", "priority", "end", "labels"))
-    )
-    kept = spans.groupBy("id", "version").agg(_suppressed(sorted_spans).alias("kept"))
-    certainty = F.lit(0.0)
-    for priority, value in CERTAINTY.items():
-        certainty = F.when(F.col("best") == priority, F.lit(value)).otherwise(certainty)
-    return (
-        kept.withColumn("best", F.array_min(F.transform("kept", lambda k: k["priority"])))
-        .select(
-            "id",
-            "version",
-            F.flatten(F.transform("kept", lambda k: k["labels"])).alias("rule_labels"),
-            certainty.alias("certainty"),
+    In SQL, because hundreds of rules are thousands of calls as columns.
+    """
+    found = []
+    for keyword in sorted({r.keyword for r in RULES}):
+        rules = ", ".join(_matches(r) for r in RULES if r.keyword == keyword)
+        found.append(
+            f"CASE WHEN contains(joined, '{keyword}') THEN flatten(array({rules}))"
+            f" ELSE CAST(array() AS array<{DETECTION}>) END"
         )
-    )
+    return F.expr(f"sort_array(array_distinct(flatten(array({', '.join(found)}))))")
 
 
 def find_licenses(df: DataFrame) -> DataFrame:
@@ -170,43 +120,45 @@ def find_licenses(df: DataFrame) -> DataFrame:
     read.
     """
     texts = df.select(
-        solid_id(F.col("doc_id")).alias("id"),
-        F.xxhash64("text").alias("version"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
     # The array makes the lower case once for all gates.
     gate = F.exists(
         F.array(F.lower("text")),
         lambda lower: reduce(or_, (F.contains(lower, F.lit(g)) for g in GATES)),
     )
-    gated = texts.where(gate).select("id", "version", words(F.col("text")).alias("words"))
-    gated = stored(gated.distinct(), "license-words")
-    starts = [_phrase_places(phrase).alias(label) for label, phrase in BASE.items()]
-    base = gated.select("id", "version", *starts)
-    every = F.concat(*BASE)
-    base = base.where(F.size(every) > 0).select(
-        "id",
-        "version",
-        F.size(every).cast("bigint").alias("n_base"),
-        F.array_min(every).cast("bigint").alias("first_word"),
-        F.array_max(every).cast("bigint").alias("last_word"),
-        F.array_compact(
-            F.array(*(F.when(F.size(x) > 0, F.lit(x)) for x in sorted(BASE)))
-        ).alias("base_names"),
+    gated = texts.select(
+        "doc_id",
+        F.when(gate, words(F.col("text"))).alias("words"),
+        word_count(F.col("text")).alias("n_words"),
     )
-    found = base.join(_detections(gated), ["id", "version"], "full")
-    found = stored(found, "license-found")
-    counted = texts.select("id", "version", word_count(F.col("text")).alias("n_words"))
+    joined = gated.select("*", F.array_join("words", " ").alias("joined"))
+    # Null, and not looked at, where the gate is closed.
+    held = F.col("words").isNotNull()
+    starts = {label: F.when(held, _phrase_places(phrase)) for label, phrase in BASE.items()}
+    kept = F.when(held, _suppressed(_detected()))
+    found = joined.select("doc_id", "n_words", *(x.alias(label) for label, x in starts.items()), kept.alias("kept"))
     nothing = F.array().cast("array<string>")
-    own, more = F.coalesce("base_names", nothing), F.coalesce("rule_labels", nothing)
-    sure = F.when(F.size(own) > 0, F.lit(BASE_CERTAINTY)).otherwise(F.lit(0.0))
-    return counted.join(found, ["id", "version"], "left").select(
-        plain_id(F.col("id")).alias("doc_id"),
+    every = found.select(
+        "*",
+        F.concat(*BASE).alias("every"),
+        F.coalesce(
+            F.array_compact(F.array(*(F.when(F.size(x) > 0, F.lit(x)) for x in sorted(BASE)))), nothing
+        ).alias("own"),
+        F.coalesce(F.transform("kept", lambda k: k["label"]), nothing).alias("more"),
+        F.array_min(F.transform("kept", lambda k: k["priority"])).alias("best"),
+    )
+    certainty = F.when(F.size("own") > 0, F.lit(BASE_CERTAINTY)).otherwise(F.lit(0.0))
+    for priority, value in CERTAINTY.items():
+        sure = F.when(F.col("best") == priority, F.lit(value)).otherwise(F.lit(0.0))
+        certainty = F.greatest(certainty, sure)
+    return every.select(
+        "doc_id",
         "n_words",
-        F.coalesce("n_base", F.lit(0).cast("bigint")).alias("n_base"),
-        "first_word",
-        "last_word",
-        F.array_join(own, ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union(own, more)), ",").alias("labels"),
-        F.greatest(F.coalesce("certainty", F.lit(0.0)), sure).alias("score"),
+        F.coalesce(F.greatest(F.size("every"), F.lit(0)), F.lit(0)).cast("bigint").alias("n_base"),
+        F.array_min("every").cast("bigint").alias("first_word"),
+        F.array_max("every").cast("bigint").alias("last_word"),
+        F.array_join("own", ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("own", "more")), ",").alias("labels"),
+        certainty.alias("score"),
     )
