@@ -6,13 +6,13 @@ softmax.  Every window of a text is looked at and the probabilities are averaged
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +27,7 @@ GROUP = 512
 #: Texts are scored in slices of about so many bytes.
 SLICE = 1 << 20
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def _byte_classes() -> np.ndarray:
