@@ -11,7 +11,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ LENGTH, END = 4096, 2
 #: Dimensions and bits of the curve.
 DIMENSIONS, BITS = 4, 12
 #: Distinct words whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Texts are encoded in slices of about so many bytes.
 SLICE = 1 << 22
 
@@ -51,6 +52,8 @@ class WordEncoder:
         self.size = self.library.get_vocab_size()
         self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        # What an added token begins with before its first letter is the same in either case.
+        self.stems = {"".join(takewhile(lambda c: c.lower() == c.upper(), t)) for t in self.added}
         self._forget()
 
     def _forget(self) -> None:
@@ -67,11 +70,18 @@ class WordEncoder:
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         self.flat = np.concatenate([self.flat, values])
 
-    def _words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        """The words of all texts, and how many each text has; ASCII words in lower case."""
+    def _marked(self, texts: pa.Array) -> pa.Array:
+        """Whether a text has the string of an added token."""
         marks = pa.array(np.zeros(len(texts), dtype=bool))
+        if not any(pc.any(pc.match_substring(texts, stem)).as_py() for stem in self.stems):
+            return marks
         for added in self.added:
             marks = pc.or_(marks, pc.match_substring(texts, added, ignore_case=True))
+        return marks
+
+    def _words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts, and how many each text has."""
+        marks = self._marked(texts)
         if pc.any(marks).as_py():
             pairs = zip(texts.to_pylist(), marks.to_pylist())
             lists = [[t] if whole else re.split("[ \t-\r]+", t) for t, whole in pairs]
@@ -81,10 +91,13 @@ class WordEncoder:
             lists = pc.ascii_split_whitespace(
                 pc.replace_substring_regex(texts, "([A-Za-z])([.,;:!?])", "\\1 \\2")
             )
-        words = lists.flatten()
+        return lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+
+    @staticmethod
+    def _lowered(words: pa.Array) -> pa.Array:
+        """ASCII words in lower case, which changes none of their ids."""
         plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<|")))
-        words = pc.if_else(plain, pc.ascii_lower(words), words)
-        return words, pc.list_value_length(lists).to_numpy().astype(np.int64)
+        return pc.if_else(plain, pc.ascii_lower(words), words)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and how many each text has."""
@@ -92,8 +105,8 @@ class WordEncoder:
             self._forget()
         words, counts = self._words(texts)
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        self._learn([w for w in distinct if w not in self.slots])
+        distinct = self._lowered(coded.dictionary).to_pylist()
+        self._learn(list(dict.fromkeys(w for w in distinct if w not in self.slots)))
         known = np.fromiter(map(self.slots.__getitem__, distinct), np.int64, len(distinct))
         slots = known[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
         sizes = self.starts[slots + 1] - self.starts[slots]
@@ -103,6 +116,12 @@ class WordEncoder:
         return self.flat[index], np.diff(ends[edges])
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """The encoder of a worker: the words of one task are known to the next."""
+    return WordEncoder(path)
+
+
 def _projection(size: int) -> np.ndarray:
     """What a token id adds to each dimension."""
     return np.random.default_rng(9).normal(size=(size, DIMENSIONS)).astype(np.float32)
@@ -120,7 +139,7 @@ def tokenized(df: DataFrame, path: str) -> DataFrame:
     """(id, key, n, ids): the ids of each row's text and its end, little-endian, and their key."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = _encoder(path)
         projection = _projection(max(encoder.size, END + 1))
         for batch in batches:
             for part in slices(batch, SLICE):
