@@ -72,7 +72,7 @@ def page(
     """
     keys = [*_names(order_by), key]
     if offset + limit <= TOP_K:
-        rows = df.orderBy(*_ascending(keys)).offset(offset).limit(limit)
+        rows = _first(df, keys, _ascending(keys), offset, limit)
     else:
         rows = Positions(df, keys).span(offset, offset + limit).orderBy(*_ascending(keys))
     return rows if columns is None else rows.select(*_names(columns))
@@ -97,11 +97,26 @@ def numbered(df: DataFrame, name: str = "pos") -> DataFrame:
     return kept.withColumn(name, F.get(offsets, part) + row)
 
 
+def _first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], offset: int, limit: int) -> DataFrame:
+    """``limit`` rows from ``offset`` on as a top-k, at most :data:`TOP_K` rows and one more.
+
+    Rows up to there, and the one after them, must differ in the keys, as in a numbered range: else
+    it would be open which rows are read.
+    """
+    rows = df.orderBy(*order).limit(offset + limit + 1)
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    message = F.concat(F.lit("several rows have the key "), F.to_json(key))
+    tied = key.eqNullSafe(F.lag(key).over(Window.orderBy(*order))) & (F.row_number().over(Window.orderBy(*order)) > 1)
+    place = F.when(tied, F.raise_error(message).cast("int")).otherwise(F.lit(0))
+    checked = rows.withColumn("__tied", place).where("__tied = 0").drop("__tied")
+    return checked.orderBy(*order).offset(offset).limit(limit)
+
+
 def head(df: DataFrame, keys: str | Sequence[str], n: int = 5) -> DataFrame:
     """The first ``n`` rows, in order; a negative ``n`` leaves out the last ``-n``."""
     keys = _names(keys)
     if 0 <= n <= TOP_K:
-        return df.orderBy(*_ascending(keys)).limit(n)
+        return _first(df, keys, _ascending(keys), 0, n)
     positions = Positions(df, keys)
     rows = positions.span(0, n if n > 0 else positions.count + n)
     return rows.orderBy(*_ascending(keys))
@@ -113,7 +128,7 @@ def tail(df: DataFrame, keys: str | Sequence[str], n: int = 5) -> DataFrame:
     if n == 0:
         return df.limit(0)
     if 0 < n <= TOP_K:
-        last = df.orderBy(*[F.col(k).desc_nulls_last() for k in keys]).limit(n)
+        last = _first(df, keys, [F.col(k).desc_nulls_last() for k in keys], 0, n)
         return last.orderBy(*_ascending(keys))
     positions = Positions(df, keys)
     rows = positions.span(max(0, positions.count - n) if n > 0 else -n, positions.count)

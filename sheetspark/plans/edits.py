@@ -9,6 +9,8 @@ from sheetspark.operators import edit
 from sheetspark.operators.query import query as where
 from sheetspark.plans.inputs import table
 from sheetspark.plans.registry import query
+from sheetspark.runtime import fresh_path
+from sheetspark.sources import keys
 
 BY_PRICE = ["o_totalprice", "o_orderkey"]
 SHOWN = ["o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
@@ -42,6 +44,23 @@ def append_keys(spark: SparkSession, folder: str) -> DataFrame:
     return edit.append(base, batch, BY_PRICE, key="record_key")
 
 
+@query(
+    """WITH parts AS (SELECT *, CASE o_orderstatus WHEN 'P' THEN 0 ELSE 1 END AS turn FROM orders
+                      WHERE o_orderstatus <> 'O')
+       SELECT lpad(CAST(row_number() OVER (ORDER BY turn, o_totalprice, o_orderkey) - 1 AS VARCHAR), 20, '0')
+         AS record_key, o_orderkey, o_totalprice FROM parts"""
+)
+def leased_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches appended one after the other under leased keys; the sheet is not searched for its last."""
+    df, root = table(spark, folder, "orders"), fresh_path(spark, "keys")
+    shown = ["o_orderkey", "o_totalprice"]
+    first = df.where(F.col("o_orderstatus") == "P").select(shown)
+    second = df.where(F.col("o_orderstatus") == "F").select(shown)
+    sheet = first.limit(0).withColumn("record_key", F.lit("")).select("record_key", *shown)
+    sheet = keys.append_leased(sheet, first, BY_PRICE, root, key="record_key")
+    return keys.append_leased(sheet, second, BY_PRICE, root, key="record_key")
+
+
 @query(
     f"""WITH {RANKED},
     batch AS (SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS i

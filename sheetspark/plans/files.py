@@ -13,6 +13,7 @@ from sheetspark.operators import files, order
 from sheetspark.plans.inputs import FILES_SQL, documents_as_files, table
 from sheetspark.plans.registry import query
 from sheetspark.runtime import fresh_path
+from sheetspark.sources import content
 from sheetspark.sources.files import file_record, file_table as as_file_table, image_table
 from sheetspark.sources.sheets import read_sheet, write_sheet
 
@@ -275,3 +276,21 @@ _KIND_SQL = "CASE doc_id % {} {} END".format(
 )
 def image_size(spark: SparkSession, folder: str) -> DataFrame:
     return image_table(images(spark, folder))
+
+
+@query(
+    f"""WITH {FILES_SQL} SELECT 'store/' || digest AS key, max(size)::BIGINT AS size,
+      any_value(text) AS text, count(*) AS n_references
+    FROM files GROUP BY digest"""
+)
+def content_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Files stored in two puts that overlap, read back by the references of all of them."""
+    df, root = documents_as_files(spark, folder), fresh_path(spark, "contents")
+    content.put_contents(spark, root, df.where(F.col("doc_id") % 3 > 0), "store/")
+    content.put_contents(spark, root, df.where(F.col("doc_id") % 3 < 2), "store/")
+    references = df.select(files.content_key(F.col("content"), "store/").alias("key"))
+    counts = references.groupBy("key").agg(F.count(F.lit(1)).alias("n_references"))
+    stored = content.stored_contents(spark, root)
+    return stored.join(counts, "key").select(
+        "key", "size", F.decode("content", "UTF-8").alias("text"), "n_references"
+    )

@@ -21,13 +21,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheetspark.operators import lineage, versions
 from sheetspark.operators.evolution import LOG, Change, SheetSchema, stored_edits, upgraded
+from sheetspark.sources.claims import Conflict, claim, exists
 
 COMMITS = (
     "parent_id string, branch string, title string, committed_at timestamp_ntz, "
@@ -36,10 +36,6 @@ COMMITS = (
 SNAPSHOT_LOG = "sheet string, epoch string, seq bigint, commit_id string"
 
 
-class Conflict(RuntimeError):
-    """The branch has moved since the commit was prepared."""
-
-
 @dataclass(frozen=True)
 class CreateSheet:
     """Create a sheet, or replace the one that is there."""
@@ -134,27 +130,11 @@ class Repository:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    # Files by the file system of Spark.
-
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-
-    def _files(self):
-        return self._path("moves").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _claim(self, name: str, text: str) -> None:
-        """Create a file with a line of text; refused if it exists."""
-        try:
-            stream = self._files().create(self._path(name), False)
-        except Py4JJavaError as error:
-            if "AlreadyExists" in error.java_exception.getClass().getName():
-                raise Conflict(f"{name} exists") from None
-            raise
-        stream.write(bytearray(text.encode() + b"\n"))
-        stream.close()
+    def _exists(self, name: str) -> bool:
+        return exists(self.spark, f"{self.root}/{name}")
 
     def _table(self, name: str, schema: str) -> DataFrame:
-        if not self._files().exists(self._path(name)):
+        if not self._exists(name):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
@@ -163,7 +143,7 @@ class Repository:
     def _moves(self, branch: str | None = None) -> DataFrame:
         """``branch, move, commit_id`` of all moves or of those of a branch."""
         folder = "*" if branch is None else _folder(branch)
-        if not self._files().exists(self._path("moves" if branch is None else f"moves/{folder}")):
+        if not self._exists("moves" if branch is None else f"moves/{folder}"):
             return self.spark.createDataFrame([], "branch string, move bigint, commit_id string")
         lines = self.spark.read.text(f"{self.root}/moves/{folder}")
         parts = F.split(F.input_file_name(), "/")
@@ -177,7 +157,7 @@ class Repository:
     def _move(self, branch: str, number: int, commit_id: str | None) -> None:
         line = T.StructType().add("branch", "string").add("commit_id", "string")
         text = self.spark.createDataFrame([(branch, commit_id)], line).select(F.to_json(F.struct("*")))
-        self._claim(f"moves/{_folder(branch)}/{number:020}", text.first()[0])
+        claim(self.spark, f"{self.root}/moves/{_folder(branch)}/{number:020}", text.first()[0])
 
     def create_branch(self, branch: str, at: str | None = None) -> None:
         """A branch at a revision, or without any commit; refused if the branch exists."""
@@ -351,7 +331,7 @@ class Repository:
         """What the chain's commits have written to the epochs of a sheet, in its schema now."""
         found = None
         for seq, epoch in epochs:
-            if not self._files().exists(self._path(f"{folder}/{epoch}")):
+            if not self._exists(f"{folder}/{epoch}"):
                 continue
             path = f"{self.root}/{folder}/{epoch}"
             written = self.spark.read.parquet(path).schema  # which may take an id for a number
@@ -391,7 +371,7 @@ class Repository:
 
     def _nearest(self, sheet: str, line: _Line, schema: SheetSchema):
         """The nearest commit of a chain with a snapshot of this lifetime of a sheet, or None."""
-        if not self._files().exists(self._path("snapshot_log")):
+        if not self._exists("snapshot_log"):
             return None
         log = self._table("snapshot_log", SNAPSHOT_LOG)
         own = log.where((F.col("sheet") == sheet) & (F.col("seq") >= schema.since))
