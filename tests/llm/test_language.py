@@ -116,3 +116,44 @@ def test_labels_beyond_the_bound_are_not_learned(spark):
     assert sorted(sample) == sorted((t.encode(), x) for _, t, x in free if x in ranked[:3])
     got = lg.identify_language(df, lg.train(sample)).collect()
     assert len(got) == len(rows) and {r.lang_pred for r in got} <= set(ranked[:3])
+
+
+def plain_chances(net, text):
+    """Convolution, pooling and softmax of the whole text, written out filter by filter."""
+    data = text.encode()
+    total = np.zeros(len(net.labels))
+    for start in range(0, max(1, len(data) - max(lg.WIDTHS) + 1), lg.STRIDE):
+        part = data[start : start + lg.WINDOW]
+        classes = [int(lg.CLASSES[b]) for b in part] + [0] * (lg.WINDOW - len(part))
+        pooled = []
+        for width, weights in zip(lg.WIDTHS, net.filters):
+            for k in range(weights.shape[2]):
+                sums = [
+                    sum(float(weights[j, classes[i + j], k]) for j in range(width))
+                    for i in range(lg.WINDOW - width + 1)
+                ]
+                pooled.append(max(sums))
+        hidden = np.maximum(np.array(pooled) + net.shift, 0)
+        logits = hidden @ net.dense.astype(float) + net.bias
+        chances = np.exp(logits - logits.max())
+        total += chances / chances.sum() * len(part)
+    return total / max(1, len(data))
+
+
+def test_predictions_equal_a_plain_forward_pass(net):
+    texts = ["the cat", "und der die das " * 30, "é" * 150 + " xyz", "1 2 3"]
+    flat, offsets = text_bytes(pa.array(texts))
+    got = lg.predict(net, flat, offsets, net.pair_tables())
+    for row, text in zip(got, texts):
+        assert np.allclose(row, plain_chances(net, text), atol=1e-4)
+
+
+def test_numerals_and_marks_are_no_letters(spark, net):
+    texts = ["½ ² ²", "① Ⅷ 3", "́ _ -", "x ½", "日", "ǅ", "ª"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in lg.identify_language(df, net).collect()}
+    for i, text in enumerate(texts):
+        lettered = any(c.isalpha() for c in text)
+        assert (got[i] != ("und", 0.0)) == lettered
+    kept = {r.doc_id for r in lg.with_known_language(df, net, least=0.0).collect()}
+    assert kept == {3, 4, 5, 6}

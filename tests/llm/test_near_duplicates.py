@@ -141,3 +141,33 @@ def test_hashes_do_not_depend_on_blocks(monkeypatch):
     words = [w.lower() for t in texts for w in t.encode().split()]
     assert len(set(words)) == len(set(whole[0].tolist()))
     assert len({(w, h) for w, h in zip(words, whole[0].tolist())}) == len(set(words))
+
+
+def test_a_family_cut_to_many_lengths_is_not_paired_up(spark, monkeypatch):
+    """Beginnings of one text, each the nearer to another the nearer in length: few pairs are left."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(words[: rng.randint(600, 3000)])) for i in range(400)]
+    counts = {}
+    keep = near_module.stored
+
+    def counted(df, label):
+        table = keep(df, label)
+        if label in ("near-turn", "near-rest"):
+            counts[label] = counts.get(label, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(near_module, "stored", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in near_duplicates(df, 3, 85).collect())
+    lengths = {i: len(t.split(" ")) - 2 for i, t in rows}
+    order = sorted(lengths, key=lengths.get)
+    component, start = {}, 0
+    for k in range(1, len(order) + 1):
+        if k == len(order) or 100 * lengths[order[k - 1]] < 85 * lengths[order[k]]:
+            least = min(order[start:k])
+            component |= {i: least for i in order[start:k]}
+            start = k
+    assert got == sorted((i, n, component[i], i == component[i]) for i, n in lengths.items())
+    assert counts["near-turn"] <= 2 * 2 * near_module.SECONDS * len(rows)
+    assert counts["near-rest"] <= 10 * len(rows)
