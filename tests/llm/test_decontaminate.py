@@ -8,7 +8,8 @@ import re
 
 import pytest
 
-from sheetspark.llm.decontaminate import contamination
+from sheetspark.llm import decontaminate
+from sheetspark.llm.decontaminate import contamination, without_contaminated
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -86,3 +87,40 @@ def test_edges(spark):
     assert sorted((tuple(r) for r in contamination(df, bench).collect()), key=str) == want
     assert [r.n_hit for r in contamination(df, bench.limit(0)).collect()] == [0] * 7
     assert contamination(df.limit(0), bench).count() == 0
+
+
+def test_a_stem_of_many_items_and_documents(spark, monkeypatch):
+    stem = "a stem that very many items and documents share"
+    n = 200
+    items = [(i, f"{stem} i{i} end") for i in range(n)]
+    documents = [(i, f"before d{i} {stem} d{i} end") for i in range(n)]
+    documents += [(n + i, f"x {stem} i{i} y") for i in range(3)]
+    rows = []
+
+    def counted(df, label):
+        out = decontaminate_stored(df, label)
+        rows.append(out.count())
+        return out
+
+    decontaminate_stored = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", counted)
+    docs = spark.createDataFrame(documents, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = contamination(docs, bench)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == plain(documents, items)
+    # A document has a handful of windows about the stem, however many items have it.
+    assert max(rows) < 20 * n
+    kept = {r.doc_id for r in without_contaminated(docs, bench).collect()}
+    assert kept == set(range(n))
+
+
+def test_windows_of_many_items(spark):
+    passage = "one two three four five six seven eight nine ten"
+    items = [(i, passage) for i in range(30)] + [(50 + i, f"{passage} {i} more") for i in range(9)]
+    documents = [(i, f"{passage} {i % 9} more" if i % 2 else passage) for i in range(60)]
+    documents += [(99, "one two")]
+    got = contamination(
+        spark.createDataFrame(documents, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    assert sorted((tuple(r) for r in got.collect()), key=str) == plain(documents, items)
