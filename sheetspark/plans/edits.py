@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetspark.operators import edit
+from sheetspark.operators import edit, labels
+from sheetspark.operators.order import Positions
 from sheetspark.operators.query import query as where
 from sheetspark.plans.inputs import table
 from sheetspark.plans.registry import query
@@ -91,6 +92,35 @@ def replace_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {RANKED},
+    batch AS (SELECT c_custkey, c_acctbal,
+                row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS i FROM customer),
+    spliced AS (
+      SELECT pos, o_orderkey, o_totalprice, o_orderstatus FROM ranked WHERE pos < 300
+      UNION ALL
+      SELECT 300 + i, c_custkey, c_acctbal, NULL FROM batch
+      UNION ALL
+      SELECT pos - 10 + (SELECT count(*) FROM batch), o_orderkey, o_totalprice, o_orderstatus
+      FROM ranked WHERE pos >= 310)
+    SELECT * FROM spliced"""
+)
+def splice_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """``sheet[300:310] = rows`` with another number of rows, in a stored sheet with labels.
+
+    Labels are so close that the rows around have to be spread anew.
+    """
+    shown = _orders(spark, folder).select("o_orderkey", "o_totalprice", "o_orderstatus")
+    path = fresh_path(spark, "labelled")
+    labels.labelled(shown, BY_PRICE, spacing=16).write.parquet(path)
+    rows = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("o_orderkey"), F.col("c_acctbal").alias("o_totalprice")
+    )
+    sheet = labels.splice(spark.read.parquet(path), rows, BY_PRICE, 300, 310)
+    positions = Positions(sheet, labels.LABEL)
+    return positions.rows(0, positions.count).drop(labels.LABEL)
+
+
 @query(
     f"""WITH {RANKED},
     batch AS (SELECT p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
