@@ -1,10 +1,14 @@
 """Collocations from suffix subtrees that are built apart from one another.
 
 1. Texts are cut into pieces and words.  Some consecutive texts are a block: a dictionary of its
-   words with their counts, and its text as places in it.  Words are counted over the dictionaries.
-2. Words of candidates are as frequent as the candidates, so a suffix ends before a rarer word.  The
-   frequent ones get codes, and each block the codes of its dictionary.
-3. Vertical partitioning: suffixes of at most ``longest`` words are dealt out by a prefix.  That
+   words with their counts, and its text as places in it.  Dictionaries are dealt out in ranges of
+   the words' hashes; where all entries of a word meet, it is counted, and a frequent one gets a
+   code that goes back to the blocks.
+2. Words of candidates are as frequent as the candidates, so a suffix ends before a rarer word.  So
+   are their pairs of neighbouring words: a block counts its pairs in buckets of their hashes, the
+   counts are added up over all blocks, and a suffix ends between two words whose bucket is
+   rarer, since a pair is no more frequent than its bucket.
+3. Vertical partitioning: suffixes of two to ``longest`` words are dealt out by a prefix.  That
    is the first word, and, where its frequency is over the budget of a prefix, the next one too, and
    so on: no prefix is more frequent than its last word, so all are within the budget but those
    of frequent words only, at full depth, which are one leaf.  Prefixes are dealt into as many
@@ -28,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheetspark.llm.byte_bpe import word_hashes
 from sheetspark.llm.common import slices, small_batches, stored
-from sheetspark.llm.ranks import ranked
 from sheetspark.runtime import fresh_path
 
 #: Bytes of text in a block, and in what is cut into words at a time; a longer text is alone.
@@ -38,12 +42,56 @@ BLOCK, SLICE = 1 << 24, 1 << 20
 PART = 1 << 18
 #: Suffixes that a group may hold, and the part of a group that one prefix may fill.
 BUDGET, SHARE = 1 << 21, 4
+#: Dictionary entries aimed at in one range of words' hashes, and buckets in one range of pairs.
+ENTRIES, PAIRS = 1 << 19, 1 << 22
+#: Occurrences of pairs aimed at in a bucket.
+LOAD = 4
 #: Parts into which a language's phrases are dealt to find its first ones.
 SALTS = 64
 #: What ends a piece.  Fixed value.
 ENDS = "[.,;:!?\n-\r]+"
 
-BLOCK_SCHEMA = "block bigint, places binary, entries array<struct<lang string, word string, n bigint>>"
+BLOCK_SCHEMA = (
+    "block bigint, places binary, n bigint, distinct bigint, langs array<struct<lang string, n bigint>>,"
+    " entries array<struct<lang string, word string, n bigint>>"
+)
+CODED_SCHEMA = (
+    "bucket int, block bigint, start int, codes binary,"
+    " words array<struct<lang string, word string, f bigint>>"
+)
+CODED = pa.schema(
+    [
+        ("bucket", pa.int32()),
+        ("block", pa.int64()),
+        ("start", pa.int32()),
+        ("codes", pa.binary()),
+        (
+            "words",
+            pa.list_(pa.struct([("lang", pa.string()), ("word", pa.string()), ("f", pa.int64())])),
+        ),
+    ]
+)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers below 2^32, compressed byte by byte."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _flat(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
+def _packed(batch: pa.RecordBatch) -> bytes:
+    """A batch as one compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
 
 class _Block:
     """Words of consecutive texts; place 0 stands between pieces."""
@@ -78,22 +126,37 @@ class _Block:
         self.places.append(np.insert(found, starts, 0))
 
     def row(self, block: int) -> pa.RecordBatch:
-        places = np.concatenate([*self.places, np.zeros(1, "<u4")])
-        counts = np.bincount(places, minlength=len(self.slots) + 1)[1:]
-        planes = np.ascontiguousarray(places.view(np.uint8).reshape(-1, 4).T)
-        packed = zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+        """The block as one row, its dictionary in order of the words' hashes."""
         langs, words = zip(*self.slots) if self.slots else ((), ())
+        order = np.argsort(word_hashes(list(words)), kind="stable") if words else np.zeros(0, np.int64)
+        place = np.zeros(len(words) + 1, dtype="<u4")
+        place[order + 1] = np.arange(1, len(words) + 1, dtype="<u4")
+        places = place[np.concatenate([*self.places, np.zeros(1, "<u4")])]
+        counts = np.bincount(places, minlength=len(words) + 1)[1:]
         entries = pa.StructArray.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(counts, pa.int64())],
+            [
+                pa.array([langs[k] for k in order], pa.string()),
+                pa.array([words[k] for k in order], pa.string()),
+                pa.array(counts, pa.int64()),
+            ],
             ["lang", "word", "n"],
         )
+        sizes: dict[str, int] = {}
+        for k, n in zip(order.tolist(), counts.tolist()):
+            sizes[langs[k]] = sizes.get(langs[k], 0) + n
+        sizes = pa.StructArray.from_arrays(
+            [pa.array(sizes.keys(), pa.string()), pa.array(sizes.values(), pa.int64())], ["lang", "n"]
+        )
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([block], pa.int64()),
-                pa.array([packed], pa.binary()),
+                pa.array([_planes(places)], pa.binary()),
+                pa.array([int(counts.sum())], pa.int64()),
+                pa.array([len(words)], pa.int64()),
+                pa.ListArray.from_arrays([0, len(sizes)], sizes),
                 pa.ListArray.from_arrays([0, len(entries)], entries),
             ],
-            ["block", "places", "entries"],
+            ["block", "places", "n", "distinct", "langs", "entries"],
         )
 
 
@@ -126,16 +189,200 @@ def _blocks(df: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
-def _counted(
-    text: np.ndarray, at: np.ndarray, code: np.ndarray, wide: np.ndarray, width: int, longest: int
-) -> pa.Table:
-    """The distinct suffixes that begin at some places of a text of local codes, and their counts."""
+def _dealt(blocks: DataFrame, bits: int) -> DataFrame:
+    """(bucket, block, start, words): consecutive dictionary entries whose hashes share high bits."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, entries in zip(batch.column("block").to_pylist(), batch.column("entries")):
+                if not len(entries):
+                    continue
+                langs, words, counts = entries.values.flatten()
+                hashes = word_hashes(words.to_pylist())
+                buckets = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+                starts = np.concatenate([[0], np.flatnonzero(np.diff(buckets)) + 1])
+                own = pa.RecordBatch.from_arrays(
+                    [langs.dictionary_encode(), words, counts], ["lang", "word", "n"]
+                )
+                sizes = np.diff(np.append(starts, len(words)))
+                packed = [_packed(own.slice(a, n)) for a, n in zip(starts.tolist(), sizes.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(buckets[starts], pa.int32()),
+                        pa.array(np.full(len(starts), block)),
+                        pa.array(starts, pa.int32()),
+                        pa.array(packed, pa.binary()),
+                    ],
+                    ["bucket", "block", "start", "words"],
+                )
+
+    return blocks.select("block", "entries").mapInArrow(
+        run, "bucket int, block bigint, start int, words binary"
+    )
+
+
+def _coded(dealt: DataFrame, least: int, budget: int) -> DataFrame:
+    """Per bucket of words, a row without a block: its frequent words, which have the codes 1, 2, ...
+
+    And a row for each block: twice the code of each of its entries, 0 for a rare word, and one more for
+    a word over the budget.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("block", "ascending"), ("start", "ascending")])
+        parts = [
+            pa.ipc.open_stream(x).read_next_batch() for x in table.column("words").to_pylist()
+        ]
+        lang = pa.concat_arrays([p.column("lang").dictionary_decode() for p in parts])
+        lang, word = (
+            x.dictionary_encode() for x in (lang, pa.concat_arrays([p.column("word") for p in parts]))
+        )
+        n = np.concatenate([p.column("n").to_numpy() for p in parts])
+        of_lang = lang.indices.to_numpy().astype(np.int64)
+        keys, entry = np.unique(
+            of_lang * len(word.dictionary) + word.indices.to_numpy(), return_inverse=True
+        )
+        f = np.zeros(len(keys), dtype=np.int64)
+        np.add.at(f, entry, n)
+        often = np.flatnonzero(f >= least)
+        code = np.zeros(len(keys), dtype=np.uint32)
+        code[often] = (np.arange(1, len(often) + 1) << 1) + (f[often] > budget)
+        own = code[entry]
+        edges = np.cumsum([0] + [p.num_rows for p in parts])
+        codes = [_planes(own[a:b]) for a, b in zip(edges, edges[1:])]
+        words = pa.StructArray.from_arrays(
+            [
+                lang.dictionary.take(pa.array(keys[often] // len(word.dictionary))),
+                word.dictionary.take(pa.array(keys[often] % len(word.dictionary))),
+                pa.array(f[often]),
+            ],
+            ["lang", "word", "f"],
+        )
+        bucket = table.column("bucket")[0].as_py()
+        first = [[bucket], [None], [None], [None], pa.ListArray.from_arrays([0, len(words)], words)]
+        rest = [
+            table.column("bucket"), table.column("block"), table.column("start"), codes, [None] * len(parts)
+        ]
+        return pa.concat_tables(
+            pa.Table.from_arrays(
+                [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, f.type) for x, f in zip(columns, CODED)],
+                schema=CODED,
+            )
+            for columns in (first, rest)
+        )
+
+    return dealt.groupBy("bucket").applyInArrow(run, CODED_SCHEMA)
+
+
+class _Text:
+    """A block's text in local codes, which are in the order of the codes of the corpus; 0 is an end."""
+
+    def __init__(self, places: bytes, codes: pa.Table, bases: dict[int, int], longest: int):
+        at = _flat(places)
+        values = np.zeros(int(at.max(initial=0)) + 1, dtype=np.int64)
+        wide = np.zeros(len(values), dtype=bool)
+        columns = (codes.column(c).to_pylist() for c in ("part", "start", "data"))
+        for bucket, start, data in zip(*columns):
+            own = _flat(data).astype(np.int64)
+            slots = slice(start + 1, start + 1 + len(own))
+            values[slots] = np.where(own > 0, (own >> 1) + bases[bucket], 0)
+            wide[slots] = own & 1
+        order = np.flatnonzero(values)
+        order = order[np.argsort(values[order])]
+        local = np.zeros(len(values), dtype=np.uint32)
+        local[order] = np.arange(1, len(order) + 1, dtype=np.uint32)
+        self.code = np.concatenate([[0], values[order]])
+        self.wide = np.concatenate([[False], wide[order]])
+        self.words = np.concatenate([local[at], np.zeros(longest, np.uint32)])
+        #: Where two frequent words follow one another.
+        self.pairs = np.flatnonzero((self.words[:-1] > 0) & (self.words[1:] > 0))
+
+    def buckets(self, size: int) -> np.ndarray:
+        """Which of ``size`` buckets each pair is in."""
+        code = self.code.astype(np.uint64)
+        mixed = code[self.words[self.pairs]] * np.uint64(0x9E3779B97F4A7C15)
+        mixed += code[self.words[self.pairs + 1]]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        return (mixed % np.uint64(size)).astype(np.int64)
+
+
+def _beside(blocks: DataFrame, sent: DataFrame):
+    """Blocks, each with what was sent to it."""
+    sent = sent.toDF("block", "pairs", "part", "start", "data")  # other columns than those of the blocks
+    return blocks.select("block", "places").groupBy("block").cogroup(sent.groupBy("block"))
+
+
+def _frequent_pairs(
+    blocks: DataFrame, codes: DataFrame, bases: dict[int, int], size: int, span: int, least: int
+) -> DataFrame:
+    """Per block and range of ``span`` buckets: which of its buckets have ``least`` pairs in all blocks."""
+
+    def counted(left: pa.Table, right: pa.Table) -> pa.Table:
+        text = _Text(left.column("places")[0].as_py(), right, bases, 1)
+        buckets, counts = np.unique(text.buckets(size), return_counts=True)
+        parts = np.unique(buckets // span)
+        edges = np.searchsorted(buckets, np.append(parts, parts[-1:] + 1) * span)
+        cuts = list(zip(parts.tolist(), edges.tolist(), edges[1:].tolist()))
+        return pa.table(
+            [
+                pa.array([part for part, _, _ in cuts], pa.int32()),
+                pa.array([left.column("block")[0].as_py()] * len(cuts), pa.int64()),
+                pa.array(
+                    [_planes(np.diff(buckets[a:b], prepend=part * span)) for part, a, b in cuts], pa.binary()
+                ),
+                pa.array([_planes(counts[a:b]) for _, a, b in cuts], pa.binary()),
+            ],
+            ["part", "block", "steps", "counts"],
+        )
+
+    def summed(table: pa.Table) -> pa.Table:
+        total = np.zeros(span, dtype=np.int64)
+        steps = table.column("steps").to_pylist()
+        for own, n in zip(steps, table.column("counts").to_pylist()):
+            total[np.cumsum(_flat(own))] += _flat(n)
+        often = total >= least
+        bits = [np.packbits(often[np.cumsum(_flat(own))]).tobytes() for own in steps]
+        packer = zstandard.ZstdCompressor(level=3)
+        return pa.table(
+            [
+                table.column("block"),
+                table.column("part"),
+                pa.array([packer.compress(x) for x in bits], pa.binary()),
+            ],
+            ["block", "part", "bits"],
+        )
+
+    own = _beside(blocks, codes).applyInArrow(
+        counted, "part int, block bigint, steps binary, counts binary"
+    )
+    return own.groupBy("part").applyInArrow(summed, "block bigint, part int, bits binary")
+
+
+def _followed(text: _Text, bits: pa.Table, size: int, span: int) -> np.ndarray:
+    """Whether the pair that begins at a place may be frequent."""
+    followed = np.zeros(len(text.words), dtype=bool)
+    of_pair = text.buckets(size)
+    buckets = np.unique(of_pair)
+    often = np.zeros(len(buckets), dtype=bool)
+    for part, data in zip(bits.column("part").to_pylist(), bits.column("data").to_pylist()):
+        a, b = np.searchsorted(buckets, [part * span, (part + 1) * span])
+        found = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+        often[a:b] = np.unpackbits(found, count=b - a)
+    followed[text.pairs] = np.isin(of_pair, buckets[often])
+    return followed
+
+
+def _counted(text: _Text, followed: np.ndarray, at: np.ndarray, width: int, longest: int) -> pa.Table:
+    """The distinct suffixes that begin at some places of a text, and their counts."""
+    code, wide = text.code, text.wide
     words = np.zeros((len(at), longest + longest % 2), dtype=np.uint32)
     alive = np.ones(len(at), dtype=bool)
     for k in range(longest):
-        column = text[at + k]
-        alive &= column > 0
-        words[alive, k] = column[alive]
+        if k:
+            alive &= followed[at + k - 1]
+        words[alive, k] = text.words[at[alive] + k]
     keys = [
         words[:, k].astype(np.uint64) << np.uint64(32) | words[:, k + 1]
         for k in range(0, words.shape[1], 2)
@@ -157,7 +404,9 @@ def _counted(
     return pa.Table.from_arrays(columns, schema=SUFFIXES)
 
 
-def _suffixes(blocks: DataFrame, codes: DataFrame, width: int, longest: int) -> DataFrame:
+def _suffixes(
+    blocks: DataFrame, sent: DataFrame, bases: dict[int, int], size: int, span: int, width: int, longest: int
+) -> DataFrame:
     """(path, cut, n): distinct suffixes of each block, ``width`` bytes a word, and their counts.
 
     ``cut`` words are the prefix by which a suffix is dealt out; one more than it has if all its
@@ -165,29 +414,16 @@ def _suffixes(blocks: DataFrame, codes: DataFrame, width: int, longest: int) ->
     """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        planes = np.frombuffer(
-            zstandard.ZstdDecompressor().decompress(left.column("places")[0].as_py()), np.uint8
-        )
-        places = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
-        slots = right.column("slot").to_numpy()
-        values = right.column("code").to_numpy()
-        order = np.argsort(values)  # local codes in the order of the codes of the corpus
-        code = np.concatenate([[0], values[order]])
-        wide = np.concatenate([[False], right.column("wide").to_numpy(zero_copy_only=False)[order]])
-        size = max(int(places.max(initial=0)), int(slots.max(initial=0))) + 1
-        local = np.zeros(size, dtype=np.uint32)
-        local[slots[order]] = np.arange(1, len(order) + 1, dtype=np.uint32)
-        text = np.concatenate([local[places], np.zeros(longest, np.uint32)])
-        at = np.flatnonzero(text)
+        codes, bits = (right.filter(x) for x in (pc.invert(right.column("pairs")), right.column("pairs")))
+        text = _Text(left.column("places")[0].as_py(), codes, bases, longest)
+        followed = _followed(text, bits, size, span)
+        at = np.flatnonzero(followed)
         parts = [
-            _counted(text, at[k : k + PART], code, wide, width, longest)
-            for k in range(0, len(at), PART)
+            _counted(text, followed, at[k : k + PART], width, longest) for k in range(0, len(at), PART)
         ]
         return pa.concat_tables([SUFFIXES.empty_table(), *parts])
 
-    codes = codes.toDF("block", "slot", "code", "wide")  # other columns than those of the blocks
-    sides = blocks.select("block", "places").groupBy("block").cogroup(codes.groupBy("block"))
-    return sides.applyInArrow(run, "path binary, cut int, n bigint")
+    return _beside(blocks, sent).applyInArrow(run, "path binary, cut int, n bigint")
 
 
 def _matrix(paths: pa.Array, width: int, longest: int) -> np.ndarray:
@@ -225,6 +461,8 @@ class _Subtree:
         for k in range(codes.shape[1]):
             changes |= codes[1:, k] != codes[:-1, k]
             change[1:] = changes
+            if not k:  # words are counted already
+                continue
             starts = np.flatnonzero(change)
             sums = np.add.reduceat(n, starts)
             shared = cut[starts] > k + 1
@@ -252,7 +490,7 @@ class _Subtree:
 
 
 def _nodes(suffixes: DataFrame, groups: int, width: int, longest: int, least: int) -> DataFrame:
-    """(path, f): every phrase of at least ``least`` occurrences, from the subtrees of all groups."""
+    """(path, f): every phrase of two words or more with ``least`` occurrences, from the subtrees of all groups."""
 
     def table(keys: list[tuple], counts: list[int]) -> pa.RecordBatch:
         paths = [b"".join(c.to_bytes(width, "big") for c in key) for key in keys]
@@ -298,29 +536,46 @@ def collocations(
     """
     spark = df.sparkSession
     blocks = _blocks(df)
-    entries = blocks.select("block", F.posexplode("entries").alias("slot", "entry")).select(
-        "block", (F.col("slot") + 1).alias("slot"), "entry.*"
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = blocks.agg(F.sum("n").alias("n"), F.sum("distinct").alias("distinct")).head()
+    groups = max(math.ceil((held.n or 0) / BUDGET), partitions)
+    budget = max(1, (held.n or 0) // (groups * SHARE))
+    bits = max(1, (max(partitions, (held.distinct or 0) // ENTRIES) - 1).bit_length())
+    coded = stored(_coded(_dealt(blocks, bits), least, budget), "phrase-codes")
+    frequent = coded.where(F.col("block").isNull()).select("bucket", "words")
+    counts = frequent.select(
+        "bucket",
+        F.size("words").alias("n"),
+        F.aggregate("words", F.lit(0).cast("bigint"), lambda t, x: t + x["f"]).alias("f"),
+    ).collect()  # one row a bucket
+    bases, known, total = {}, 0, 0
+    for row in sorted(counts):
+        bases[row.bucket] = known
+        known, total = known + row.n, total + row.f
+    width = max(1, (known.bit_length() + 7) // 8)
+    base = spark.createDataFrame(list(bases.items()), "bucket int, base bigint")
+    sizes = (
+        blocks.select(F.inline("langs")).groupBy("lang").agg(F.sum("n").alias("n"))
     )
     words = stored(
-        entries.groupBy("lang", "word").agg(F.sum("n").alias("f")), "phrase-words"
+        frequent.join(base, "bucket")
+        .select("base", F.posexplode("words").alias("at", "word"))
+        .select("word.*", (F.col("base") + F.col("at") + 1).alias("code"))
+        .join(sizes, "lang"),
+        "phrase-words",
     )
-    frequent = words.where(F.col("f") >= least)
-    total = frequent.agg(F.sum("f").alias("f"), F.count("*").alias("n")).head()
-    width = max(1, (int(total.n).bit_length() + 7) // 8)
-    groups = max(
-        math.ceil((total.f or 0) / BUDGET), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = max(1, total // LOAD)
+    span = min(PAIRS, math.ceil(size / partitions))
+    codes = coded.where(F.col("block").isNotNull()).select(
+        "block", F.lit(False).alias("pairs"), F.col("bucket").alias("part"), "start", F.col("codes").alias("data")
     )
-    budget = max(1, (total.f or 0) // (groups * SHARE))
-    coded = ranked(frequent.withColumn("all", F.lit(0)), "all", ["lang", "word"], "phrase-codes")[0]
-    sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    coded = stored(
-        coded.select("lang", "word", (F.col("rank") + 1).alias("code"), (F.col("f") > budget).alias("wide"))
-        .join(sizes, "lang"),
-        "phrase-codes",
+    pairs = _frequent_pairs(blocks, codes, bases, size, span, least).select(
+        "block", F.lit(True).alias("pairs"), "part", F.lit(0).alias("start"), F.col("bits").alias("data")
     )
-    own = entries.join(coded, ["lang", "word"]).select("block", "slot", "code", "wide")
+    suffixes = _suffixes(blocks, codes.union(pairs), bases, size, span, width, longest)
+    single = F.unhex(F.lpad(F.hex("code"), 2 * width, "0")).alias("path")
     phrases = stored(
-        _nodes(_suffixes(blocks, own, width, longest), groups, width, longest, least), "phrases"
+        _nodes(suffixes, groups, width, longest, least).union(words.select(single, "f")), "phrases"
     )
 
     def piece(start: Column | int, size: Column | int) -> Column:
@@ -373,7 +628,7 @@ def collocations(
             ).alias("at", "word_code"),
         )
         .select("path", "at", code.alias("code"))
-        .join(coded, "code")
+        .join(words.drop("f"), "code")
         .groupBy("path")
         .agg(
             F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("at", "word"))), lambda x: x["word"])).alias("phrase"),

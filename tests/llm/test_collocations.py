@@ -110,3 +110,35 @@ def test_large_numbers(spark):
     df = spark.createDataFrame(rows, "a long, n long, l long, r long, want string")
     wrong = df.where(_score(df.a, df.n, df.l, df.r).cast("string") != df.want)
     assert wrong.count() == 0
+
+
+@pytest.fixture
+def sent(monkeypatch):
+    """What is dealt out: the suffixes of all blocks."""
+    frames, nodes = [], module._nodes
+
+    def seen(suffixes, *rest):
+        frames.append(suffixes)
+        return nodes(suffixes, *rest)
+
+    monkeypatch.setattr(module, "_nodes", seen)
+    return frames
+
+
+def test_only_suffixes_of_frequent_pairs_are_dealt_out(spark, small, sent):
+    """Frequent words in changing order: no pair is frequent but one, and few share its bucket."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    rows = [
+        (i, " ".join(rng.sample(words, 20)) + ". new york.", "en", 0, "w", 1) for i in range(300)
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert [r[2] for r in same(df, least=90)] == ["new york"]
+    assert 300 <= sent[0].agg({"n": "sum"}).head()[0] < 600
+
+
+def test_pairs_that_share_a_bucket(spark, small, monkeypatch):
+    """Buckets so few that none is rare: longer suffixes, the same phrases."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    monkeypatch.setattr(module, "LOAD", 10**9)
+    assert same(df, least=10)
