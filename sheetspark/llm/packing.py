@@ -29,6 +29,8 @@ LENGTH, END = 4096, 2
 DIMENSIONS, BITS = 4, 12
 #: Distinct words whose ids a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 300_000
+#: Letters of which normalizing changes only the case, and that next to one another stay together.
+LETTERS = "a-zß-öø-ÿ"
 #: Texts are encoded in slices of about so many bytes.
 SLICE = 1 << 22
 
@@ -38,7 +40,8 @@ class WordEncoder:
 
     The normalizer, the splitting and the merges of the vocabulary never look across white space,
     so the ids of a text are those of its words.  A text with the string of an added token is one
-    word.
+    word.  A word of LETTERS is one piece of the splitting, so its ids are those that the library's
+    model gives for its bytes; all others go through the whole library.
     """
 
     def __init__(self, path: str):
@@ -50,6 +53,10 @@ class WordEncoder:
         self.library.no_padding()
         self.size = self.library.get_vocab_size()
         self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
+        letters = "".join(c for c in map(chr, range(256)) if re.fullmatch(f"[{LETTERS}]", c))
+        pieces = self.library.pre_tokenizer.pre_tokenize_str
+        self.whole = self.library.normalizer.normalize_str(letters) == letters and len(pieces(letters)) == 1
+        self.signs = {ord(c): pieces(c)[0][0] for c in letters}
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         # What an added token begins with before its first letter is the same in either case.
         self.stems = {"".join(takewhile(lambda c: c.lower() == c.upper(), t)) for t in self.added}
@@ -61,7 +68,14 @@ class WordEncoder:
         self.flat = np.zeros(0, dtype=self.kind)
 
     def _learn(self, words: list[str]) -> None:
-        ids = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        merge, plain = self.library.model.tokenize, re.compile(f"[{LETTERS}]+").fullmatch
+        one = [self.whole and plain(w) is not None for w in words]
+        rest = [w for w, whole in zip(words, one) if not whole]
+        others = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
+        ids = [
+            [t.id for t in merge(w if w.isascii() else w.translate(self.signs))] if whole else next(others).ids
+            for w, whole in zip(words, one)
+        ]
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         values = np.fromiter(chain.from_iterable(ids), dtype=self.kind, count=int(sizes.sum()))
         first = len(self.slots)
@@ -88,15 +102,17 @@ class WordEncoder:
         else:
             # A space between a letter and a sign changes no id, and the same words return more often.
             lists = pc.ascii_split_whitespace(
-                pc.replace_substring_regex(texts, "([A-Za-z])([.,;:!?])", "\\1 \\2")
+                pc.replace_substring_regex(texts, "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])", "\\1 \\2")
             )
         return lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
 
     @staticmethod
     def _lowered(words: pa.Array) -> pa.Array:
-        """ASCII words in lower case, which changes none of their ids."""
+        """ASCII words and those of LETTERS in lower case, which changes none of their ids."""
         plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<|")))
-        return pc.if_else(plain, pc.ascii_lower(words), words)
+        words = pc.if_else(plain, pc.ascii_lower(words), words)
+        letters = pc.match_substring_regex(words, f"^[{LETTERS}A-ZÀ-ÖØ-Þ]+$")
+        return pc.if_else(letters, pc.utf8_lower(words), words)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and how many each text has."""

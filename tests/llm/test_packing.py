@@ -39,6 +39,36 @@ def test_ids_are_those_of_the_library(library):
         assert ids.tolist() == [i for x in want for i in x]
 
 
+class Counted:
+    """The library, and the words that went through all of it."""
+
+    def __init__(self, library):
+        self.library, self.seen = library, []
+
+    def __getattr__(self, name):
+        return getattr(self.library, name)
+
+    def encode_batch_fast(self, words, **how):
+        self.seen += words
+        return self.library.encode_batch_fast(words, **how)
+
+
+def test_words_of_letters_need_only_the_merges(library):
+    letters = [chr(c) for c in range(0x21, 0x180) if chr(c).isalpha()]
+    signs, rng = ["̌", "̈", "'s", "1", ".", ",", ";", "×", "÷"], random.Random(4)
+    texts = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(2000)]
+    texts += ["".join(rng.choices(letters + signs * 9, k=rng.randint(1, 9))) for _ in range(2000)]
+    texts += [f"{a}{b}" for a in letters for b in [*signs, "ş.", "ΐ"]]
+    texts += ["Émentier chê. ENTSPRÄCHE,größe ÿ Straße;señor", "naïve café! CAFÉ"]
+    encoder = WordEncoder(PATH)
+    encoder.library = Counted(library)
+    ids, _ = encoder.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in library.encode(t, add_special_tokens=False).ids]
+    encoder.library.seen.clear()
+    encoder.encode(pa.array(["Bärig, émentierx! Foo. blaéx: größex"]))
+    assert set(encoder.library.seen) <= {",", "!", ".", ":"}
+
+
 def check(rows, pieces, library, length):
     """Every id is in one piece, sequences have no gap, and only powers of two are short."""
     ids = [(d, library.encode(t or "", add_special_tokens=False).ids + [2]) for d, t in rows]
