@@ -160,9 +160,6 @@ class _Block:
         )
 
 
-SUFFIXES = pa.schema([("path", pa.binary()), ("cut", pa.int32()), ("n", pa.int64())])
-
-
 def _blocks(df: DataFrame) -> DataFrame:
     """Blocks of texts, in a table bucketed by block: it is read beside others without a shuffle."""
 
@@ -260,13 +257,10 @@ def _coded(dealt: DataFrame, least: int, budget: int) -> DataFrame:
         )
         bucket = table.column("bucket")[0].as_py()
         first = [[bucket], [None], [None], [None], pa.ListArray.from_arrays([0, len(words)], words)]
-        rest = [
-            table.column("bucket"), table.column("block"), table.column("start"), codes, [None] * len(parts)
-        ]
+        rest = [table.column("bucket"), table.column("block"), table.column("start"), codes, [None] * len(parts)]
         return pa.concat_tables(
             pa.Table.from_arrays(
-                [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, f.type) for x, f in zip(columns, CODED)],
-                schema=CODED,
+                [pa.array(x, f.type) if isinstance(x, list) else x for x, f in zip(columns, CODED)], schema=CODED
             )
             for columns in (first, rest)
         )
@@ -374,9 +368,8 @@ def _followed(text: _Text, bits: pa.Table, size: int, span: int) -> np.ndarray:
     return followed
 
 
-def _counted(text: _Text, followed: np.ndarray, at: np.ndarray, width: int, longest: int) -> pa.Table:
-    """The distinct suffixes that begin at some places of a text, and their counts."""
-    code, wide = text.code, text.wide
+def _counted(text: _Text, followed: np.ndarray, at: np.ndarray, longest: int) -> tuple:
+    """Counts of the distinct suffixes that begin at some places of a text, the suffixes, their cuts."""
     words = np.zeros((len(at), longest + longest % 2), dtype=np.uint32)
     alive = np.ones(len(at), dtype=bool)
     for k in range(longest):
@@ -392,22 +385,26 @@ def _counted(text: _Text, followed: np.ndarray, at: np.ndarray, width: int, long
     counts, words = np.diff(np.append(starts, len(words))), words[starts]
     present = words > 0
     depth = present.sum(axis=1)
-    light = present & ~wide[words]
+    light = present & ~text.wide[words]
     cut = np.where(light.any(axis=1), light.argmax(axis=1) + 1, np.minimum(depth + 1, longest))
-    raw = code[words].astype(">u8").view(np.uint8).reshape(len(words), longest, 8)[:, :, 8 - width :]
-    edges = np.concatenate([[0], np.cumsum(depth * width)]).astype(np.int32)
-    flat = np.ascontiguousarray(raw[present].ravel())
-    path = pa.Array.from_buffers(
-        pa.binary(), len(words), [None, pa.py_buffer(edges), pa.py_buffer(flat)]
-    )
-    columns = [path, pa.array(cut, pa.int32()), pa.array(counts, pa.int64())]
-    return pa.Table.from_arrays(columns, schema=SUFFIXES)
+    return counts, words, cut
+
+
+def _group(codes: np.ndarray, cut: np.ndarray, groups: int) -> np.ndarray:
+    """The group of each prefix of ``cut`` words."""
+    mixed = np.zeros(len(codes), dtype=np.uint64)
+    for k in range(codes.shape[1]):
+        mixed ^= np.where(cut > k, codes[:, k], 0).astype(np.uint64)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return (mixed % np.uint64(groups)).astype(np.int64)
 
 
 def _suffixes(
-    blocks: DataFrame, sent: DataFrame, bases: dict[int, int], size: int, span: int, width: int, longest: int
+    blocks: DataFrame, sent: DataFrame, bases: dict[int, int], size: int, span: int, groups: int, longest: int
 ) -> DataFrame:
-    """(path, cut, n): distinct suffixes of each block, ``width`` bytes a word, and their counts.
+    """(group, rows): the distinct suffixes that a block has for a group, column by column: how often each
+    is there, its ``cut`` and the codes of its words.
 
     ``cut`` words are the prefix by which a suffix is dealt out; one more than it has if all its
     words are over the budget, since nodes are then above the prefixes of longer suffixes.
@@ -418,97 +415,52 @@ def _suffixes(
         text = _Text(left.column("places")[0].as_py(), codes, bases, longest)
         followed = _followed(text, bits, size, span)
         at = np.flatnonzero(followed)
-        parts = [
-            _counted(text, followed, at[k : k + PART], width, longest) for k in range(0, len(at), PART)
-        ]
-        return pa.concat_tables([SUFFIXES.empty_table(), *parts])
-
-    return _beside(blocks, sent).applyInArrow(run, "path binary, cut int, n bigint")
-
-
-def _matrix(paths: pa.Array, width: int, longest: int) -> np.ndarray:
-    """The codes of sorted paths, zero where a path has ended."""
-    paths = paths.cast(pa.large_binary())
-    edges = np.frombuffer(paths.buffers()[1], np.int64)[paths.offset : paths.offset + len(paths) + 1]
-    data = paths.buffers()[2]
-    flat = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    flat, size = flat[edges[0] : edges[-1]], np.diff(edges)
-    filled = np.zeros((len(paths), longest * width), dtype=np.uint8)
-    filled[np.arange(longest * width) < size[:, None]] = flat
-    codes = np.zeros((len(paths), longest), dtype=np.int64)
-    for k in range(width):
-        codes = codes << 8 | filled.reshape(len(paths), longest, width)[:, :, k]
-    return codes
-
-
-class _Subtree:
-    """Counts of the nodes of sorted suffixes, level by level; the last node of a level stays open."""
-
-    def __init__(self, longest: int, least: int):
-        self.least, self.open = least, [None] * longest
-
-    def _shown(self, keys: list, counts: list, node) -> None:
-        if node is not None and (node[1] >= self.least or node[2]):
-            keys.append(node[0])
-            counts.append(node[1])
-
-    def grow(self, codes: np.ndarray, cut: np.ndarray, n: np.ndarray) -> tuple[list, list]:
-        """Nodes that these leaves end: frequent ones, and any that other groups count too."""
-        keys: list[tuple] = []
-        counts: list[int] = []
-        change = np.ones(len(codes), dtype=bool)
-        changes = np.zeros(len(codes) - 1, dtype=bool)
-        for k in range(codes.shape[1]):
-            changes |= codes[1:, k] != codes[:-1, k]
-            change[1:] = changes
-            if not k:  # words are counted already
-                continue
-            starts = np.flatnonzero(change)
-            sums = np.add.reduceat(n, starts)
-            shared = cut[starts] > k + 1
-            real = codes[starts, k] > 0
-            head, held = tuple(codes[0, : k + 1].tolist()), self.open[k]
-            if held is not None and held[0] == head:
-                sums[0] += held[1]
-            else:
-                self._shown(keys, counts, held)
-            shown = real & ((sums >= self.least) | shared)
-            shown[-1] = False
-            rows = np.flatnonzero(shown)
-            keys.extend(map(tuple, codes[starts[rows], : k + 1].tolist()))
-            counts.extend(sums[rows].tolist())
-            tail = tuple(codes[starts[-1], : k + 1].tolist())
-            self.open[k] = (tail, int(sums[-1]), bool(shared[-1])) if real[-1] else None
-        return keys, counts
-
-    def close(self) -> tuple[list, list]:
-        keys: list[tuple] = []
-        counts: list[int] = []
-        for node in self.open:
-            self._shown(keys, counts, node)
-        return keys, counts
-
-
-def _nodes(suffixes: DataFrame, groups: int, width: int, longest: int, least: int) -> DataFrame:
-    """(path, f): every phrase of two words or more with ``least`` occurrences, from the subtrees of all groups."""
-
-    def table(keys: list[tuple], counts: list[int]) -> pa.RecordBatch:
-        paths = [b"".join(c.to_bytes(width, "big") for c in key) for key in keys]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(paths, pa.binary()), pa.array(counts, pa.int64())], ["path", "n"]
+        found = [_counted(text, followed, at[k : k + PART], longest) for k in range(0, len(at), PART)]
+        if not found:
+            return pa.table([pa.array([], pa.int32()), pa.array([], pa.binary())], ["group", "rows"])
+        counts, words, cut = (np.concatenate(x) for x in zip(*found))
+        paths = text.code.astype(np.uint32)[words]
+        rows = np.column_stack([counts.astype(np.uint32), cut.astype(np.uint32), paths])
+        group = _group(paths, cut, groups)
+        order = np.argsort(group, kind="stable")
+        starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+        packed = [_planes(rows[own].T.ravel()) for own in np.split(order, starts[1:])]
+        return pa.table(
+            [pa.array(group[order[starts]], pa.int32()), pa.array(packed, pa.binary())], ["group", "rows"]
         )
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = _Subtree(longest, least)
-        for batch in batches:
-            if batch.num_rows:
-                codes = _matrix(batch.column("path"), width, longest)
-                yield table(*tree.grow(codes, batch.column("cut").to_numpy(), batch.column("n").to_numpy()))
-        yield table(*tree.close())
-
-    prefix = F.substring(F.col("path"), F.lit(1), F.col("cut") * width)
-    dealt = suffixes.repartition(groups, prefix).sortWithinPartitions("path")
-    nodes = dealt.mapInArrow(run, "path binary, n bigint")
+    return _beside(blocks, sent).applyInArrow(run, "group int, rows binary")
+
+
+def _nodes(suffixes: DataFrame, width: int, longest: int, least: int) -> DataFrame:
+    """(path, f): every phrase of two words or more with ``least`` occurrences, from the subtrees of all
+    groups.  A path has ``width`` bytes a word.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [_flat(x).reshape(longest + 2, -1) for x in table.column("rows").to_pylist()]
+        n, cut, *codes = np.concatenate(parts, axis=1)
+        order = np.lexsort(codes[::-1])
+        codes = [x[order] for x in codes]
+        cut, n = cut[order], n[order].astype(np.int64)
+        changes = np.concatenate([[True], codes[0][1:] != codes[0][:-1]])
+        paths, counts = [pa.array([], pa.binary())], [np.zeros(0, np.int64)]
+        for k in range(1, longest):  # words are counted already
+            changes[1:] |= codes[k][1:] != codes[k][:-1]
+            starts = np.flatnonzero(changes)
+            sums = np.add.reduceat(n, starts)
+            shared = cut[starts] > k + 1  # other groups count this node too
+            shown = (codes[k][starts] > 0) & ((sums >= least) | shared)
+            rows = starts[shown]
+            keys = np.stack([x[rows] for x in codes[: k + 1]], axis=1).astype(">u8")
+            keys = keys.view(np.uint8).reshape(len(rows), k + 1, 8)[:, :, 8 - width :]
+            flat = pa.py_buffer(np.ascontiguousarray(keys).ravel())
+            edges = np.arange(len(rows) + 1, dtype=np.int32) * ((k + 1) * width)
+            paths.append(pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(edges), flat]))
+            counts.append(sums[shown])
+        return pa.table([pa.concat_arrays(paths), pa.array(np.concatenate(counts))], ["path", "n"])
+
+    nodes = suffixes.groupBy("group").applyInArrow(run, "path binary, n bigint")
     return nodes.groupBy("path").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
 
 
@@ -554,9 +506,7 @@ def collocations(
         known, total = known + row.n, total + row.f
     width = max(1, (known.bit_length() + 7) // 8)
     base = spark.createDataFrame(list(bases.items()), "bucket int, base bigint")
-    sizes = (
-        blocks.select(F.inline("langs")).groupBy("lang").agg(F.sum("n").alias("n"))
-    )
+    sizes = blocks.select(F.inline("langs")).groupBy("lang").agg(F.sum("n").alias("n"))
     words = stored(
         frequent.join(base, "bucket")
         .select("base", F.posexplode("words").alias("at", "word"))
@@ -572,10 +522,10 @@ def collocations(
     pairs = _frequent_pairs(blocks, codes, bases, size, span, least).select(
         "block", F.lit(True).alias("pairs"), "part", F.lit(0).alias("start"), F.col("bits").alias("data")
     )
-    suffixes = _suffixes(blocks, codes.union(pairs), bases, size, span, width, longest)
+    suffixes = _suffixes(blocks, codes.union(pairs), bases, size, span, groups, longest)
     single = F.unhex(F.lpad(F.hex("code"), 2 * width, "0")).alias("path")
     phrases = stored(
-        _nodes(suffixes, groups, width, longest, least).union(words.select(single, "f")), "phrases"
+        _nodes(suffixes, width, longest, least).union(words.select(single, "f")), "phrases"
     )
 
     def piece(start: Column | int, size: Column | int) -> Column:
